@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
+CUT_TAG = re.compile(r"</?[a-zA-Z][^>]*\Z")
 HIDDEN = ("script", "style", "template")
 
 
@@ -26,6 +28,6 @@ class _Nodes(HTMLParser):
 
 def text_nodes(page: str) -> list[str]:
     parser = _Nodes()
-    parser.feed(page)
+    parser.feed(CUT_TAG.sub("", page))
     parser.close()
     return parser.nodes

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions import ids, values
+from ledgerloom.functions.bind import computed_once
 
 # A holding is kept if its share type is this and its title holds one of these words.
 SHARE_TYPE = "SH"
@@ -35,11 +36,11 @@ def parse_submissions(raw: DataFrame) -> DataFrame:
     def block(n: int) -> Column:
         return F.btrim(F.substring_index(F.get(blocks, F.lit(n)), "</XML>", 1), F.lit(" \t\r\n"))
 
-    parsed = raw.select(
-        "file_name",
-        F.from_xml(block(1), schemas.COVER_XML, XML_OPTIONS).alias("cover"),
-        F.from_xml(block(2), schemas.TABLE_XML, XML_OPTIONS).alias("holdings"),
-    )
+    parsed = computed_once(
+        raw.select("file_name", "raw"),
+        cover=F.from_xml(block(1), schemas.COVER_XML, XML_OPTIONS),
+        holdings=F.from_xml(block(2), schemas.TABLE_XML, XML_OPTIONS),
+    ).drop("raw")
     reason = (
         F.when(F.col("cover").isNull(), "no cover page")
         .when(F.col("cover._corrupt_record").isNotNull(), "broken cover page")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import markup
-from ledgerloom.functions.bind import let
+from ledgerloom.functions.bind import computed_once, let
 
 # The form type, the items that make up a report, the header pattern and the literal
 # that is removed from the text.
@@ -30,16 +30,15 @@ def main_document(raw: DataFrame, doc_type: str = MAIN_TYPE) -> DataFrame:
 
     Type and text come from the same embedded document.
     """
-    documents = F.transform(
-        F.slice(F.split("raw", "<DOCUMENT>"), 2, 2**31 - 1), lambda d: F.struct(
-            F.contains(d, F.lit("</DOCUMENT>")).alias("closed"),
-            F.substring_index(d, "</DOCUMENT>", 1).alias("body"),
-        )
-    )
+    # What stands before the first <DOCUMENT> is no document.
     wanted = F.filter(
-        documents, lambda d: d["closed"] & (F.regexp_extract(d["body"], r"<TYPE>([^\n]+)", 1) == doc_type)
+        F.split("raw", "<DOCUMENT>"),
+        lambda d, i: (i > 0)
+        & F.contains(d, F.lit("</DOCUMENT>"))
+        & (F.regexp_extract(F.substring_index(d, "</DOCUMENT>", 1), r"<TYPE>([^\n]+)", 1) == doc_type),
     )
-    return raw.withColumn("document", F.get(wanted, F.lit(0))["body"])
+    body = F.substring_index(F.get(wanted, F.lit(0)), "</DOCUMENT>", 1)
+    return computed_once(raw, document=body)
 
 
 def _header_name(header: Column) -> Column:
@@ -97,8 +96,8 @@ def section_bounds(documents: DataFrame) -> DataFrame:
 def _report_parts(documents: DataFrame) -> DataFrame:
     """Adds the found items and ``reason``, which is null for a report that has all four."""
     parts = F.filter(_split_sections(F.col("document")), lambda s: s["item"].isin(*ITEMS))
-    found = documents.withColumn(
-        "_parts", F.transform(parts, lambda s: F.struct(s["item"].alias("item"), s["text"].alias("text")))
+    found = computed_once(
+        documents, _parts=F.transform(parts, lambda s: F.struct(s["item"].alias("item"), s["text"].alias("text")))
     )
     reason = (
         F.when(F.col("document").isNull(), "no main document")

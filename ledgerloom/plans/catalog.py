@@ -44,3 +44,12 @@ def query(name: str, sql: str | None = None):
         return fn
 
     return register
+
+
+def spread(frame: DataFrame) -> DataFrame:
+    """Rows spread over the cores if the input has fewer splits than cores; otherwise as it is.
+
+    For work that is heavy per row: a small table may be one split, a large one has enough of them.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame

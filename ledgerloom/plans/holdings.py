@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import holdings, link
 from ledgerloom.plans import standins as S
-from ledgerloom.plans.catalog import Tables, plain, query
+from ledgerloom.plans.catalog import Tables, plain, query, spread
 
 PERIODS = 4
 
@@ -140,7 +140,7 @@ def submissions(t: Tables) -> DataFrame:
     )
     whole = F.concat(F.lit("<SEC-DOCUMENT>\n"), cover, table)
     raw = F.when(F.col("l_linenumber") == BROKEN_LINE, F.substr(whole, F.lit(1), F.length(whole) - 60)).otherwise(whole)
-    lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    lines = spread(t.lineitem).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     return lines.select(F.format_string("_edgar_%d.txt", "l_orderkey").alias("file_name"), raw.alias("raw"))
 
 
