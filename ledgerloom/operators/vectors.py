@@ -98,26 +98,41 @@ def top_k(
     """
     if not queries:
         raise ValueError("no query vectors")
+    return _pick_k(_search(vectors, queries, id_column, vector, k), k)
+
+
+def _search(
+    vectors: DataFrame, queries: list, id_column: str, vector: str, k: int, probes: dict | None = None
+) -> DataFrame:
+    """Each task's best ``k`` per query. With ``probes`` (query id -> bucket keys) the frame has ``buckets``
+    and a vector is scored only for the queries it shares a bucket with."""
     dims = len(queries[0][1])
     query_ids = [q for q, _ in queries]
     matrix = _unit(np.asarray([v for _, v in queries], dtype=np.float64))
-    id_type = vectors.schema[id_column].dataType.simpleString()
-    query_type = "string" if isinstance(query_ids[0], str) else "bigint"
-    arrow_query = pa.string() if query_type == "string" else pa.int64()
+    query_type, arrow_query = ("string", pa.string()) if isinstance(query_ids[0], str) else ("bigint", pa.int64())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, seen = _Best(k, {}), None
+        best, id_type = _Best(k, {}), None
         for b in batches:
-            if b.num_rows:
-                seen = b.schema.field(0).type
-                ids = np.asarray(b.column(0).to_pylist())
-                best.add(query_ids, _unit(_matrix(b.column(1), dims)) @ matrix.T, ids)
-        if seen is not None:
-            yield best.batch(seen, arrow_query)
-
-    slim = usable(vectors, vector, dims).select(id_column, vector)
-    found = slim.mapInArrow(score, f"query_id {query_type}, id {id_type}, cosine double")
-    return _pick_k(found, k)
+            if not b.num_rows:
+                continue
+            id_type = b.schema.field(0).type
+            ids = np.asarray(b.column(0).to_pylist())
+            scores = _unit(_matrix(b.column(1), dims)) @ matrix.T
+            if probes is None:
+                best.add(query_ids, scores, ids)
+                continue
+            buckets = b.column(2).to_pylist()
+            for at, q in enumerate(query_ids):
+                hit = np.fromiter((not probes[q].isdisjoint(keys) for keys in buckets), bool, len(buckets))
+                if hit.any():
+                    best.add([q], scores[hit, at : at + 1], ids[hit])
+        if best.rows:
+            yield best.batch(id_type, arrow_query)
+
+    slim = usable(vectors, vector, dims).select(id_column, vector, *(["buckets"] if probes is not None else []))
+    id_type = vectors.schema[id_column].dataType.simpleString()
+    return slim.mapInArrow(score, f"query_id {query_type}, id {id_type}, cosine double")
 
 
 def collect_queries(queries: DataFrame, query_id: str, vector: str, dims: int) -> list | None:
@@ -254,40 +269,15 @@ def top_k_lsh(
     scored exactly and each task keeps its best ``k``: a crowded bucket emits no more than an empty one.
     Queries too many to send to the tasks are searched exactly by :func:`grid_top_k`.
     """
-    probes = with_buckets(queries, model, vector, dims)
-    small = collect_queries(probes, query_id, vector, dims)
-    if small is None:
-        return grid_top_k(index, queries, id_column, query_id, vector, dims, k)
-    wanted = {r[0]: set(r[1]) for r in probes.select(query_id, "buckets").collect()} if small else {}
+    probed = with_buckets(queries, model, vector, dims)
+    small = collect_queries(probed, query_id, vector, dims)
     if not small:
         return top_k_for_table(index, queries, id_column, query_id, vector, dims, k)
-    query_ids = [q for q, _ in small]
-    matrix = _unit(np.asarray([v for _, v in small], dtype=np.float64))
-    all_keys = sorted({b for keys in wanted.values() for b in keys})
-    id_type = index.schema[id_column].dataType.simpleString()
-    query_type = queries.schema[query_id].dataType.simpleString()
-    arrow_query = pa.string() if query_type == "string" else pa.int64()
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, seen = _Best(k, {}), None
-        for b in batches:
-            if not b.num_rows:
-                continue
-            seen = b.schema.field(0).type
-            ids = np.asarray(b.column(0).to_pylist())
-            scores = _unit(_matrix(b.column(1), dims)) @ matrix.T
-            buckets = b.column(2).to_pylist()
-            for at, q in enumerate(query_ids):
-                hit = np.fromiter((not wanted[q].isdisjoint(keys) for keys in buckets), bool, len(buckets))
-                if hit.any():
-                    best.add([q], scores[hit, at : at + 1], ids[hit])
-        if seen is not None and best.rows:
-            yield best.batch(seen, arrow_query)
-
-    probed = index.filter(F.arrays_overlap("buckets", F.array(*[F.lit(b) for b in all_keys])))
-    slim = probed.select(id_column, vector, "buckets")
-    found = slim.mapInArrow(score, f"query_id {query_type}, id {id_type}, cosine double")
-    return _pick_k(found, k)
+    # As many rows as the queries just collected, each with one key per hash table.
+    probes = {q: set(keys) for q, keys in probed.select(query_id, "buckets").collect()}
+    wanted = sorted(set().union(*probes.values()))
+    near = index.filter(F.arrays_overlap("buckets", F.array(*[F.lit(b) for b in wanted])))
+    return _pick_k(_search(near, small, id_column, vector, k, probes), k)
 
 
 def retrieval_context(

@@ -13,7 +13,7 @@ from ledgerloom.plans.catalog import Tables, query, spread
 
 DIMS, K = 64, 10
 
-MEANS_SQL = """m AS (SELECT label AS query_id, list(x ORDER BY i) AS q FROM (
+MEANS_SQL = """m AS (SELECT CAST(label AS BIGINT) AS query_id, list(x ORDER BY i) AS q FROM (
   SELECT label, i, avg(x) AS x FROM (
     SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)
   GROUP BY label, i) GROUP BY label),
@@ -23,7 +23,8 @@ k AS (SELECT query_id, id, CAST(row_number() OVER (PARTITION BY query_id ORDER B
 
 
 def label_queries(t: Tables) -> DataFrame:
-    return vectors.mean_vectors(t.embeddings, "label", "embedding").withColumnRenamed("label", "query_id")
+    labelled = t.embeddings.withColumn("query_id", F.col("label").cast("bigint"))
+    return vectors.mean_vectors(labelled, "query_id", "embedding")
 
 
 def hits(t: Tables, k: int = K) -> DataFrame:
