@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ledgerloom.functions.bind import let
+
 # One run of anything that separates two text nodes: comments, blocks whose content is not text,
 # declarations and tags. A tag that the end of the text cuts off counts too.
 NON_TEXT_RUN = (
@@ -40,8 +42,11 @@ def decode_entities(text: Column) -> Column:
         )
         return F.when((name == "") | symbol.isNull(), piece).otherwise(F.concat(symbol, rest))
 
-    decoded = F.array_join(F.transform(F.split(text, ENTITY_START), one), "")
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+    def decoded(value: Column) -> Column:
+        joined = F.array_join(F.transform(F.split(value, ENTITY_START), one), "")
+        return F.when(F.contains(value, F.lit("&")), joined).otherwise(value)
+
+    return let(text, decoded)
 
 
 # HTML text never holds this character, so it can stand for a cut until the edges are trimmed.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,13 +18,9 @@ def hashing_embedder(dims: int = 256) -> Embedder:
     def embed(frame: DataFrame, text: str, vector: str) -> DataFrame:
         words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"(?U)\W+"), lambda w: w != "")
         tf = HashingTF(numFeatures=dims, inputCol="_words", outputCol="_counts")
-        counted = tf.transform(frame.withColumn("_words", words)).drop("_words")
-        counts = counted.withColumn("_counts", vector_to_array("_counts", "float32"))
-        norm = F.sqrt(F.aggregate("_counts", F.lit(0.0), lambda acc, x: acc + x * x))
-        unit = F.when(
-            F.col("_norm") > 0, F.transform("_counts", lambda x: (x / F.col("_norm")).cast("float"))
-        ).otherwise(F.col("_counts"))
-        return counts.withColumn("_norm", norm).withColumn(vector, unit).drop("_counts", "_norm")
+        unit = Normalizer(p=2.0, inputCol="_counts", outputCol="_unit")
+        made = unit.transform(tf.transform(frame.withColumn("_words", words)))
+        return made.withColumn(vector, vector_to_array("_unit", "float32")).drop("_words", "_counts", "_unit")
 
     return embed
 

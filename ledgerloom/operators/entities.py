@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions import text
+from ledgerloom.functions.bind import computed_once
 from ledgerloom.operators import upsert as merge
 
 ENTITY_KEYS = ["label", "entityId"]
@@ -29,28 +30,26 @@ def _label(node: Column) -> Column:
 
 def extracted_nodes(extractions: DataFrame, doc: str) -> DataFrame:
     """One cleaned row per extracted node: doc, docOrder, nodeOrder, label, entityId, properties."""
-    return extractions.select(doc, "docOrder", F.posexplode("graph.nodes").alias("nodeOrder", "n")).select(
-        doc,
-        "docOrder",
-        "nodeOrder",
-        _label(F.col("n")).alias("label"),
-        text.title_case(F.col("n.entityId")).alias("entityId"),
-        text.property_map(F.col("n.properties")).alias("properties"),
-    )
+    nodes = extractions.select(doc, "docOrder", F.posexplode("graph.nodes").alias("nodeOrder", "n"))
+    return computed_once(
+        nodes,
+        label=_label(F.col("n")),
+        entityId=text.title_case(F.col("n.entityId")),
+        properties=text.property_map(F.col("n.properties")),
+    ).drop("n")
 
 
 def extracted_rels(extractions: DataFrame) -> DataFrame:
     """One cleaned row per extracted relation."""
-    return extractions.select("docOrder", F.posexplode("graph.rels").alias("relOrder", "r")).select(
-        "docOrder",
-        "relOrder",
-        _label(F.col("r.source")).alias("srcLabel"),
-        text.title_case(F.col("r.source.entityId")).alias("src"),
-        text.relation_type(F.col("r.type")).alias("type"),
-        _label(F.col("r.target")).alias("dstLabel"),
-        text.title_case(F.col("r.target.entityId")).alias("dst"),
-        text.property_map(F.col("r.properties")).alias("properties"),
-    )
+    return computed_once(
+        extractions.select("docOrder", F.posexplode("graph.rels").alias("relOrder", "r")),
+        srcLabel=_label(F.col("r.source")),
+        src=text.title_case(F.col("r.source.entityId")),
+        type=text.relation_type(F.col("r.type")),
+        dstLabel=_label(F.col("r.target")),
+        dst=text.title_case(F.col("r.target.entityId")),
+        properties=text.property_map(F.col("r.properties")),
+    ).drop("r")
 
 
 def allowed(nodes: DataFrame, labels: list[str] | None = None) -> DataFrame:

@@ -77,8 +77,11 @@ def join_funnel(companies: DataFrame, holdings: DataFrame, compat: bool = False)
     left = companies.groupBy(F.col("cusip6").alias("l")).agg(
         F.count("*").alias("companies"), F.count("cik").alias("companies_with_cik")
     )
-    right = holdings.groupBy(F.col("cusip6").alias("r")).agg(
-        F.count("*").alias("holdings"), F.count("managerCik").alias("holdings_with_manager")
+    # Rows per (manager, prefix): the counts per prefix and the distinct pairs both come from this one frame.
+    per_pair = holdings.groupBy("managerCik", "cusip6").agg(F.count("*").alias("rows"))
+    right = per_pair.groupBy(F.col("cusip6").alias("r")).agg(
+        F.sum("rows").alias("holdings"),
+        F.sum(F.when(F.col("managerCik").isNotNull(), F.col("rows"))).alias("holdings_with_manager"),
     )
     both = left.join(right, _same(left["l"], right["r"], compat), "full")
     n, m = F.coalesce("companies", F.lit(0)), F.coalesce("holdings", F.lit(0))
@@ -93,7 +96,7 @@ def join_funnel(companies: DataFrame, holdings: DataFrame, compat: bool = False)
         F.sum(m * F.greatest(n, F.lit(1))).alias("right_joined"),
         F.sum(m * listed).alias("right_filtered"),
     )
-    holders = holdings.select("managerCik", "cusip6").distinct()
+    holders = per_pair.select("managerCik", "cusip6")
     ciks = companies.filter(F.col("cik").isNotNull()).select(F.col("cusip6").alias("_listed"), "cik").distinct()
     pairs = holders.join(ciks, _same(holders["cusip6"], ciks["_listed"], compat)).select("managerCik", "cik")
     pair_count = pairs.distinct().agg(F.count("*").alias("right_deduped"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text
 from ledgerloom.operators import entities
-from ledgerloom.plans.catalog import Tables, query
+from ledgerloom.plans.catalog import Tables, query, spread
 
 CREATED, UPDATED = "2023-01-01 00:00:00", "2024-06-01 12:00:00"
 
@@ -57,7 +57,7 @@ def stored(t: Tables) -> DataFrame:
         F.lit(None).cast("array<struct<key: string, value: string>>").alias("properties"),
     )
     graph = F.struct(F.array(customer, nation).alias("nodes"), F.array(located, within).alias("rels"))
-    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
+    joined = spread(t.orders).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
         F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")
     )
     return joined.select(

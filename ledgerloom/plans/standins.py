@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import ids
 from ledgerloom.operators import chunks
-from ledgerloom.plans.catalog import Tables
+from ledgerloom.plans.catalog import Tables, spread
 
 STOCK_WORDS = ("RING", "BOLT", "GEAR")
 STOCK_TYPE = "R"
@@ -24,7 +24,7 @@ CUSIP6_SQL = "CASE WHEN {c} LIKE '000%' THEN substr({c}, 2, 6) ELSE substr({c},
 
 
 def cusip_of(key: Column) -> Column:
-    return F.format_string("%09d", (key * 7919993) % 1000000000)
+    return F.lpad(((key * 7919993) % 1000000000).cast("string"), 9, "0")
 
 
 def part_cusip_sql() -> str:
@@ -99,7 +99,7 @@ FROM part WHERE p_size <= {SMALL_COMPANY})"""
 
 def document_sections(t: Tables) -> DataFrame:
     """Every document as a one-section form."""
-    return t.documents.select(
+    return spread(t.documents).select(
         F.col("doc_id").cast("string").alias("formId"),
         F.lpad(F.col("doc_id").cast("string"), 10, "0").alias("cik"),
         F.substring(cusip_of(F.col("doc_id")), 1, 6).alias("cusip6"),
