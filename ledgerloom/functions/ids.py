@@ -44,8 +44,11 @@ def flat_file_name(path: Column) -> Column:
 
 
 def source_from_file_name(file_name: Column) -> Column:
-    """Inverse of :func:`flat_file_name`. Paths that held ``_`` do not come back; keep a mapping column then."""
-    return F.concat(F.lit(ARCHIVE_ROOT), F.translate(file_name, "_", "/"))
+    """Inverse of :func:`flat_file_name`, with or without the leading ``_``.
+
+    Paths that held ``_`` do not come back; keep a mapping column then.
+    """
+    return F.concat(F.lit(f"{ARCHIVE_ROOT}/"), F.ltrim(F.translate(file_name, "_", "/"), F.lit("/")))
 
 
 def cusip6(cusip: Column) -> Column:

@@ -31,25 +31,22 @@ def _label(node: Column) -> Column:
 def extracted_nodes(extractions: DataFrame, doc: str) -> DataFrame:
     """One cleaned row per extracted node: doc, docOrder, nodeOrder, label, entityId, properties."""
     nodes = extractions.select(doc, "docOrder", F.posexplode("graph.nodes").alias("nodeOrder", "n"))
-    return computed_once(
-        nodes,
-        label=_label(F.col("n")),
-        entityId=text.title_case(F.col("n.entityId")),
-        properties=text.property_map(F.col("n.properties")),
-    ).drop("n")
+    # Keys are filtered on; properties are only carried, so they stay prunable.
+    keyed = computed_once(nodes, label=_label(F.col("n")), entityId=text.title_case(F.col("n.entityId")))
+    return keyed.withColumn("properties", text.property_map(F.col("n.properties"))).drop("n")
 
 
 def extracted_rels(extractions: DataFrame) -> DataFrame:
     """One cleaned row per extracted relation."""
-    return computed_once(
+    keyed = computed_once(
         extractions.select("docOrder", F.posexplode("graph.rels").alias("relOrder", "r")),
         srcLabel=_label(F.col("r.source")),
         src=text.title_case(F.col("r.source.entityId")),
         type=text.relation_type(F.col("r.type")),
         dstLabel=_label(F.col("r.target")),
         dst=text.title_case(F.col("r.target.entityId")),
-        properties=text.property_map(F.col("r.properties")),
-    ).drop("r")
+    )
+    return keyed.withColumn("properties", text.property_map(F.col("r.properties"))).drop("r")
 
 
 def allowed(nodes: DataFrame, labels: list[str] | None = None) -> DataFrame:

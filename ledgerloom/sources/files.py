@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from pathlib import Path
+
+import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +15,7 @@ from ledgerloom.functions import ids, text
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    # Backslash is ordinary text in these files; quotes are doubled.
+    # Backslash is ordinary text in these files; quotes are doubled. An empty cell is a null.
     return spark.read.schema(schema).options(header=True, escape='"', multiLine=True).csv(path)
 
 
@@ -24,8 +29,7 @@ def write_csv(frame: DataFrame, path: str) -> None:
     """CSV with a header line. Array columns are written as ``{'a', 'b'}`` cells."""
     lists = {f.name: text.render_list(F.col(f.name)) for f in frame.schema if f.dataType.typeName() == "array"}
     flat = frame.withColumns(lists) if lists else frame
-    # Empty strings are quoted, so they come back as empty strings and not as nulls.
-    flat.write.mode("overwrite").options(header=True, escape='"', emptyValue='""').csv(path)
+    flat.write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
 def write_json(frame: DataFrame, path: str) -> None:
@@ -44,13 +48,49 @@ def read_section_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_raw_files(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
-    """One row per raw file: file_name, raw."""
+    """One row per raw file: file_name, raw.
+
+    Spark hides files whose names begin with ``_``; for those see :func:`read_underscored_files`.
+    """
     frame = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
     return frame.select(
         F.col("_metadata.file_name").alias("file_name"), text.unix_newlines(F.col("value")).alias("raw")
     )
 
 
+def _list_folder(path: str, suffix: str):
+    store, folder = pafs.FileSystem.from_uri(path if "://" in path else Path(path).absolute().as_uri())
+    listed = store.get_file_info(pafs.FileSelector(folder))
+    return store, folder, [f for f in listed if f.type == pafs.FileType.File and f.base_name.endswith(suffix)]
+
+
+def empty_files(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
+    """Quarantine rows for files without content, which no file scan returns: file, stage, reason."""
+    rows = [(f.base_name, "parse", "empty file") for f in _list_folder(path, suffix)[2] if f.size == 0]
+    return spark.createDataFrame(rows, "file STRING, stage STRING, reason STRING")
+
+
+def read_underscored_files(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
+    """As :func:`read_raw_files`, for a folder of files named after paths, which begin with ``_``.
+
+    The driver lists names only, as it does for any file scan; the tasks open the files one at a time.
+    """
+    store, folder, listed = _list_folder(path, suffix)
+    names = [(f.base_name,) for f in listed]
+    tasks = max(1, min(len(names), spark.sparkContext.defaultParallelism * 4))
+
+    def contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name in batch["file_name"]:
+                with store.open_input_stream(f"{folder}/{name}") as stream:
+                    raw = stream.read().decode("utf-8", "replace")
+                yield pd.DataFrame({"file_name": [name], "raw": [raw]})
+
+    spread = spark.createDataFrame(names, "file_name STRING").repartition(tasks)
+    found = spread.mapInPandas(contents, "file_name STRING, raw STRING")
+    return found.withColumn("raw", text.unix_newlines(F.col("raw")))
+
+
 def read_filing_history(spark: SparkSession, path: str) -> DataFrame:
     """Filing history documents, one JSON file per company, company id from the file name."""
     frame = spark.read.schema(schemas.FILING_HISTORY).option("multiLine", True).json(path)

@@ -61,8 +61,10 @@ def index_paths(lines: DataFrame, form: str = HOLDINGS_REPORT) -> DataFrame:
 
 def calendar(bounds: DataFrame) -> DataFrame:
     """Every day from ``end_date`` back to ``start_date``, both inclusive."""
-    days = F.sequence("end_date", "start_date", F.expr("INTERVAL -1 DAY"))
-    return bounds.filter(F.col("end_date") >= F.col("start_date")).select(F.explode(days).alias("day"))
+    days = F.when(
+        F.col("end_date") >= F.col("start_date"), F.sequence("end_date", "start_date", F.expr("INTERVAL -1 DAY"))
+    )
+    return bounds.select(F.explode(days).alias("day"))
 
 
 def daily_index_paths(bounds: DataFrame) -> DataFrame:
