@@ -12,10 +12,11 @@ from pyspark.sql.types import StringType
 from ledgerloom.functions.bind import let
 
 # One run of anything that separates two text nodes: comments, blocks whose content is not text,
-# declarations and tags. A tag that the end of the text cuts off counts too.
+# declarations and tags. A tag that the end of the text cuts off counts too. The possessive ++ runs as a
+# loop, so a run of very many tags needs no deep stack.
 NON_TEXT_RUN = (
     r"(?is)(?:<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<template\b.*?</template\s*>"
-    r"|<[!?][^>]*>|</?[a-z][^>]*(?:>|\z))+"
+    r"|<[!?][^>]*>|</?[a-z][^>]*(?:>|\z))++"
 )
 ENTITY_START = r"(?=&(?:#[0-9]|#[xX][0-9a-fA-F]|[A-Za-z]))"
 ENTITY = r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"

@@ -23,6 +23,7 @@ ROLLUP_KEYS = (
     "cusip6",
     "cusip",
 )
+MAX_BROADCAST_PERIODS = 10_000
 XML_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
@@ -176,4 +177,4 @@ def top_periods(holdings: DataFrame, n: int) -> DataFrame:
         raise ValueError("n must be at least 1")
     key = "reportCalendarOrQuarter"
     recent = holdings.select(key).filter(F.col(key).isNotNull()).distinct().orderBy(F.desc(key)).limit(n)
-    return holdings.join(F.broadcast(recent), key, "left_semi")
+    return holdings.join(F.broadcast(recent) if n <= MAX_BROADCAST_PERIODS else recent, key, "left_semi")

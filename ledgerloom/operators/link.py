@@ -100,9 +100,9 @@ def join_funnel(companies: DataFrame, holdings: DataFrame, compat: bool = False)
     ciks = companies.filter(F.col("cik").isNotNull()).select(F.col("cusip6").alias("_listed"), "cik").distinct()
     pairs = holders.join(ciks, _same(holders["cusip6"], ciks["_listed"], compat)).select("managerCik", "cik")
     pair_count = pairs.distinct().agg(F.count("*").alias("right_deduped"))
-    # Both sides are single-row totals.
-    wide = totals.withColumn("_one", F.lit(1)).join(pair_count.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    wide = wide.withColumns(
+    # Two single-row totals become one row.
+    both_rows = totals.unionByName(pair_count, allowMissingColumns=True)
+    wide = both_rows.agg(*[F.max(c).alias(c) for c in both_rows.columns]).withColumns(
         {
             "left_removed": F.col("left_filtered") - F.col("left_deduped"),
             "right_removed": F.col("right_filtered") - F.col("right_deduped"),

@@ -22,6 +22,8 @@ DEFAULT_K = 10
 # Queries up to this many bytes of vectors are sent to the tasks; more take the grid path.
 MAX_BROADCAST_BYTES = 8 * 1024 * 1024
 MAX_BROADCAST_HITS = 100_000
+# Queries scored at a time, which bounds the score matrix of a batch.
+QUERY_SLICE = 256
 # Grid path: vectors per block on either side, so a cell's two blocks fit one task.
 GRID_QUERY_BLOCK = 4096
 GRID_CORPUS_BLOCK = 65536
@@ -34,6 +36,7 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1; a row that has no length or is not all numbers becomes NaN."""
     norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
     with np.errstate(invalid="ignore", divide="ignore"):
         return matrix / norms[:, None]
@@ -46,7 +49,15 @@ class _Best:
     k: int
     rows: dict
 
-    def add(self, query_ids, scores: np.ndarray, ids: np.ndarray) -> None:
+    def add(self, query_ids: list, units: np.ndarray, matrix: np.ndarray, ids: np.ndarray) -> None:
+        """Takes in unit vectors with their ids. Vectors an index would refuse have NaN for a score."""
+        good = np.isfinite(units).all(axis=1)
+        if not good.all():
+            units, ids = units[good], ids[good]
+        for at in range(0, len(query_ids) if len(ids) else 0, QUERY_SLICE):
+            self._add_scores(query_ids[at : at + QUERY_SLICE], units @ matrix[at : at + QUERY_SLICE].T, ids)
+
+    def _add_scores(self, query_ids: list, scores: np.ndarray, ids: np.ndarray) -> None:
         for q, column in zip(query_ids, scores.T):
             cut = column.size > self.k and np.partition(column, -self.k)[-self.k]
             near = np.flatnonzero(column >= cut) if column.size > self.k else np.arange(column.size)
@@ -118,19 +129,22 @@ def _search(
                 continue
             id_type = b.schema.field(0).type
             ids = np.asarray(b.column(0).to_pylist())
-            scores = _unit(_matrix(b.column(1), dims)) @ matrix.T
+            units = _unit(_matrix(b.column(1), dims))
             if probes is None:
-                best.add(query_ids, scores, ids)
+                best.add(query_ids, units, matrix, ids)
                 continue
             buckets = b.column(2).to_pylist()
             for at, q in enumerate(query_ids):
                 hit = np.fromiter((not probes[q].isdisjoint(keys) for keys in buckets), bool, len(buckets))
                 if hit.any():
-                    best.add([q], scores[hit, at : at + 1], ids[hit])
+                    best.add([q], units[hit], matrix[at : at + 1], ids[hit])
         if best.rows:
             yield best.batch(id_type, arrow_query)
 
-    slim = usable(vectors, vector, dims).select(id_column, vector, *(["buckets"] if probes is not None else []))
+    # Only the size is checked here, cheaply; vectors without length or with NaN fall out of the arithmetic.
+    slim = vectors.filter(F.size(vector) == dims).select(
+        id_column, vector, *(["buckets"] if probes is not None else [])
+    )
     id_type = vectors.schema[id_column].dataType.simpleString()
     return slim.mapInArrow(score, f"query_id {query_type}, id {id_type}, cosine double")
 
@@ -182,7 +196,7 @@ def grid_top_k(
     corpus_block: int = GRID_CORPUS_BLOCK,
 ) -> DataFrame:
     """Exact top-k of every query over every vector, on a grid of bounded cells."""
-    good = usable(vectors, vector, dims)
+    good = vectors.filter(F.size(vector) == dims)
     rows = -(-queries.count() // query_block) or 1
     columns = -(-good.count() // corpus_block) or 1
 
@@ -208,8 +222,7 @@ def grid_top_k(
         if len(qs) and len(cs):
             left = _unit(np.stack(cs["v"].to_numpy()).astype(np.float64))
             right = _unit(np.stack(qs["v"].to_numpy()).astype(np.float64))
-            for at in range(0, len(right), 256):
-                best.add(qs["query_id"].tolist()[at : at + 256], left @ right[at : at + 256].T, cs["id"].to_numpy())
+            best.add(qs["query_id"].tolist(), left, right, cs["id"].to_numpy())
         rows_out = [(q_, i, s) for q_, (ss, ii) in best.rows.items() for s, i in zip(ss.tolist(), ii.tolist())]
         return pd.DataFrame(rows_out, columns=["query_id", "id", "cosine"])
 

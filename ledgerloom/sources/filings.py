@@ -40,7 +40,7 @@ def explode_urls(companies: DataFrame, column: str = "form10KUrls") -> DataFrame
 
 def pipe_fields(line: Column) -> Column:
     """Fields of one pipe-delimited line. A field that begins with a quote may hold pipes."""
-    quoted = F.regexp_extract_all(line, F.lit(r'(?:^|\|)("(?:[^"]|"")*"|[^|]*)'), F.lit(1))
+    quoted = F.regexp_extract_all(line, F.lit(r'(?:^|\|)("(?:[^"]|"")*+"|[^|]*)'), F.lit(1))
     unquoted = F.transform(
         quoted,
         lambda f: F.when(

@@ -62,13 +62,8 @@ def test_section_text(raw, rows):
     good = [r[1:] for r in rows(got, "file_name", "item", "text") if r[0] == "good.txt"]
     assert good == [
         ("item1", "Item 1. Business\nWe make tools. "),
-        ("item1a", "ITEM 1A. Risks\nMany.\nItem 1B\nnone"),
-        ("item7", "Item 7. Discussion\nGood & bad.\n\n"),
-        ("item7a", "ITEM 7A Market\n\nRates."),
-    ] or good == [
-        ("item1", "Item 1. Business\nWe make tools. "),
-        ("item1a", "ITEM 1A. Risks\nMany."),
-        ("item7", "Item 7. Discussion\nGood & bad.\n\n"),
+        ("item1a", "ITEM\u00a01A. Risks\nMany."),
+        ("item7", "Item\u00a07. Discussion\nGood & bad.\n\n"),
         ("item7a", "ITEM 7A Market\n\nRates."),
     ]
     exact = sections.sections(sections.main_document(raw), exact_markup=True)
@@ -147,7 +142,8 @@ def test_recursive_pieces_fit_and_lose_no_word(text, size, overlap):
 def test_recursive_pieces_prefer_paragraphs_and_overlap():
     text = "aaa bbb\n\nccc ddd\n\neee"
     assert split_text(text, 10, 0, ["\n\n", "\n", " ", ""]) == ["aaa bbb", "ccc ddd", "eee"]
-    assert split_text("one two three four", 9, 4, ["\n\n", "\n", " ", ""]) == ["one two", "two three", "four"] or True
+    assert split_text("one two three four", 9, 4, ["\n\n", "\n", " ", ""]) == ["one two", "three", "four"]
+    assert split_text("one two six ten", 11, 4, ["\n\n", "\n", " ", ""]) == ["one two six", "six ten"]
     assert split_text("abcdefghij", 4, 2, [""]) == ["abcd", "cdef", "efgh", "ghij"]
 
 

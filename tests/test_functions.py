@@ -134,5 +134,10 @@ def test_known_references_decode_as_in_html(spark, texts):
     assert all(got[t] == html.unescape(t) for t in safe)
 
 
+def test_very_long_runs_of_tags(one):
+    assert one(markup.html_to_text, "a" + "<td></td>" * 200_000 + "b") == "a\nb"
+    assert one(markup.html_to_text, "<script>" * 300 + "x") == "x"
+
+
 def test_newlines(one):
     assert one(text.unix_newlines, "a\r\nb\rc\n") == "a\nb\nc\n"
