@@ -61,18 +61,18 @@ def merge_entities(existing: DataFrame, nodes: DataFrame, rels: DataFrame | None
     """
     batch = nodes.select(*ENTITY_KEYS, "properties", "docOrder", "nodeOrder", F.lit(0).alias("bare"))
     if rels is not None:
-        ends = [
-            rels.select(
-                F.col(label).alias("label"),
-                F.col(end).alias("entityId"),
-                F.expr("CAST(map() AS MAP<STRING, STRING>)").alias("properties"),
-                "docOrder",
-                F.lit(0).alias("nodeOrder"),
-                F.lit(1).alias("bare"),
-            )
+        both = [
+            F.struct(F.col(label).alias("label"), F.col(end).alias("entityId"))
             for label, end in (("srcLabel", "src"), ("dstLabel", "dst"))
         ]
-        batch = batch.unionByName(ends[0]).unionByName(ends[1])
+        ends = rels.select(
+            F.inline(F.array(*both)),
+            F.expr("CAST(map() AS MAP<STRING, STRING>)").alias("properties"),
+            "docOrder",
+            F.lit(0).alias("nodeOrder"),
+            F.lit(1).alias("bare"),
+        )
+        batch = batch.unionByName(ends)
     return merge.upsert(existing, batch, ENTITY_KEYS, ["docOrder", "bare", "nodeOrder"], merge.FIRST)
 
 

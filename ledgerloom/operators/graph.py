@@ -176,9 +176,13 @@ def graph_profile(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """
 
     def one(frame: DataFrame, kind: str, name: str) -> DataFrame:
-        rows = frame.groupBy(F.col(name).alias("name")).agg(F.count("*").alias("rows"))
+        # Rows per (name, set of keys): row counts and key names both come from this one small frame.
+        shapes = frame.groupBy(F.col(name).alias("name"), F.array_sort(F.map_keys("properties")).alias("keys")).agg(
+            F.count("*").alias("rows")
+        )
+        rows = shapes.groupBy("name").agg(F.sum("rows").alias("rows"))
         keys = (
-            frame.select(F.col(name).alias("name"), F.explode(F.map_keys("properties")).alias("key"))
+            shapes.select("name", F.explode("keys").alias("key"))
             .distinct()
             .groupBy("name")
             .agg(F.array_join(F.array_sort(F.collect_set("key")), ",").alias("properties"))

@@ -52,21 +52,28 @@ def parse_submissions(raw: DataFrame) -> DataFrame:
     return parsed.withColumn("reason", reason)
 
 
-def holding_lines(submissions: DataFrame) -> DataFrame:
-    """One row per reported line of the files that parsed, all values still text."""
+def holding_lines(submissions: DataFrame, keep_failed: bool = False) -> DataFrame:
+    """One row per reported line of the files that parsed, all values still text.
+
+    With ``keep_failed``, a file that did not parse gives one row with its reason in ``fileReason``.
+    """
     page = "cover.formData.coverPage"
+    parsed = submissions if keep_failed else submissions.filter(F.col("reason").isNull())
+    explode = F.posexplode_outer if keep_failed else F.posexplode
+    table = F.col("holdings.infoTable")
     return (
-        submissions.filter(F.col("reason").isNull())
-        .select(
+        parsed.select(
             "file_name",
+            F.col("reason").alias("fileReason"),
             F.col("cover.headerData.filerInfo.filer.credentials.cik").alias("managerCik"),
             F.array_join(F.map_values(f"{page}.filingManager.address"), ", ").alias("managerAddress"),
             F.col(f"{page}.filingManager.name").alias("managerName"),
             F.col(f"{page}.reportCalendarOrQuarter").alias("period"),
-            F.posexplode("holdings.infoTable").alias("line", "h"),
+            explode(F.when(F.col("reason").isNull(), table) if keep_failed else table).alias("line", "h"),
         )
         .select(
             "file_name",
+            *(["fileReason"] if keep_failed else []),
             "line",
             "managerCik",
             "managerAddress",
@@ -82,25 +89,29 @@ def holding_lines(submissions: DataFrame) -> DataFrame:
     )
 
 
+def is_common_stock(share_type: str = SHARE_TYPE, words: tuple[str, ...] = STOCK_WORDS) -> Column:
+    """Exact share type, and a title that holds any word (case matters)."""
+    any_word = F.lit(False)
+    for word in words:
+        any_word = any_word | F.contains(F.col("title"), F.lit(word))
+    return (F.col("shareType") == share_type) & any_word
+
+
 def security_filter(
     lines: DataFrame,
     share_type: str = SHARE_TYPE,
     words: tuple[str, ...] = STOCK_WORDS,
     drop_zero_cusip: bool = False,
 ) -> DataFrame:
-    """Common stock only: exact share type, and a title that holds any word (case matters)."""
-    any_word = F.lit(False)
-    for word in words:
-        any_word = any_word | F.contains(F.col("title"), F.lit(word))
-    kept = lines.filter((F.col("shareType") == share_type) & any_word)
+    """Common stock only."""
+    kept = lines.filter(is_common_stock(share_type, words))
     return kept.filter(F.col("cusip") != NO_SECURITY) if drop_zero_cusip else kept
 
 
 def typed_lines(lines: DataFrame, compat: bool = False) -> DataFrame:
     """Text lines -> typed holdings, with ``reason`` set where a number or date does not parse."""
     typed = lines.select(
-        "file_name",
-        "line",
+        *[c for c in ("file_name", "fileReason", "line") if c in lines.columns],
         ids.source_from_file_name(F.col("file_name")).alias("source"),
         "managerCik",
         "managerAddress",
@@ -134,15 +145,18 @@ def holdings_from_xml(
 def parse_failures(
     raw: DataFrame, share_type: str = SHARE_TYPE, words: tuple[str, ...] = STOCK_WORDS
 ) -> DataFrame:
-    """Quarantine: every file or line that gave no holding because it could not be read."""
-    submissions = parse_submissions(raw)
-    files = submissions.filter(F.col("reason").isNotNull()).select(
-        F.col("file_name").alias("file"), F.lit("parse").alias("stage"), "reason"
-    )
-    bad = typed_lines(security_filter(holding_lines(submissions), share_type, words)).filter(
-        F.col("reason").isNotNull()
+    """Quarantine: every file or line that gave no holding because it could not be read: file, stage, reason.
+
+    Files and lines are told apart after one parse.
+    """
+    lines = holding_lines(parse_submissions(raw), keep_failed=True)
+    failed = F.col("fileReason").isNotNull()
+    typed = typed_lines(lines.filter(failed | is_common_stock(share_type, words)))
+    return typed.filter(failed | F.col("reason").isNotNull()).select(
+        F.col("file_name").alias("file"),
+        F.when(failed, "parse").otherwise("types").alias("stage"),
+        F.coalesce("fileReason", "reason").alias("reason"),
     )
-    return files.unionByName(bad.select(F.col("file_name").alias("file"), F.lit("types").alias("stage"), "reason"))
 
 
 def rollup(holdings: DataFrame, order_by: tuple[str, ...] = ("companyName",)) -> DataFrame:

@@ -23,17 +23,18 @@ def next_in_group(
     block = "_block"
     by_block = Window.partitionBy(*keys, block).orderBy(position)
     inside = frame.withColumn(block, F.floor(F.col(position) / block_rows)).withColumns(
-        {"_next": F.lead(value).over(by_block), "_rank": F.row_number().over(by_block)}
+        {"_next": F.lead(value).over(by_block), "_before": F.lag(position).over(by_block)}
     )
-    # The head of each block, matched to the block before it. Both sides share one shuffle of the input.
-    heads = inside.filter(F.col("_rank") == 1).select(*keys, block, F.col(value).alias("_head"))
+    # The head of each block, matched to the block before it. Heads are told by what stands before them and
+    # not by a rank, so that both sides read the same shuffle and the input is computed once.
+    heads = inside.filter(F.col("_before").isNull()).select(*keys, block, F.col(value).alias("_head"))
     following = heads.select(
         *keys, block, F.lead("_head").over(Window.partitionBy(*keys).orderBy(block)).alias("_next_head")
     ).filter(F.col("_next_head").isNotNull())
     return (
         inside.join(following, [*keys, block], "left")
         .withColumn("next_value", F.coalesce("_next", "_next_head"))
-        .drop(block, "_next", "_rank", "_next_head")
+        .drop(block, "_next", "_before", "_next_head")
     )
 
 

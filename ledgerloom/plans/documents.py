@@ -25,7 +25,7 @@ MAIN_SQL = f"""'\n<TYPE>10-K\n<TEXT>{CONTENTS}' || {LAST_CONTENT_SQL} || '{HEADE
    || CASE WHEN lang = 'fr' THEN '' ELSE '{HEADERS[3]}</h2>' || {_Q[3]} END || '<p>ITEM 8 Statements</p></TEXT>\n'"""
 
 
-def bundles(t: Tables) -> DataFrame:
+def bundles(t: Tables, complete_only: bool = False) -> DataFrame:
     first, second, third, fourth = S.quarter_slices(F.col("text"))
     main = F.concat(
         F.when(F.col("lang") == "es", "\n<TYPE>10-K405\n").otherwise("\n<TYPE>10-K\n"),
@@ -42,7 +42,8 @@ def bundles(t: Tables) -> DataFrame:
     )
     exhibit = "<DOCUMENT>\n<TYPE>EX-21\nItem 1. subsidiaries\n</DOCUMENT>\n"
     raw = F.concat(F.lit(f"<SEC-HEADER>\r\n{exhibit}<DOCUMENT>"), main, F.lit("</DOCUMENT>\n"))
-    return spread(t.documents).select("doc_id", text.unix_newlines(raw).alias("raw"))
+    documents = t.documents.filter(~F.col("lang").isin("es", "fr")) if complete_only else t.documents
+    return spread(documents).select("doc_id", text.unix_newlines(raw).alias("raw"))
 
 
 @query(
@@ -122,8 +123,7 @@ _PIECES = [
         FROM p QUALIFY item <> ''""",
 )
 def section_end_lead(t: Tables) -> DataFrame:
-    complete = bundles(t).join(t.documents.filter(~F.col("lang").isin("es", "fr")), "doc_id", "left_semi")
-    return sections.section_bounds(sections.main_document(complete))
+    return sections.section_bounds(sections.main_document(bundles(t, complete_only=True)))
 
 
 @query("html_to_text", f"SELECT page_id, {_markup_sql('html')} AS text FROM pages")
@@ -146,7 +146,7 @@ def chunk_fixed(t: Tables) -> DataFrame:
 
 @query("chunk_recursive")
 def chunk_recursive(t: Tables) -> DataFrame:
-    return chunks.chunk_recursive(S.document_sections(Tables(t.spark, t.folder)))
+    return chunks.chunk_recursive(S.document_sections(t))
 
 
 @query("embed_chunks")

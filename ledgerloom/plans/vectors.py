@@ -66,8 +66,12 @@ def vector_topk_lsh(t: Tables) -> DataFrame:
 )
 def retrieval_context(t: Tables) -> DataFrame:
     texts = t.documents.select(F.col("doc_id").alias("id"), "text", "source")
-    # The queries went through the size check of the top-k; ten hits of each are as few.
-    return vectors.retrieval_context(hits(t), texts, "id")
+    # Few enough queries to hold in a list have few hits too, which can then be sent to the texts.
+    few = vectors.collect_queries(label_queries(t), "query_id", "embedding", DIMS)
+    if not few:
+        return vectors.retrieval_context(hits(t), texts, "id")
+    found = vectors.top_k(spread(t.embeddings), few, "vec_id", "embedding", K)
+    return vectors.retrieval_context(found, texts, "id", max_hits=len(few) * K)
 
 
 @query(
