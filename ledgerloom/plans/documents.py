@@ -55,7 +55,7 @@ def tenk_main_document(t: Tables) -> DataFrame:
     return sections.main_document(bundles(t)).drop("raw")
 
 
-def _markup_sql(source: str) -> str:
+def _markup_sql(source: str, last_amp: bool = True) -> str:
     """The native markup chain, with the references that occur in the given tables."""
     cuts = (
         f"regexp_replace({source}, '(?is)(?:<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>"
@@ -66,7 +66,7 @@ def _markup_sql(source: str) -> str:
         sql = f"replace({sql}, '&{name};', chr({name2codepoint[name]}))"
     for number in (39, 160):
         sql = f"replace({sql}, '&#{number};', chr({number}))"
-    return f"replace({sql}, '&amp;', '&')"
+    return f"replace({sql}, '&amp;', '&')" if last_amp else sql
 
 
 def _section_sql(head: str, part: str) -> str:
@@ -131,7 +131,12 @@ def html_to_text(t: Tables) -> DataFrame:
     return spread(t.pages).select("page_id", markup.html_to_text(F.col("html")).alias("text"))
 
 
-@query("html_to_text_exact")
+# The parser also reads "&amp" without its semicolon.
+@query(
+    "html_to_text_exact",
+    f"""SELECT page_id, replace(replace(replace({_markup_sql("html", last_amp=False)}, '&amp;', chr(2)), '&amp', '&'),
+               chr(2), '&') AS text FROM pages""",
+)
 def html_to_text_exact(t: Tables) -> DataFrame:
     return spread(t.pages).select("page_id", markup.html_to_text_exact(F.col("html")).alias("text"))
 

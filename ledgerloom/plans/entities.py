@@ -57,8 +57,11 @@ def stored(t: Tables) -> DataFrame:
         F.lit(None).cast("array<struct<key: string, value: string>>").alias("properties"),
     )
     graph = F.struct(F.array(customer, nation).alias("nodes"), F.array(located, within).alias("rels"))
-    people = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    joined = spread(t.orders).join(people, F.col("o_custkey") == F.col("c_custkey"))
+    joined = (
+        spread(t.orders)
+        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    )
     return joined.select(
         F.col("o_orderkey").alias("documentId"), F.col("o_orderkey").alias("docOrder"), F.to_json(graph).alias("extraction")
     )

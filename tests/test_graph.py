@@ -138,3 +138,24 @@ def test_vector_violations(spark, rows):
     assert rows(quality.vector_violations(frame, "id", "v", 2)) == [
         (2, "wrong size"), (3, "zero length"), (4, "not a number"), (5, "missing"), (6, "not a number"),
     ]
+
+
+def test_a_hot_group_is_spread_over_tasks(spark):
+    # One group holds a third of all rows, the others are small.
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 997).cast("string"))).alias("g"),
+        F.col("id").cast("int").alias("p"),
+        F.col("id").cast("string").alias("t"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        linked = next_in_group(rows, ["g"], "p", "t", 300)
+        texts = ordered_text(rows, ["g"], "p", "t", 300).withColumn("n", F.length("text"))
+        for frame, size, used in ((linked, F.count("*"), "next_value"), (texts, F.sum("n"), "text")):
+            by_task = frame.groupBy(F.spark_partition_id().alias("task")).agg(size.alias("n"), F.max(used))
+            loads = [r.n for r in by_task.collect()]
+            assert max(loads) < sum(loads) / 5
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
