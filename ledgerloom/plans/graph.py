@@ -142,11 +142,11 @@ def node_count(t: Tables) -> DataFrame:
 @query(
     "node_append",
     """SELECT c_custkey, c_name, c_mktsegment FROM customer
-       UNION ALL SELECT CAST(-1 AS BIGINT), 'Andreas', NULL""",
+       UNION ALL SELECT CAST(-1 AS BIGINT), 'Ada', NULL""",
 )
 def node_append(t: Tables) -> DataFrame:
     people = t.customer.select("c_custkey", "c_name", "c_mktsegment")
-    return graph.append_node(people, c_custkey=-1, c_name="Andreas")
+    return graph.append_node(people, c_custkey=-1, c_name="Ada")
 
 
 @query(
