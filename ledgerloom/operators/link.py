@@ -44,10 +44,12 @@ def companies_with_holdings(
     No holdings column survives, so this is a semi-join against the distinct prefixes, not a fan-out.
     """
     held = holdings.filter(F.col("managerCik").isNotNull()).select(F.col("cusip6").alias("_held")).distinct()
-    kept = companies.join(held, _same(companies["cusip6"], held["_held"], compat), "left_semi")
-    return keep_first(kept, list(dedupe_keys), list(order_by)).select(
-        "cusip6", "cik", "names", "cusip", "form10KUrls"
-    )
+    by_prefix = "cusip6" in dedupe_keys
+    # A prefix is held or not as a whole, so rows per prefix can be reduced before the join.
+    rows = keep_first(companies, list(dedupe_keys), list(order_by)) if by_prefix else companies
+    kept = rows.join(held, _same(rows["cusip6"], held["_held"], compat), "left_semi")
+    first = kept if by_prefix else keep_first(kept, list(dedupe_keys), list(order_by))
+    return first.select("cusip6", "cik", "names", "cusip", "form10KUrls")
 
 
 def holdings_with_companies(
