@@ -171,25 +171,21 @@ def node_count(*tables: DataFrame) -> DataFrame:
 def graph_profile(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Labels and relation types with their row counts and property names: kind, name, rows, properties.
 
-    Expects nodes (label, properties MAP) and edges (type, properties MAP). Names are collected from the
-    distinct (name, property) pairs, which the schema bounds.
+    Expects nodes (label, properties MAP) and edges (type, properties MAP). One pass over each table;
+    what is collected are the distinct property names of a label, which the schema bounds.
     """
 
     def one(frame: DataFrame, kind: str, name: str) -> DataFrame:
-        # Rows per (name, set of keys): row counts and key names both come from this one small frame.
         shapes = frame.groupBy(F.col(name).alias("name"), F.array_sort(F.map_keys("properties")).alias("keys")).agg(
             F.count("*").alias("rows")
         )
-        rows = shapes.groupBy("name").agg(F.sum("rows").alias("rows"))
-        keys = (
-            shapes.select("name", F.explode("keys").alias("key"))
-            .distinct()
-            .groupBy("name")
-            .agg(F.array_join(F.array_sort(F.collect_set("key")), ",").alias("properties"))
-        )
-        return rows.join(keys, "name", "left").select(
-            F.lit(kind).alias("kind"), "name", "rows", F.coalesce("properties", F.lit("")).alias("properties")
-        )
+        # One row per (name, key); the rows of a set of keys count once, at its first key.
+        listed = shapes.select("name", "rows", F.posexplode_outer("keys").alias("at", "key"))
+        counted = F.when(F.coalesce("at", F.lit(0)) == 0, F.col("rows")).otherwise(0)
+        per_key = listed.groupBy("name", "key").agg(F.sum(counted).alias("rows"))
+        return per_key.groupBy("name").agg(
+            F.sum("rows").alias("rows"), F.array_join(F.array_sort(F.collect_set("key")), ",").alias("properties")
+        ).select(F.lit(kind).alias("kind"), "name", "rows", "properties")
 
     return one(nodes, "node", "label").unionByName(one(edges, "relation", "type"))
 
