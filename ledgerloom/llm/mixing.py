@@ -4,12 +4,14 @@ Each document's expected number of copies is its source's target over its source
 outright; the rest is an inclusion probability. The flight moves the probabilities of a block of documents of one
 source along the null space of its constraints (words and documents), three documents at a time, until each is 0 or 1
 but for two. Blocks hold a bounded number of documents, so a source with a third of all rows is many blocks. What is
-left of all blocks flies again in blocks, level by level; where one block per source remains, the landing drops the
-document constraint, then the word constraint.
+left of all blocks flies again in blocks, level by level. Where one block per source remains, the landing takes of the
+roundings of the last two documents the one whose words are nearest to the target.
 """
 
 from __future__ import annotations
 
+from itertools import product
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -53,7 +55,7 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...], share: float, m
 
 
 def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, land: bool) -> np.ndarray:
-    """Probabilities after the flight: all 0 or 1 but for at most two, which ``land`` settles as well."""
+    """Probabilities after the flight: all 0 or 1 but for at most two, which ``land`` rounds."""
     p = p.astype(float).tolist()
     waiting = [k for k, x in enumerate(p) if DUST < x < 1 - DUST][::-1]
     draws = iter(rng.random(2 * len(waiting) + 8).tolist())
@@ -66,11 +68,6 @@ def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, land: bool) -
             move = [b - c, c - a, a - b]  # keeps the sum and the sum of words
             if not any(move):
                 move = [1.0, -1.0, 0.0]
-        elif land and len(active) == 2:
-            a, b = (size[k] for k in active)
-            move = [float(b), -float(a)] if a or b else [1.0, -1.0]
-        elif land and len(active) == 1:
-            move = [1.0]
         else:
             break
         up = min((1 - p[k]) / m if m > 0 else p[k] / -m for k, m in zip(active, move, strict=True) if m)
@@ -81,6 +78,13 @@ def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, land: bool) -
             if p[k] < DUST or p[k] > 1 - DUST:
                 p[k] = float(round(p[k]))
         active = [k for k in active if 0 < p[k] < 1]
+    if land and active:
+        nearest = min(
+            product((0.0, 1.0), repeat=len(active)),
+            key=lambda ends: abs(sum((e - p[k]) * size[k] for e, k in zip(ends, active, strict=True))),
+        )
+        for k, end in zip(active, nearest, strict=True):
+            p[k] = end
     return np.array(p)
 
 
@@ -88,7 +92,7 @@ def flight(units: DataFrame, blocks: Column, level: int, seed: int, land: bool)
     """One level: the units of each block of each source fly together."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("unit", kind="stable")
+        rows = rows.sort_values(["words", "unit"], ascending=[False, True], kind="stable")  # small ones stay for the landing
         digest = int(rows["unit"].iloc[0]) & (2**64 - 1)  # of the block's first unit: reruns agree
         rng = np.random.default_rng([seed, level, digest, len(rows)])
         return rows.assign(p=fly(rows["p"].to_numpy(), rows["words"].to_numpy(np.float64), rng, land))
