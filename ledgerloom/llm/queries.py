@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import line_dedup, mixing, packing, simhash
+from ledgerloom.llm import line_dedup, mixing, packing, rabitq, simhash, vafile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +29,12 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op2_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    found = rabitq.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 @query
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
@@ -59,6 +65,27 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query
+def op7_products(spark: SparkSession, folder: str) -> DataFrame:
+    found = vafile.top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+ORACLES["op7_products"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND q.vec_id % 50 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM pairs)
+SELECT * FROM ranked WHERE rank <= 5
+"""
+
+
 @query
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
