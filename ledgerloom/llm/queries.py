@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import line_dedup, mixing, packing, rabitq, simhash, vafile
+from ledgerloom.llm import language, line_dedup, mixing, packing, pii, quality, rabitq, simhash, toxicity, vafile
+from ledgerloom.llm.common import in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,6 +60,29 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = in_fold(F.col("doc_id"), folds=5, which=0)
+    found = language.identify(docs.select("doc_id", "text"), language.learn(docs, may_learn=~held_out))
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "lang_rejected"
+    )
+
+
+@query
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = in_fold(F.col("doc_id"), folds=3, which=1)
+    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
+    return judged(quality.score(docs, quality.learn(docs, labels, may_learn=~held_out)), held_out)
+
+
+def judged(scored: DataFrame, held_out: Column) -> DataFrame:
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 @query
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
@@ -86,9 +110,26 @@ SELECT * FROM ranked WHERE rank <= 5
 """
 
 
+@query
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = in_fold(F.col("doc_id"), folds=5, which=0)
+    labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return judged(toxicity.score(docs, toxicity.learn(docs, labels, may_learn=~held_out)), held_out)
+
+
 @query
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{n}") for k, n in enumerate(pii.KINDS)]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("found")).alias("spans")
+    )
