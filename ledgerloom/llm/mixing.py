@@ -4,14 +4,12 @@ Each document's expected number of copies is its source's target over its source
 outright; the rest is an inclusion probability. The flight moves the probabilities of a block of documents of one
 source along the null space of its constraints (words and documents), three documents at a time, until each is 0 or 1
 but for two. Blocks hold a bounded number of documents, so a source with a third of all rows is many blocks. What is
-left of all blocks flies again in blocks, level by level. Where one block per source remains, the landing takes of the
-roundings of the last two documents the one whose words are nearest to the target.
+left of all blocks flies again in blocks, level by level. Where one block per source remains, the landing rounds its
+last two documents and repairs the difference in words that this makes, by changing a few single decisions.
 """
 
 from __future__ import annotations
 
-from itertools import product
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -23,6 +21,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 2048
 FEW_SOURCES = 10_000
 DUST = 1e-9
+REPAIRS = 8
 
 
 def word_count(text: Column) -> Column:
@@ -78,16 +77,23 @@ def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, land: bool) -
             if p[k] < DUST or p[k] > 1 - DUST:
                 p[k] = float(round(p[k]))
         active = [k for k in active if 0 < p[k] < 1]
-    if land and active:
-        nearest = min(
-            product((0.0, 1.0), repeat=len(active)),
-            key=lambda ends: abs(sum((e - p[k]) * size[k] for e, k in zip(ends, active, strict=True))),
-        )
-        for k, end in zip(active, nearest, strict=True):
-            p[k] = end
+    for k in active if land else ():
+        p[k] = float(round(p[k]))
     return np.array(p)
 
 
+def landed(p: np.ndarray, words: np.ndarray, goal: float) -> np.ndarray:
+    """Changes single decisions, the one that helps most at a time, while that brings the words nearer to ``goal``."""
+    for _ in range(REPAIRS):
+        off = float(p @ words) - goal
+        moved = np.abs(off + np.where(p == 1, -words, words))
+        best = int(moved.argmin())
+        if moved[best] >= abs(off):
+            break
+        p[best] = 1 - p[best]
+    return p
+
+
 def flight(units: DataFrame, blocks: Column, level: int, seed: int, land: bool) -> DataFrame:
     """One level: the units of each block of each source fly together."""
 
@@ -95,7 +101,9 @@ def flight(units: DataFrame, blocks: Column, level: int, seed: int, land: bool)
         rows = rows.sort_values(["words", "unit"], ascending=[False, True], kind="stable")  # small ones stay for the landing
         digest = int(rows["unit"].iloc[0]) & (2**64 - 1)  # of the block's first unit: reruns agree
         rng = np.random.default_rng([seed, level, digest, len(rows)])
-        return rows.assign(p=fly(rows["p"].to_numpy(), rows["words"].to_numpy(np.float64), rng, land))
+        before, words = rows["p"].to_numpy(), rows["words"].to_numpy(np.float64)
+        after = fly(before, words, rng, land)
+        return rows.assign(p=landed(after, words, float(before @ words)) if land else after)
 
     salt = F.xxhash64(F.lit(level), F.col("unit"))
     placed = units.withColumn("block", F.pmod(salt, blocks))
