@@ -243,6 +243,10 @@ def find(
     return joined.select("doc_id", "base", both.alias("found"))
 
 
+def count_of(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def listed(spans: Column) -> Column:
     """kind:start:end of each span, by start, then kind, joined by commas."""
     ordered = F.array_sort(

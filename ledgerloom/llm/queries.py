@@ -129,7 +129,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(table(spark, folder, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{n}") for k, n in enumerate(pii.KINDS)]
+    counts = [pii.count_of(F.col("base"), kind).alias(f"n_{name}") for kind, name in enumerate(pii.KINDS)]
     return found.select(
         "doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("found")).alias("spans")
     )
