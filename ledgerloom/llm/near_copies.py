@@ -1,0 +1,175 @@
+"""Near copies by shingle similarity, with SimHash as the filter in front of the exact comparison.
+
+A similarity of 0.8 on shingles is some ten differing bits of a 64-bit fingerprint, with a spread of three; segments of
+a fingerprint that survive so many changes are too short to serve as keys. So the keys here are the shingles themselves:
+the smallest hashes of a text are its sketch, and of the sketch the shingles rarest in the corpus are its keys, just as
+many as a similar text cannot lack altogether. A text in which more shingles are its own gets no key, because it has no
+near copy. Pairs that share a key pass the pigeonring test on their fingerprints, then their shingle sets are compared
+in full. Copies are one text before that. A key of more than ``CROWD`` texts gives no pairs within it: there
+each text meets the most central one, which has the fewest shingles of its own, as the origin of a family of copies has.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from ledgerloom.llm.common import components, hash_join_small, store
+from ledgerloom.llm.line_dedup import row_version
+from ledgerloom.llm.simhash import BITS, fingerprint_of, shingle_hashes
+
+SKETCH = 48
+SHARED_PART = 0.6
+CROWD = 64
+RING = 8
+MOST_BITS = 24
+
+
+def normal_hash(text: str | None) -> tuple[int, int]:
+    """128 bits of the text's words, lower case for A-Z, joined by spaces; as two signed longs."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    digest = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words)), np.int64)
+    return int(digest[0]), int(digest[1])
+
+
+def sketched(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, version, node, other, n, fp, sketch): what the search needs of each text."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, other, count, prints, sketches = [], [], [], [], []
+            for text in batch.column("text").to_pylist():
+                hashes = shingle_hashes(text, words)
+                distinct = np.unique(hashes)
+                first, second = normal_hash(text)
+                node.append(first)
+                other.append(second)
+                count.append(len(distinct))
+                prints.append(fingerprint_of(hashes))
+                sketches.append(distinct[:SKETCH].view(np.int64))
+            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sketches])]).astype(np.int32)
+            values = np.concatenate(sketches) if sketches else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("version"),
+                    *(pa.array(x, pa.int64()) for x in (node, other, count, prints)),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                ],
+                ["doc_id", "version", "node", "other", "n", "fp", "sketch"],
+            )
+
+    schema = f"doc_id {kind}, version long, node long, other long, n long, fp long, sketch array<long>"
+    return docs.select("doc_id", row_version(F.col("text")).alias("version"), "text").mapInArrow(run, schema)
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(node, shingles): the distinct shingle hashes of the wanted (doc_id, version, node) texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"]
+            )
+
+    wanted = wanted.toDF("__doc", "__version", "node")
+    own = docs.select("doc_id", "text", row_version(F.col("text")).alias("version"))
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("version") == F.col("__version"))
+    sets = hash_join_small(own, wanted, same).select("node", "text").mapInArrow(run, "node long, shingles array<long>")
+    return sets.dropDuplicates(["node"])
+
+
+def keys_of(texts: DataFrame) -> DataFrame:
+    """(key, node, own, n, fp): the rarest shingles of each sketch, and how many of the sketch no other text has."""
+    tokens = texts.select("node", "n", "fp", F.size("sketch").alias("size"), F.explode("sketch").alias("key"))
+    common = tokens.groupBy("key").agg(F.count("*").alias("texts")).where("texts > 1")
+    shared = tokens.join(common, "key")
+    rarest = Window.partitionBy("node").orderBy("texts", "key")
+    shared = shared.withColumn("place", F.row_number().over(rarest)).withColumn(
+        "own", F.col("size") - F.count("*").over(Window.partitionBy("node"))
+    )
+    needed = F.ceil(F.col("size") * SHARED_PART)
+    return shared.where(F.col("own") + F.col("place") <= F.col("size") - needed + 1).select("key", "node", "own", "n", "fp")
+
+
+def ring_test(most_bits: int, ring: int) -> Column:
+    """Some chain of segments keeps all its proportional budgets; true for every pair within ``most_bits``."""
+    width = BITS // ring
+    bits = [f"bit_count(shiftrightunsigned(a_fp ^ b_fp, {width * k}) & {(1 << width) - 1}L)" for k in range(ring)]
+    chains = []
+    for start in range(ring):
+        sums = [" + ".join(bits[(start + k) % ring] for k in range(n)) for n in range(1, ring + 1)]
+        chains.append(" AND ".join(f"{s} <= {n * most_bits // ring}" for n, s in enumerate(sums, 1)))
+    return F.expr(" OR ".join(f"({c})" for c in chains))
+
+
+def candidate_pairs(keyed: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of texts that share a key, alike in size and fingerprint."""
+    counts = keyed.groupBy("key").agg(
+        F.count("*").alias("texts"), F.min(F.struct("own", "node", "n", "fp")).alias("centre")
+    )
+    grouped = keyed.join(counts.where("texts > 1"), "key")
+    side = ["node", "n", "fp"]
+    few = grouped.where(F.col("texts") <= CROWD).select("key", *side)
+    left = few.select("key", *[F.col(c).alias(f"a_{c}") for c in side])
+    right = few.select("key", *[F.col(c).alias(f"b_{c}") for c in side])
+    pairs = left.join(right, "key").where("a_node < b_node").drop("key")
+    crowded = grouped.where((F.col("texts") > CROWD) & (F.col("node") != F.col("centre.node")))
+    crowded = crowded.select(
+        *[F.col(f"centre.{c}").alias(f"a_{c}") for c in side], *[F.col(c).alias(f"b_{c}") for c in side]
+    )
+    pairs = pairs.unionByName(crowded).distinct()
+    alike = F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n")
+    close = ring_test(MOST_BITS, RING) & (F.expr("bit_count(a_fp ^ b_fp)") <= MOST_BITS)
+    return pairs.where(alike).where(close).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+
+
+def classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Every document with its class: (doc_id, version, class_doc, class_version).
+
+    Texts with the same words (A-Z in lower case, runs of ASCII white space alike) are one; so are null, empty and blank
+    texts. Different texts link if their sets of ``shingle_words``-word shingles have a Jaccard similarity of
+    ``similarity`` or more; a class is what links reach. It is named by its smallest doc_id (null last; of rows that share
+    it the smallest version, a hash of the text). Repeated rows come back as often as they came. Other columns are not
+    read; an empty table gives an empty result.
+    """
+    own = store(sketched(docs, shingle_words), "sketches")
+    name = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "version")
+    texts = own.groupBy("node", "other").agg(
+        F.min(name).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")
+    )
+    texts = store(texts, "distinct-texts")
+    pairs = store(candidate_pairs(store(keys_of(texts), "near-copy-keys"), similarity), "near-copy-pairs")
+    meeting = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = texts.join(meeting, "node").select("first.doc_id", "first.version", "node")
+    sets = store(shingle_sets(docs, wanted, shingle_words), "shingle-sets")
+    compared = pairs.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
+    both = F.size(F.array_intersect("a_set", "b_set"))
+    alike = both >= similarity * (F.size("a_set") + F.size("b_set") - both)
+    roots = components(compared.where(alike).select("a", "b"))
+    roots = store(roots, "near-copy-roots")
+    linked = texts.join(roots, "node")
+    least = linked.groupBy("root").agg(F.min("first").alias("least"))
+    named = linked.join(least, "root").select("node", "other", "least")
+    ends = texts.join(named, ["node", "other"], "left").select("node", "other", F.coalesce("least", "first").alias("name"))
+    found = own.select("doc_id", "version", "node", "other").join(ends, ["node", "other"])
+    return found.select(
+        "doc_id", "version", F.col("name.doc_id").alias("class_doc"), F.col("name.version").alias("class_version")
+    )
+
+
+def without_near_copies(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One document of each class, the one that names it, with all its columns; repeated rows of it once."""
+    kept = classes(docs, shingle_words, similarity).select("class_doc", "class_version").distinct()
+    kept = kept.toDF("__doc", "__version")
+    own = docs.withColumn("__own", row_version(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__version"))
+    once = hash_join_small(own, kept, same).dropDuplicates(["__doc", "__own"])
+    return once.select(*docs.columns)
