@@ -44,9 +44,13 @@ def camel_key(key: Column) -> Column:
 
 
 def property_map(properties: Column) -> Column:
-    """Array of (key, value) -> map with camel-case keys. The last duplicate wins; null gives an empty map."""
+    """Array of (key, value) -> map with camel-case keys. The last duplicate wins; null gives an empty map.
+
+    A property that is null or has no key is left out.
+    """
+    keyed = F.filter(properties, lambda p: p["key"].isNotNull())
     entries = F.transform(
-        F.coalesce(properties, F.expr("CAST(array() AS ARRAY<STRUCT<key: STRING, value: STRING>>)")),
+        F.coalesce(keyed, F.expr("CAST(array() AS ARRAY<STRUCT<key: STRING, value: STRING>>)")),
         lambda p: F.struct(camel_key(p["key"]).alias("key"), p["value"].alias("value")),
     )
 

@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+AMOUNT = "decimal(28,6)"
+
+
 def index_path(day: Column) -> Column:
     """Path of the daily filing index, by year and quarter."""
     return F.concat(
@@ -29,10 +32,11 @@ def parse_period(text: Column) -> Column:
 def scaled_value(text: Column, compat: bool = False) -> Column:
     """Reported thousands -> full amount.
 
-    The default multiplies by 1000. ``compat`` appends three zeros to the text instead, which leaves
-    a number with decimals unscaled.
+    The default multiplies by 1000 and keeps up to six decimals of the result. Text that is no number, or one of more
+    than 22 digits after scaling, gives null. ``compat`` appends three zeros to the text instead, which
+    leaves a number with decimals unscaled.
     """
     digits = F.replace(text, F.lit(" "), F.lit(""))
     if compat:
         return F.concat(digits, F.lit("000")).try_cast("double")
-    return (digits.try_cast("decimal(20,2)") * F.lit(1000)).cast("decimal(20,2)")
+    return F.try_multiply(digits.try_cast("decimal(34,12)"), F.lit(1000)).try_cast(AMOUNT)

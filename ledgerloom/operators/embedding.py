@@ -48,7 +48,6 @@ def fill_missing(
 ) -> DataFrame:
     """All nodes, with a vector computed where there is text and none yet."""
     lacking = F.col(vector).isNull() & F.col(text).isNotNull()
-    # Rows that have a vector pass an empty text, so no work is spent on them and no join is needed.
-    staged = nodes.withColumn("_text", F.when(lacking, F.col(text)))
-    done = embedder(staged, "_text", "_filled")
-    return done.withColumn(vector, F.when(lacking, F.col("_filled")).otherwise(F.col(vector))).drop("_text", "_filled")
+    # Only rows that lack a vector reach the embedder, which may be costly or paid for.
+    done = embedder(nodes.filter(lacking), text, "_filled").withColumn(vector, F.col("_filled")).drop("_filled")
+    return nodes.filter(~lacking).unionByName(done.select(*nodes.columns))

@@ -24,8 +24,25 @@ def read_extractions(stored: DataFrame, json_column: str = "extraction") -> Data
     ).drop(json_column)
 
 
+def extraction_failures(stored: DataFrame, doc: str, json_column: str = "extraction") -> DataFrame:
+    """Quarantine: documents whose stored model output gives no graph: doc, reason."""
+    schema = f"{schemas.EXTRACTED_GRAPH}, _corrupt_record STRING"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    read = computed_once(stored.select(doc, json_column), _graph=F.from_json(json_column, schema, options))
+    reason = (
+        F.when(F.col(json_column).isNull(), "no extraction")
+        .when(F.col("_graph").isNull() | F.col("_graph._corrupt_record").isNotNull(), "not readable")
+        .when(F.col("_graph.nodes").isNull() & F.col("_graph.rels").isNull(), "no graph")
+    )
+    return read.select(doc, reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def cleaned_label(name: Column) -> Column:
+    return text.capitalise(F.coalesce(name, F.lit("Node")))
+
+
 def _label(node: Column) -> Column:
-    return text.capitalise(F.coalesce(node["type"], F.lit("Node")))
+    return cleaned_label(node["type"])
 
 
 def extracted_nodes(extractions: DataFrame, doc: str) -> DataFrame:
@@ -50,8 +67,28 @@ def extracted_rels(extractions: DataFrame) -> DataFrame:
 
 
 def allowed(nodes: DataFrame, labels: list[str] | None = None) -> DataFrame:
-    """Optional restriction to a list of labels; all labels pass by default."""
-    return nodes.filter(F.col("label").isin(*labels)) if labels else nodes
+    """Optional restriction to a list of labels, spelled as in the extraction; all labels pass by default."""
+    return nodes.filter(F.col("label").isin(*_cleaned(labels))) if labels else nodes
+
+
+def allowed_rels(rels: DataFrame, labels: list[str] | None = None, types: list[str] | None = None) -> DataFrame:
+    """Optional restriction of relations to types, and to those whose two ends have an allowed label.
+
+    Merged with nodes of the same labels, no end of another label comes back.
+    """
+    if labels:
+        names = _cleaned(labels)
+        rels = rels.filter(F.col("srcLabel").isin(*names) & F.col("dstLabel").isin(*names))
+    return rels.filter(F.col("type").isin(*[t.replace(" ", "_").upper() for t in types])) if types else rels
+
+
+def _cleaned(labels: list[str]) -> list[str]:
+    return [label[:1].upper() + label[1:].lower() for label in labels]
+
+
+def unkeyed_nodes(nodes: DataFrame, doc: str) -> DataFrame:
+    """Quarantine: extracted nodes that no merge takes, because they have no id: doc, nodeOrder, reason."""
+    return nodes.filter(F.col("entityId").isNull()).select(doc, "nodeOrder", F.lit("no entity id").alias("reason"))
 
 
 def merge_entities(existing: DataFrame, nodes: DataFrame, rels: DataFrame | None = None) -> DataFrame:
@@ -86,11 +123,12 @@ def merge_mentions(
 ) -> DataFrame:
     """Document -> entity edges. creationTime is set once, lastUpdateDate every time.
 
-    Edges are folded to one per document and entity first; documents that do not exist drop out.
+    Edges are folded to one per document and entity first; documents that do not exist drop out, and so do nodes
+    without an id, see :func:`unkeyed_nodes`. Merging the same nodes again changes the update date only.
     """
     now = F.current_timestamp() if now is None else now
     keys = ["src", *ENTITY_KEYS]
-    pairs = nodes.select(F.col(doc).alias("src"), *ENTITY_KEYS).distinct()
+    pairs = nodes.select(F.col(doc).alias("src"), *ENTITY_KEYS).dropna(subset=keys).distinct()
     known = pairs.join(documents.select(F.col(doc).alias("src")).distinct(), "src", "left_semi")
     batch = known.withColumns({"creationTime": now, "lastUpdateDate": now})
     return merge.merge_folded(existing, batch, keys, merge.LAST, create_only=("creationTime",))

@@ -67,7 +67,7 @@ def section_listing(chunks: DataFrame, item: str | None = None, first_source_onl
 
 
 def section_text(chunks: DataFrame, part_chunks: int = BLOCK_ROWS, overlap: int = 0) -> DataFrame:
-    """Section text rebuilt from its chunks, as (formId, f10kItem, part, text).
+    """Section text rebuilt from its chunks, as (formId, f10kItem, part, parts, text); whole where parts is 1.
 
     Overlaps stay doubled; ``overlap`` trims them for fixed-stride chunks.
     """
@@ -126,9 +126,16 @@ def load_rels(
     return merge.merge_folded(existing, known, keys)
 
 
-def attach_vectors(nodes: DataFrame, vectors: DataFrame, key: str, column: str = "textEmbedding") -> DataFrame:
-    """Sets the vector of nodes that have a new one; vectors without a node are ignored."""
-    new = vectors.select(key, F.col(column).alias("_vector"))
+def attach_vectors(
+    nodes: DataFrame, vectors: DataFrame, key: str, column: str = "textEmbedding", order_by: list[str] | None = None
+) -> DataFrame:
+    """Sets the vector of nodes that have a new one; vectors without a node are ignored.
+
+    Of several vectors for one key the last in ``order_by`` order counts, without it the largest; null ones never do.
+    """
+    last = F.max_by(column, F.struct(*order_by)) if order_by else F.max(column)
+    given = vectors.filter(F.col(column).isNotNull() & F.col(key).isNotNull())
+    new = given.groupBy(key).agg(last.alias("_vector"))
     joined = nodes.join(new, key, "left")
     old = F.col(column) if column in nodes.columns else F.lit(None)
     return joined.withColumn(column, F.coalesce("_vector", old)).drop("_vector")
@@ -169,23 +176,19 @@ def node_count(*tables: DataFrame) -> DataFrame:
 
 
 def graph_profile(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Labels and relation types with their row counts and property names: kind, name, rows, properties.
+    """Labels and relation types with their row counts, and with the rows of each property: kind, name, property, rows.
 
-    Expects nodes (label, properties MAP) and edges (type, properties MAP). One pass over each table;
-    what is collected are the distinct property names of a label, which the schema bounds.
+    Expects nodes (label, properties MAP) and edges (type, properties MAP). property is null in the row that counts all
+    rows of a name. One pass over each table; nothing is collected into a cell, however many properties there are.
     """
 
     def one(frame: DataFrame, kind: str, name: str) -> DataFrame:
-        shapes = frame.groupBy(F.col(name).alias("name"), F.array_sort(F.map_keys("properties")).alias("keys")).agg(
-            F.count("*").alias("rows")
+        keys = F.coalesce(F.map_keys("properties"), F.array().cast("array<string>"))
+        listed = frame.select(
+            F.col(name).alias("name"), F.explode(F.concat(F.array(F.lit(None).cast("string")), keys)).alias("property")
         )
-        # One row per (name, key); the rows of a set of keys count once, at its first key.
-        listed = shapes.select("name", "rows", F.posexplode_outer("keys").alias("at", "key"))
-        counted = F.when(F.coalesce("at", F.lit(0)) == 0, F.col("rows")).otherwise(0)
-        per_key = listed.groupBy("name", "key").agg(F.sum(counted).alias("rows"))
-        return per_key.groupBy("name").agg(
-            F.sum("rows").alias("rows"), F.array_join(F.array_sort(F.collect_set("key")), ",").alias("properties")
-        ).select(F.lit(kind).alias("kind"), "name", "rows", "properties")
+        counted = listed.groupBy("name", "property").agg(F.count(F.lit(1)).alias("rows"))
+        return counted.select(F.lit(kind).alias("kind"), "name", "property", "rows")
 
     return one(nodes, "node", "label").unionByName(one(edges, "relation", "type"))
 

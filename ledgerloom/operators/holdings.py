@@ -14,6 +14,7 @@ SHARE_TYPE = "SH"
 STOCK_WORDS = ("COM", "CL", "ORD", "SHS", "STOCK")
 NO_SECURITY = "000000000"
 
+# Fixed value: the keys of the roll-up.
 ROLLUP_KEYS = (
     "source",
     "managerCik",
@@ -103,13 +104,21 @@ def security_filter(
     words: tuple[str, ...] = STOCK_WORDS,
     drop_zero_cusip: bool = False,
 ) -> DataFrame:
-    """Common stock only."""
+    """Common stock only; a line whose type or title is missing is not known to be any."""
     kept = lines.filter(is_common_stock(share_type, words))
     return kept.filter(F.col("cusip") != NO_SECURITY) if drop_zero_cusip else kept
 
 
+def missing_part(lines: DataFrame) -> Column:
+    """Why a line cannot be judged or keyed; null if nothing is missing."""
+    reason = F.when(F.col("managerCik").isNull(), "no manager")
+    if "title" in lines.columns:
+        reason = reason.when(F.col("title").isNull(), "no title").when(F.col("shareType").isNull(), "no share type")
+    return reason.when(F.col("cusip").isNull(), "no cusip")
+
+
 def typed_lines(lines: DataFrame, compat: bool = False) -> DataFrame:
-    """Text lines -> typed holdings, with ``reason`` set where a number or date does not parse."""
+    """Text lines -> typed holdings, with ``reason`` set where a part is missing or does not parse."""
     typed = lines.select(
         *[c for c in ("file_name", "fileReason", "line") if c in lines.columns],
         ids.source_from_file_name(F.col("file_name")).alias("source"),
@@ -122,13 +131,15 @@ def typed_lines(lines: DataFrame, compat: bool = False) -> DataFrame:
         "companyName",
         values.scaled_value(F.col("value"), compat).alias("value"),
         F.col("shares").try_cast("bigint").alias("shares"),
+        missing_part(lines).alias("missing"),
     )
     reason = (
-        F.when(F.col("reportCalendarOrQuarter").isNull(), "bad period")
+        F.when(F.col("missing").isNotNull(), F.col("missing"))
+        .when(F.col("reportCalendarOrQuarter").isNull(), "bad period")
         .when(F.col("value").isNull(), "bad value")
         .when(F.col("shares").isNull(), "bad shares")
     )
-    return typed.withColumn("reason", reason)
+    return typed.withColumn("reason", reason).drop("missing")
 
 
 def holdings_from_xml(
@@ -136,22 +147,34 @@ def holdings_from_xml(
     share_type: str = SHARE_TYPE,
     words: tuple[str, ...] = STOCK_WORDS,
     compat: bool = False,
+    drop_zero_cusip: bool = False,
 ) -> DataFrame:
-    """Raw submissions -> typed, filtered holdings; bad files and lines are in :func:`parse_failures`."""
-    lines = security_filter(holding_lines(parse_submissions(raw)), share_type, words)
+    """Raw submissions -> typed, filtered holdings; bad files and lines are in :func:`parse_failures`.
+
+    With the same settings, every line of a file that parsed is a holding, a failure, or filtered out.
+    """
+    lines = security_filter(holding_lines(parse_submissions(raw)), share_type, words, drop_zero_cusip)
     return typed_lines(lines, compat).filter(F.col("reason").isNull()).drop("reason")
 
 
 def parse_failures(
-    raw: DataFrame, share_type: str = SHARE_TYPE, words: tuple[str, ...] = STOCK_WORDS
+    raw: DataFrame,
+    share_type: str = SHARE_TYPE,
+    words: tuple[str, ...] = STOCK_WORDS,
+    compat: bool = False,
+    drop_zero_cusip: bool = False,
 ) -> DataFrame:
     """Quarantine: every file or line that gave no holding because it could not be read: file, stage, reason.
 
-    Files and lines are told apart after one parse.
+    Files and lines are told apart after one parse. A line that may be common stock, because its title or type is
+    missing, counts as one that could not be read.
     """
     lines = holding_lines(parse_submissions(raw), keep_failed=True)
     failed = F.col("fileReason").isNotNull()
-    typed = typed_lines(lines.filter(failed | is_common_stock(share_type, words)))
+    wanted = F.coalesce(is_common_stock(share_type, words), F.lit(True))
+    if drop_zero_cusip:
+        wanted = wanted & F.coalesce(F.col("cusip") != NO_SECURITY, F.lit(True))
+    typed = typed_lines(lines.filter(failed | wanted), compat)
     return typed.filter(failed | F.col("reason").isNotNull()).select(
         F.col("file_name").alias("file"),
         F.when(failed, "parse").otherwise("types").alias("stage"),
@@ -186,9 +209,13 @@ def period_counts(holdings: DataFrame) -> DataFrame:
 
 
 def top_periods(holdings: DataFrame, n: int) -> DataFrame:
-    """Rows of the ``n`` most recent periods. The broadcast side has at most ``n`` rows."""
+    """Rows of the ``n`` most recent periods that a roll-up would keep. The broadcast side has at most ``n`` rows.
+
+    Rows with a null key drop out first, as in :func:`rollup`, so they name no period.
+    """
     if n < 1:
         raise ValueError("n must be at least 1")
     key = "reportCalendarOrQuarter"
+    holdings = holdings.dropna(subset=[c for c in ROLLUP_KEYS if c in holdings.columns])
     recent = holdings.select(key).filter(F.col(key).isNotNull()).distinct().orderBy(F.desc(key)).limit(n)
     return holdings.join(F.broadcast(recent) if n <= MAX_BROADCAST_PERIODS else recent, key, "left_semi")

@@ -31,24 +31,30 @@ def next_in_group(
     following = heads.select(
         *keys, block, F.lead("_head").over(Window.partitionBy(*keys).orderBy(block)).alias("_next_head")
     ).filter(F.col("_next_head").isNotNull())
+    # A null key is a group like any other, here as in the windows.
+    same = F.lit(True)
+    for n, name in enumerate([*keys, block]):
+        same = same & F.col(name).eqNullSafe(F.col(f"_f{n}"))
     return (
-        inside.join(following, [*keys, block], "left")
+        inside.join(following.select(*[F.col(c).alias(f"_f{n}") for n, c in enumerate([*keys, block])], "_next_head"), same, "left")
         .withColumn("next_value", F.coalesce("_next", "_next_head"))
-        .drop(block, "_next", "_before", "_next_head")
+        .drop(block, "_next", "_before", "_next_head", *[f"_f{n}" for n in range(len(keys) + 1)])
     )
 
 
 def ordered_text(
     frame: DataFrame, keys: list[str], position: str, text: str, part_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Texts of a group joined in order without a separator, as (keys, part, text).
+    """Texts of a group joined in order without a separator, as (keys, part, parts, text).
 
-    A group of up to ``part_rows`` positions is part 0 and whole. A longer one goes on in parts 1, 2, ...,
-    which give the whole text when read in order; so no task or cell holds more than one part.
+    A part holds ``part_rows`` positions, so no task or cell holds more. ``parts`` says how many parts the group has:
+    where it is 1 the text is whole, else the parts give it when read in order.
     """
     pieces = F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), F.col(text).alias("t"))))
-    return (
+    parts = (
         frame.withColumn("part", F.floor(F.col(position) / part_rows))
         .groupBy(*keys, "part")
         .agg(F.array_join(F.transform(pieces, lambda x: x["t"]), "").alias("text"))
     )
+    counted = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    return parts.withColumn("parts", counted).select(*keys, "part", "parts", "text")

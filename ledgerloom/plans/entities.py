@@ -198,4 +198,4 @@ def mention_edges(t: Tables) -> DataFrame:
 )
 def entity_label_filter(t: Tables) -> DataFrame:
     nodes = entities.extracted_nodes(extractions(t), "documentId")
-    return entities.allowed(nodes, ["Building", "Machinery", "Tradeplace"]).select("documentId", "label", "entityId")
+    return entities.allowed(nodes, ["BUILDING", "Machinery", "tradePlace"]).select("documentId", "label", "entityId")

@@ -86,9 +86,9 @@ ACCESSION_SQL = (
 )
 
 
-def order_filings(t: Tables) -> DataFrame:
+def order_filings(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     status = F.col("o_orderstatus")
-    return t.orders.select(
+    return (t.orders if orders is None else orders).select(
         F.col("o_custkey").cast("string").alias("cik"),
         F.concat_ws(
             "-",
@@ -132,7 +132,10 @@ def filing_history_rows(t: Tables) -> DataFrame:
         WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-06-30' AND o_orderstatus = 'F'""",
 )
 def filing_filter(t: Tables) -> DataFrame:
-    return plain(filings.annual_reports(order_filings(t).drop("o_orderkey"), "1996-01-01", "1998-06-30"))
+    # The stored columns carry the range and the form, so that both reach the scan.
+    orders = t.orders.filter(F.col("o_orderdate").between("1996-01-01", "1998-06-30 23:59:59"))
+    found = order_filings(t, orders.filter(F.col("o_orderstatus") == "F"))
+    return plain(filings.annual_reports(found.drop("o_orderkey"), "1996-01-01", "1998-06-30"))
 
 
 @query(
@@ -250,6 +253,7 @@ def cusip6(t: Tables) -> DataFrame:
 @query(
     "value_scaling",
     """SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 1000 AS DOUBLE) AS scaled,
+              CAST(l_orderkey AS DOUBLE) * 1000 + l_linenumber AS three_decimals, CAST(NULL AS DOUBLE) AS too_large,
               CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS compat_decimal,
               CAST(l_linenumber * 100 + CAST(l_quantity AS BIGINT) AS DOUBLE) * 1000 AS compat_whole
        FROM lineitem""",
@@ -261,6 +265,8 @@ def value_scaling(t: Tables) -> DataFrame:
         "l_orderkey",
         "l_linenumber",
         values.scaled_value(decimal).cast("double").alias("scaled"),
+        values.scaled_value(F.format_string("%d.%03d", "l_orderkey", "l_linenumber")).cast("double").alias("three_decimals"),
+        values.scaled_value(F.format_string("9%030d", "l_orderkey")).cast("double").alias("too_large"),
         values.scaled_value(decimal, compat=True).alias("compat_decimal"),
         values.scaled_value(whole, compat=True).alias("compat_whole"),
     )
@@ -285,10 +291,10 @@ def explode_urls(t: Tables) -> DataFrame:
 
 @query(
     "url_listing",
-    f"""WITH {S.COMPANIES_SQL} SELECT cik, cusip6, "form10KUrls", names, cusip FROM c""",
+    f"""WITH {S.ALL_COMPANIES_SQL} SELECT cik, cusip6, "form10KUrls", names, cusip FROM c""",
 )
 def url_listing(t: Tables) -> DataFrame:
-    wrapped = S.companies(t).withColumns(
+    wrapped = S.companies(t, listed_only=False).withColumns(
         {c: text.render_list(F.array(c)) for c in ("names", "cusip")}
     )
     parsed = wrapped.withColumns({c: text.parse_list(F.col(c)) for c in ("names", "cusip")})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import graph, quality
@@ -54,7 +54,8 @@ def first_section_listing(t: Tables) -> DataFrame:
     "section_text",
     f"""WITH {S.CHUNKS_SQL}
         SELECT "formId", "f10kItem", CAST("chunkSeqId" // {graph.BLOCK_ROWS} AS BIGINT) AS part,
-               string_agg(text, '' ORDER BY "chunkSeqId") AS text FROM c GROUP BY ALL""",
+               CAST(1 + max(max("chunkSeqId")) OVER (PARTITION BY "formId", "f10kItem") // {graph.BLOCK_ROWS} AS BIGINT) AS parts,
+               string_agg(text, '' ORDER BY "chunkSeqId") AS text FROM c GROUP BY "formId", "f10kItem", "chunkSeqId" // {graph.BLOCK_ROWS}""",
 )
 def section_text(t: Tables) -> DataFrame:
     return graph.section_text(S.document_chunks(t))
@@ -62,7 +63,7 @@ def section_text(t: Tables) -> DataFrame:
 
 @query(
     "section_text_trimmed",
-    """SELECT CAST(doc_id AS VARCHAR) AS "formId", lang AS "f10kItem", CAST(0 AS BIGINT) AS part, text
+    """SELECT CAST(doc_id AS VARCHAR) AS "formId", lang AS "f10kItem", CAST(0 AS BIGINT) AS part, CAST(1 AS BIGINT) AS parts, text
        FROM documents WHERE length(text) > 0""",
 )
 def section_text_trimmed(t: Tables) -> DataFrame:
@@ -216,21 +217,29 @@ def rel_upsert(t: Tables) -> DataFrame:
     )
 
 
+def rounded_text(vector: str) -> Column:
+    """A vector as whole ten-thousandths, so that its content can be compared."""
+    whole = F.transform(vector, lambda x: F.round(x.cast("double") * 10000).cast("bigint").cast("string"))
+    return F.array_join(whole, " ")
+
+
 @query(
     "attach_embeddings",
-    """SELECT doc_id, lang, coalesce(CAST(len(embedding) AS INTEGER), 0) AS dims, CAST(embedding[1] AS DOUBLE) AS first_value
+    """SELECT doc_id, lang, array_to_string(list_transform(
+                CASE WHEN vec_id % 7 = 0 THEN list_reverse(embedding) ELSE embedding END,
+                lambda x: CAST(CAST(round(CAST(x AS DOUBLE) * 10000) AS BIGINT) AS VARCHAR)), ' ') AS vector
        FROM documents LEFT JOIN embeddings ON doc_id = vec_id""",
 )
 def attach_embeddings(t: Tables) -> DataFrame:
     nodes = t.documents.select("doc_id", "lang")
-    fresh = t.embeddings.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("textEmbedding"))
-    done = graph.attach_vectors(nodes, fresh, "doc_id")
-    return done.select(
-        "doc_id",
-        "lang",
-        F.coalesce(F.size("textEmbedding"), F.lit(0)).alias("dims"),
-        F.get("textEmbedding", F.lit(0)).cast("double").alias("first_value"),
+    fresh = t.embeddings.select(
+        F.col("vec_id").alias("doc_id"), F.col("embedding").alias("textEmbedding"), F.lit(1).alias("version")
     )
+    # Every seventh key has a second, later vector, and every fifth an older one.
+    later = fresh.filter("doc_id % 7 = 0").withColumns({"textEmbedding": F.reverse("textEmbedding"), "version": F.lit(2)})
+    older = fresh.filter("doc_id % 5 = 0").withColumns({"textEmbedding": F.reverse("textEmbedding"), "version": F.lit(0)})
+    done = graph.attach_vectors(nodes, later.union(fresh).union(older), "doc_id", order_by=["version"])
+    return done.select("doc_id", "lang", rounded_text("textEmbedding").alias("vector"))
 
 
 @query(
@@ -282,8 +291,10 @@ def unique_key_violations(t: Tables) -> DataFrame:
 
 @query(
     "graph_profile",
-    """SELECT 'node' AS kind, event_type AS name, count(*) AS rows, 'k' AS properties FROM events GROUP BY ALL
-       UNION ALL SELECT 'relation', 'PLACED_' || o_orderstatus, count(*), 'priority,total' FROM orders GROUP BY ALL""",
+    """SELECT 'node' AS kind, event_type AS name, p AS property, count(*) AS rows
+       FROM events, (VALUES (NULL), ('k')) AS v(p) GROUP BY ALL
+       UNION ALL SELECT 'relation', 'PLACED_' || o_orderstatus, p, count(*)
+       FROM orders, (VALUES (NULL), ('priority'), ('total')) AS v(p) GROUP BY ALL""",
 )
 def graph_profile(t: Tables) -> DataFrame:
     nodes = t.events.select(
@@ -307,7 +318,7 @@ def vector_validation(t: Tables) -> DataFrame:
     v, label = F.col("embedding"), F.col("label")
     # Three labels get a fault each: one value too few, all zeros, one value that is no number.
     faulty = (
-        F.when(label == 3, F.slice(v, 2, 1000))
+        F.when(label == 3, F.slice(v, F.lit(2), F.size(v) - 1))
         .when(label == 4, F.transform(v, lambda x: F.lit(0).cast("float")))
         .when(label == 5, F.transform(v, lambda x, i: F.when(i == 7, F.lit(float("nan")).cast("float")).otherwise(x)))
         .otherwise(v)

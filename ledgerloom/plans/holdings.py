@@ -97,6 +97,8 @@ def join_funnel(t: Tables) -> DataFrame:
 # share, and a second one whose type depends on the line status. Rows with line number 7 are cut off in
 # the middle, rows with line number 6 report shares with decimals.
 BROKEN_LINE, DECIMAL_LINE = 7, 6
+LACKING = ("titleOfClass", "sshPrnamtType", "cusip")
+LACKING_SQL = "CASE l_partkey % 3 WHEN 0 THEN 'no title' WHEN 1 THEN 'no share type' ELSE 'no cusip' END"
 
 
 def submissions(t: Tables) -> DataFrame:
@@ -106,9 +108,9 @@ def submissions(t: Tables) -> DataFrame:
     def text(*parts):
         return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
-    def line(title, value, shares, share_type):
+    def line(name, title, value, shares, share_type):
         return text(
-            "<n1:infoTable><n1:nameOfIssuer>", F.col("p_name"), "</n1:nameOfIssuer><n1:titleOfClass>", title,
+            "<n1:infoTable><n1:nameOfIssuer>", name, "</n1:nameOfIssuer><n1:titleOfClass>", title,
             "</n1:titleOfClass><n1:cusip>", cusip, "</n1:cusip><n1:value>", value,
             "</n1:value><n1:shrsOrPrnAmt><n1:sshPrnamt>", shares, "</n1:sshPrnamt><n1:sshPrnamtType>", share_type,
             "</n1:sshPrnamtType></n1:shrsOrPrnAmt></n1:infoTable>",
@@ -125,12 +127,14 @@ def submissions(t: Tables) -> DataFrame:
     table = text(
         '<XML>\n<n1:informationTable xmlns:n1="http://example.org/t">',
         line(
+            F.col("p_name"),
             "COM",
             F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
             F.when(F.col("l_linenumber") == DECIMAL_LINE, F.concat(quantity, F.lit(".5"))).otherwise(quantity),
             "SH",
         ),
         line(
+            F.concat(F.lit("A "), F.col("p_name")),  # less than the first line's name, and not the first
             F.when(F.col("l_returnflag") == "N", "NOTE").otherwise("CL A"),
             F.concat(F.lit("1 "), F.lpad(quantity, 3, "0")),
             F.col("l_linenumber").cast("string"),
@@ -138,19 +142,24 @@ def submissions(t: Tables) -> DataFrame:
         ),
         "</n1:informationTable>\n</XML>\n",
     )
+    # A third line lacks a part, which one depends on the row.
+    lacking = F.element_at(F.array(*map(F.lit, LACKING)), (F.col("l_partkey") % len(LACKING)).cast("int") + 1)
+    third = line(F.col("p_name"), "COM", "1", "1", "SH")
+    third = F.regexp_replace(third, F.concat(F.lit("<n1:"), lacking, F.lit(">[^<]*</n1:"), lacking, F.lit(">")), F.lit(""))
+    table = F.replace(table, F.lit("</n1:informationTable>"), F.concat(third, F.lit("</n1:informationTable>")))
     whole = F.concat(F.lit("<SEC-DOCUMENT>\n"), cover, table)
     raw = F.when(F.col("l_linenumber") == BROKEN_LINE, F.substr(whole, F.lit(1), F.length(whole) - 60)).otherwise(whole)
     lines = spread(t.lineitem).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    return lines.select(F.format_string("_edgar_%d.txt", "l_orderkey").alias("file_name"), raw.alias("raw"))
+    return lines.select(F.format_string("_edgar_%d_%d.txt", "l_orderkey", "l_linenumber").alias("file_name"), raw.alias("raw"))
 
 
 _XML_LINES_SQL = f"""x AS (
-SELECT l_orderkey, l_suppkey, l_partkey, l_shipdate, p_name, l_linenumber,
+SELECT l_orderkey, l_suppkey, l_partkey, l_shipdate, p_name, l_linenumber, 0 AS line,
        CAST(l_extendedprice AS DECIMAL(18,2)) * 1000 AS value, CAST(l_quantity AS BIGINT) AS shares
 FROM lineitem JOIN part ON l_partkey = p_partkey
 WHERE l_linenumber NOT IN ({BROKEN_LINE}, {DECIMAL_LINE})
 UNION ALL
-SELECT l_orderkey, l_suppkey, l_partkey, l_shipdate, p_name, l_linenumber,
+SELECT l_orderkey, l_suppkey, l_partkey, l_shipdate, 'A ' || p_name, l_linenumber, 1,
        (1000 + CAST(l_quantity AS BIGINT)) * 1000, l_linenumber
 FROM lineitem JOIN part ON l_partkey = p_partkey
 WHERE l_linenumber <> {BROKEN_LINE} AND l_linestatus = 'F' AND l_returnflag <> 'N')"""
@@ -159,26 +168,30 @@ WHERE l_linenumber <> {BROKEN_LINE} AND l_linestatus = 'F' AND l_returnflag <> '
 @query(
     "holdings_from_xml",
     f"""WITH {_XML_LINES_SQL}
-    SELECT 'https://sec.gov/edgar/' || l_orderkey || '.txt' AS source, CAST(l_suppkey AS VARCHAR) AS "managerCik",
+    SELECT 'https://sec.gov/edgar/' || l_orderkey || '/' || l_linenumber || '.txt' AS source, CAST(l_suppkey AS VARCHAR) AS "managerCik",
            'Suite ' || l_suppkey || ', Springfield' AS "managerAddress", 'Manager ' || l_suppkey AS "managerName",
            CAST(CAST(date_trunc('quarter', l_shipdate) AS DATE) AS VARCHAR) AS "reportCalendarOrQuarter",
            {S.CUSIP6_SQL.format(c=S.CUSIP_SQL.format(key="l_partkey"))} AS cusip6,
-           {S.CUSIP_SQL.format(key="l_partkey")} AS cusip, min(p_name) AS "companyName",
+           {S.CUSIP_SQL.format(key="l_partkey")} AS cusip, arg_min(p_name, line) AS "companyName",
            CAST(sum(value) AS DOUBLE) AS value, CAST(sum(shares) AS BIGINT) AS shares
-    FROM x GROUP BY ALL""",
+    FROM x GROUP BY l_orderkey, l_linenumber, l_suppkey, l_partkey, date_trunc('quarter', l_shipdate)""",
 )
 def holdings_from_xml(t: Tables) -> DataFrame:
-    return plain(holdings.rollup(holdings.holdings_from_xml(submissions(t))))
+    """The name is that of the first line of the file that has one."""
+    return plain(holdings.rollup(holdings.holdings_from_xml(submissions(t)), order_by=("line",)))
 
 
 @query(
     "parse_failures",
     f"""SELECT file, stage, reason, count(*) AS rows FROM (
-          SELECT '_edgar_' || l_orderkey || '.txt' AS file,
+          SELECT '_edgar_' || l_orderkey || '_' || l_linenumber || '.txt' AS file,
                  CASE l_linenumber WHEN {BROKEN_LINE} THEN 'parse' ELSE 'types' END AS stage,
                  CASE l_linenumber WHEN {BROKEN_LINE} THEN 'broken information table' ELSE 'bad shares' END AS reason
           FROM lineitem JOIN part ON l_partkey = p_partkey
-          WHERE l_linenumber IN ({BROKEN_LINE}, {DECIMAL_LINE})) GROUP BY ALL""",
+          WHERE l_linenumber IN ({BROKEN_LINE}, {DECIMAL_LINE})
+          UNION ALL
+          SELECT '_edgar_' || l_orderkey || '_' || l_linenumber || '.txt', 'types', {LACKING_SQL}
+          FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber <> {BROKEN_LINE}) GROUP BY ALL""",
 )
 def parse_failures(t: Tables) -> DataFrame:
     return holdings.parse_failures(submissions(t)).groupBy("file", "stage", "reason").agg(F.count("*").alias("rows"))

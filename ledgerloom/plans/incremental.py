@@ -17,8 +17,8 @@ class _ArrivingLines(Tables):
     @property
     def lineitem(self) -> DataFrame:
         schema = self.spark.read.parquet(f"{self.folder}/lineitem.parquet").schema
-        reader = self.spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet")
-        return reader.parquet(self.folder)
+        # A table may be one file or a folder of them; each batch takes a bounded number of files.
+        return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(f"{self.folder}/lineitem.parquet*")
 
 
 @query("incremental_holdings", f"WITH {S.ROLLUP_SQL} SELECT * FROM r")

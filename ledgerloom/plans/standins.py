@@ -75,10 +75,11 @@ SELECT source, "managerCik", "managerAddress", "managerName",
 FROM h GROUP BY ALL)"""
 
 
-def companies(t: Tables) -> DataFrame:
+def companies(t: Tables, listed_only: bool = True) -> DataFrame:
     """Company list with one URL each."""
     cusip = cusip_of(F.col("p_partkey"))
-    return t.part.filter(F.col("p_size") <= SMALL_COMPANY).select(
+    parts = t.part.filter(F.col("p_size") <= SMALL_COMPANY) if listed_only else t.part
+    return parts.select(
         ids.cusip6(cusip).alias("cusip6"),
         F.col("p_partkey").cast("string").alias("cik"),
         F.col("p_name").alias("names"),
@@ -89,12 +90,13 @@ def companies(t: Tables) -> DataFrame:
     )
 
 
-COMPANIES_SQL = f"""c AS (
+ALL_COMPANIES_SQL = f"""c AS (
 SELECT {CUSIP6_SQL.format(c=part_cusip_sql())} AS cusip6, CAST(p_partkey AS VARCHAR) AS cik, p_name AS names,
        {part_cusip_sql()} AS cusip,
        '/Archives/edgar/data/' || p_partkey || '/' || printf('%010d', p_partkey) || '23000001/'
          || printf('%010d', p_partkey) || '-23-000001.txt' AS "form10KUrls"
-FROM part WHERE p_size <= {SMALL_COMPANY})"""
+FROM part)"""
+COMPANIES_SQL = ALL_COMPANIES_SQL.replace("FROM part)", f"FROM part WHERE p_size <= {SMALL_COMPANY})")
 
 
 def document_sections(t: Tables) -> DataFrame:

@@ -8,7 +8,7 @@ FILING_URLS_CSV = COMPANY_MAP_CSV + ", form10KUrls STRING"
 HOLDINGS = (
     "source STRING, managerCik STRING, managerAddress STRING, managerName STRING, "
     "reportCalendarOrQuarter DATE, cusip6 STRING, cusip STRING, companyName STRING, "
-    "value DECIMAL(20,2), shares BIGINT"
+    "value DECIMAL(28,6), shares BIGINT"
 )
 
 FILING_HISTORY = (
