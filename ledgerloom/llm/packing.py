@@ -9,6 +9,7 @@ partitions by construction. The stream is cut every ``window`` tokens, so that o
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,48 +23,98 @@ from ledgerloom.llm.common import hash_join_small, store
 
 WINDOW = 2048
 END_ID = 1
-BUCKET_DOCS = 20_000
+BUCKET_DOCS = 2_000
 BUCKET_ROUNDS = 1024
 COARSE = 1024
-CACHE = 300_000
-PUNCTUATION = ".,:;!?)(]}\"-"
+MOST_KEPT = 600_000
+CHUNK = 2_000_000
+TOGETHER = 1000
+WORD_END = "</w>"
+PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+SPECIAL = b"<|"
+SIGMA = "Σ".encode()  # its small form depends on its neighbours
 
 
-class WordIds(dict):
-    """Ids of the stretches between ASCII white space, as bytes; looked up once and kept, within a bound.
+class WordIds:
+    """Ids of texts by way of their distinct words, as bytes.
 
-    The tokenizer drops white space before it splits, so a text's ids are those of its stretches in order. Within a
-    stretch of letters followed by punctuation without apostrophes, both parts are tokens of their own; letters of
-    ASCII are looked up in lower case, as the tokenizer would.
+    The tokenizer drops white space before it splits, so a text's ids are those of its stretches between ASCII white
+    space, in order. Within a stretch of letters followed by punctuation without apostrophes both parts are words of
+    their own. Words are looked up once for each chunk of texts, letters in lower case, as the tokenizer would; what it
+    answered is kept, within a bound. Unknown words of letters are encoded together; the tokens that end a word
+    cut the ids apart again.
     """
 
     def __init__(self, path: str, kind: str) -> None:
-        super().__init__()
-        self.tokenizer, self.kind, self.stems = Tokenizer.from_file(path), kind, {}
-
-    def encode(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def stem(self, word: str) -> bytes:
-        found = self.stems.get(word)
-        if found is None:
-            if len(self.stems) >= CACHE:
-                self.stems.clear()
-            found = self.stems[word] = self.encode(word)
+        self.tokenizer, self.kind = Tokenizer.from_file(path), kind
+        self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[k for token, k in vocabulary.items() if token.endswith(WORD_END)]] = True
+
+    def encode_each(self, words: list[bytes]) -> list[bytes]:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
+
+    def encode_letters(self, words: list[bytes]) -> list[bytes]:
+        found: list[bytes] = []
+        parts = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        joined = [b" ".join(some).decode("utf-8", "replace") for some in parts]
+        for some, e in zip(parts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, self.kind)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(some) or ends[-1] != len(ids):  # a character that only one side takes for a letter
+                found += self.encode_each(some)
+                continue
+            raw, width = ids.tobytes(), ids.itemsize
+            cuts = [0, *(ends * width).tolist()]
+            found += [raw[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
         return found
 
-    def __missing__(self, raw: bytes) -> bytes:
-        word = raw.decode("utf-8", "replace")
-        letters = word.rstrip(PUNCTUATION)
-        if letters.isalpha():
-            tail = word[len(letters) :]
-            ids = self.stem(letters.lower() if letters.isascii() else letters) + (self.stem(tail) if tail else b"")
-        else:
-            ids = self.encode(word)
-        if len(self) >= CACHE:
-            self.clear()
-        self[raw] = ids
-        return ids
+    def learn(self, new: set[bytes]) -> None:
+        """Adds the ids of stretches that are not known."""
+        raws = list(new)
+        stems = [raw.rstrip(PUNCTUATION) for raw in raws]
+        tails = [raw[len(stem) :] for raw, stem in zip(raws, stems, strict=True)]
+        letters: list[bytes | None] = [stem.lower() if stem.isalpha() else None for stem in stems]  # of ASCII
+        for k, stem in enumerate(stems):
+            if letters[k] is None and SIGMA not in stem and (word := stem.decode("utf-8", "replace")).isalpha():
+                letters[k] = word.lower().encode()
+        other = [raw for raw, word in zip(raws, letters, strict=True) if word is None]
+        self.known.update(zip(other, self.encode_each(other), strict=True))
+        words, ends = list(set(letters) - {None}), list(set(tails) - {b""})
+        ids_of = dict(zip(words, self.encode_letters(words), strict=True))
+        end_of = {b"": b"", **dict(zip(ends, self.encode_each(ends), strict=True))}
+        self.known.update(
+            (raw, ids_of[word] + end_of[tail])
+            for raw, word, tail in zip(raws, letters, tails, strict=True)
+            if word is not None
+        )
+
+    def encode(self, texts: list[bytes | None]) -> Iterator[bytes]:
+        """Ids of each UTF-8 text, texts of about ``CHUNK`` bytes at a time."""
+        held: list[list[bytes]] = []
+        size = 0
+        for k, text in enumerate(texts):
+            text = text or b""
+            size += len(text)
+            # Nothing but a special token's name has another meaning in capitals.
+            held.append((text.lower() if text.isascii() and SPECIAL not in text else text).split())
+            if size >= CHUNK or k == len(texts) - 1:
+                yield from self.encode_words(held)
+                held, size = [], 0
+
+    def encode_words(self, texts: list[list[bytes]]) -> list[bytes]:
+        if len(self.known) > MOST_KEPT:
+            self.known.clear()
+        found = [list(map(self.known.get, words)) for words in texts]
+        missing = [[k for k, ids in enumerate(row) if ids is None] for row in found]
+        self.learn({words[k] for words, places in zip(texts, missing, strict=True) for k in places})
+        for words, row, places in zip(texts, found, missing, strict=True):
+            for k in places:
+                row[k] = self.known[words[k]]
+        return [b"".join(row) for row in found]
 
 
 def id_kind(path: str) -> str:
@@ -79,13 +130,11 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame
     kind = id_kind(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         words, end = WordIds(tokenizer, kind), np.array([end_id], kind).tobytes()
         row, width = TaskContext.get().partitionId() << 33, np.dtype(kind).itemsize
         for batch in batches:
-            ids = [
-                b"".join(map(words.__getitem__, (t or "").encode("utf-8", "replace").split())) + end
-                for t in batch.column("text").to_pylist()
-            ]
+            ids = [x + end for x in words.encode(batch.column("text").cast(pa.binary()).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(range(row, row + len(ids)), pa.int64()),
