@@ -88,7 +88,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
 def keys_of(texts: DataFrame) -> DataFrame:
     """(key, node, own, n, fp): the rarest shingles of each sketch, and how many of the sketch no other text has."""
-    tokens = texts.select("node", "n", "fp", F.size("sketch").alias("size"), F.explode("sketch").alias("key"))
+    tokens = texts.select("node", F.size("sketch").alias("size"), F.explode("sketch").alias("key"))
     common = tokens.groupBy("key").agg(F.count("*").alias("texts")).where("texts > 1")
     shared = tokens.join(common, "key")
     rarest = Window.partitionBy("node").orderBy("texts", "key")
@@ -96,7 +96,8 @@ def keys_of(texts: DataFrame) -> DataFrame:
         "own", F.col("size") - F.count("*").over(Window.partitionBy("node"))
     )
     needed = F.ceil(F.col("size") * SHARED_PART)
-    return shared.where(F.col("own") + F.col("place") <= F.col("size") - needed + 1).select("key", "node", "own", "n", "fp")
+    keys = shared.where(F.col("own") + F.col("place") <= F.col("size") - needed + 1).select("key", "node", "own")
+    return keys.join(texts.select("node", "n", "fp"), "node")
 
 
 def ring_test(most_bits: int, ring: int) -> Column:

@@ -28,6 +28,7 @@ BUCKET_ROUNDS = 1024
 COARSE = 1024
 MOST_KEPT = 600_000
 CHUNK = 2_000_000
+SLICE = 1000
 TOGETHER = 1000
 WORD_END = "</w>"
 PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -133,19 +134,21 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         words, end = WordIds(tokenizer, kind), np.array([end_id], kind).tobytes()
         row, width = TaskContext.get().partitionId() << 33, np.dtype(kind).itemsize
-        for batch in batches:
-            ids = [x + end for x in words.encode(batch.column("text").cast(pa.binary()).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(range(row, row + len(ids)), pa.int64()),
-                    batch.column("doc_id"),
-                    batch.column("source"),
-                    pa.array([len(x) // width for x in ids], pa.int64()),
-                    pa.array(ids, pa.binary()),
-                ],
-                ["row", "doc_id", "source", "n", "ids"],
-            )
-            row += len(ids)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                ids = [x + end for x in words.encode(batch.column("text").cast(pa.binary()).to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(range(row, row + len(ids)), pa.int64()),
+                        batch.column("doc_id"),
+                        batch.column("source"),
+                        pa.array([len(x) // width for x in ids], pa.int64()),
+                        pa.array(ids, pa.binary()),
+                    ],
+                    ["row", "doc_id", "source", "n", "ids"],
+                )
+                row += len(ids)
 
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = f"row long, doc_id {fields['doc_id']}, source {fields['source']}, n long, ids binary"
