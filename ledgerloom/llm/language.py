@@ -14,10 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.text_arrays import MIX, chunks
+from ledgerloom.llm.training import first_by_hash
 
 PER_LANGUAGE = 600
 MOST_LANGUAGES = 300
@@ -180,10 +181,9 @@ def learn(
     known = known.where(F.octet_length("text") <= longest)
     ids = known.groupBy("lang", "doc_id").agg(F.count("*").alias("rows"))
     frequent = ids.groupBy("lang").agg(F.sum("rows").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = ids.join(F.broadcast(frequent.select("lang")), "lang")
-    ids = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
-    found = known.select("doc_id", "lang", "text").join(F.broadcast(ids.select("doc_id", "lang")), ["doc_id", "lang"])
+    ids = ids.join(F.broadcast(frequent.select("lang")), "lang").select("doc_id", "lang")
+    ids = first_by_hash(ids, "lang", per_language)
+    found = known.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"])
     found = found.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).toPandas()
     found = found.sort_values(["doc_id", "lang"], kind="stable")
     return fit(found["text"].tolist(), found["lang"].tolist())

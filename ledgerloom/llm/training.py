@@ -8,6 +8,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def first_by_hash(rows: DataFrame, group: str, most: int) -> DataFrame:
+    """The ``most`` rows (doc_id, group) of each group that come first in the order of a hash of the id.
+
+    The groups are counted first. Of a large one, only ids whose hash is below a bound that twice as many are expected
+    to pass are sorted, so no group of any size meets in one task. There are few groups.
+    """
+    sizes = rows.groupBy(group).agg(F.count("*").alias("__rows")).withColumnRenamed(group, "__group")
+    small = sizes.limit(1001).count() <= 1000
+    counted = rows.join(F.broadcast(sizes) if small else sizes, F.col(group) == F.col("__group"))
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))
+    near = counted.where(place < (2.0 * most + 100) / F.col("__rows"))
+    order = Window.partitionBy(group).orderBy(F.xxhash64("doc_id") < 0, F.xxhash64("doc_id"), "doc_id")
+    return near.withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= most).select("doc_id", group)
+
+
 def labelled_sample(labelled: DataFrame, docs: DataFrame, may_learn: Column, per_class: int, longest: int) -> pd.DataFrame:
     """Up to ``per_class`` documents of each label, first in the order of a hash of the id: (doc_id, label, text).
 
@@ -15,9 +30,9 @@ def labelled_sample(labelled: DataFrame, docs: DataFrame, may_learn: Column, per
     and texts of more than ``longest`` bytes are not learned from, so the sample has a bounded size. Rows that share a
     doc_id give one text, the smallest.
     """
-    one = labelled.where(may_learn & F.col("label").isNotNull()).groupBy("doc_id").agg(F.max("label").alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = one.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_class).drop("place")
+    known = labelled.where(may_learn & F.col("label").isNotNull() & F.col("doc_id").isNotNull())
+    one = known.groupBy("doc_id").agg(F.max("label").alias("label"))
+    picked = first_by_hash(one, "label", per_class)
     texts = docs.select("doc_id", "text").where(F.octet_length("text") <= longest)
     found = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(
         F.first("label").alias("label"), F.min("text").alias("text")
