@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import markup
+from ledgerloom.functions import ids, markup
 from ledgerloom.functions.bind import computed_once, let
 
 # The form type, the items that make up a report, the header pattern and the literal
-# that is removed from the text.
+# that is removed from the text. The pattern's two halves stand apart because only one of them needs a look-behind.
 MAIN_TYPE = "10-K"
 ITEMS = ("item1", "item1a", "item7", "item7a")
 TAG_HEADER = r">(?:Item|ITEM)(?:\s|&#160;|&nbsp;)(?:1A|1B|1\.|7A|7|8)\.{0,1}"
@@ -136,6 +136,24 @@ def sections_wide(long: DataFrame, keys: list[str]) -> DataFrame:
     return long.groupBy(*keys).agg(*picks)
 
 
+def report_rows(long: DataFrame, urls: DataFrame) -> DataFrame:
+    """One row per report as the cleaned JSON files have it: its items, and its company's ids from the URL list.
+
+    ``long`` has file_name, item and text; ``urls`` has cik, cusip6, cusip, names and one form10KUrls a row. The two
+    meet on the file id. Reports without a URL and URLs without a report drop out; source is the index page.
+    """
+    wide = sections_wide(long.withColumn("_file", ids.file_id(F.concat(F.lit("/"), "file_name"))), ["_file"])
+    listed = urls.select(
+        ids.file_id(F.col("form10KUrls")).alias("_file"),
+        "cik",
+        "cusip6",
+        "cusip",
+        "names",
+        ids.index_page_url(F.col("form10KUrls")).alias("source"),
+    )
+    return wide.join(listed, "_file").drop("_file")
+
+
 def sections_unpivot(wide: DataFrame) -> DataFrame:
     """A column per item -> one row per item."""
     keys = [c for c in wide.columns if c not in ITEMS]

@@ -71,6 +71,23 @@ def merge_folded(
     return joined.select(*keys, *[merged(c) for c in columns])
 
 
+def load_counts(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """What a load does, as rows (step, rows): records in the batch, without a key, keys, keys created and updated."""
+    keyed = batch.select(*keys).dropna(subset=keys)
+    per_key = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("records"))
+    known = existing.select(*keys).distinct().withColumn("_old", F.lit(True))
+    matched = per_key.join(known, keys, "left").agg(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("keyed"),
+        F.count(F.lit(1)).alias("keys"),
+        F.count_if(F.col("_old").isNull()).alias("created"),
+        F.count_if("_old").alias("updated"),
+    )
+    total = batch.agg(F.count(F.lit(1)).alias("records"))
+    both = total.join(F.broadcast(matched), how="cross")  # one row on either side
+    both = both.withColumn("no key", F.col("records") - F.col("keyed")).drop("keyed")
+    return both.unpivot([], ["records", "no key", "keys", "created", "updated"], "step", "rows")
+
+
 def counted(frame: DataFrame, name: str = "load") -> tuple[DataFrame, Observation]:
     """The frame with a row counter that is filled by whichever action runs it."""
     seen = Observation(name)

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
@@ -112,11 +111,8 @@ def top_k(
     return _pick_k(_search(vectors, queries, id_column, vector, k), k)
 
 
-def _search(
-    vectors: DataFrame, queries: list, id_column: str, vector: str, k: int, probes: dict | None = None
-) -> DataFrame:
-    """Each task's best ``k`` per query. With ``probes`` (query id -> bucket keys) the frame has ``buckets``
-    and a vector is scored only for the queries it shares a bucket with."""
+def _search(vectors: DataFrame, queries: list, id_column: str, vector: str, k: int) -> DataFrame:
+    """Each task's best ``k`` per query."""
     dims = len(queries[0][1])
     query_ids = [q for q, _ in queries]
     matrix = _unit(np.asarray([v for _, v in queries], dtype=np.float64))
@@ -130,21 +126,12 @@ def _search(
             id_type = b.schema.field(0).type
             ids = np.asarray(b.column(0).to_pylist())
             units = _unit(_matrix(b.column(1), dims))
-            if probes is None:
-                best.add(query_ids, units, matrix, ids)
-                continue
-            buckets = b.column(2).to_pylist()
-            for at, q in enumerate(query_ids):
-                hit = np.fromiter((not probes[q].isdisjoint(keys) for keys in buckets), bool, len(buckets))
-                if hit.any():
-                    best.add([q], units[hit], matrix[at : at + 1], ids[hit])
+            best.add(query_ids, units, matrix, ids)
         if best.rows:
             yield best.batch(id_type, arrow_query)
 
     # Only the size is checked here, cheaply; vectors without length or with NaN fall out of the arithmetic.
-    slim = vectors.filter(F.size(vector) == dims).select(
-        id_column, vector, *(["buckets"] if probes is not None else [])
-    )
+    slim = vectors.filter(F.size(vector) == dims).select(id_column, vector)
     id_type = vectors.schema[id_column].dataType.simpleString()
     return slim.mapInArrow(score, f"query_id {query_type}, id {id_type}, cosine double")
 
@@ -240,57 +227,82 @@ def mean_vectors(vectors: DataFrame, group: str, vector: str) -> DataFrame:
 # --- approximate search ------------------------------------------------------------------------------
 
 
-def _unit_column(vector: str) -> Column:
-    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.transform(vector, lambda x: x / norm)
+def hyperplanes(dims: int, tables: int = 16, bits: int = 8, seed: int = 42) -> list[list[list[float]]]:
+    """Random directions, tables x bits x dims, with four decimals so that they can be written down."""
+    draws = np.random.default_rng(seed).standard_normal((tables, bits, dims))
+    return np.round(draws, 4).tolist()
 
 
-def lsh_model(
-    vectors: DataFrame, vector: str, dims: int, bucket_length: float = 0.5, tables: int = 8, seed: int = 42
-) -> BucketedRandomProjectionLSHModel:
-    """Random projections on unit vectors, where nearest in distance is nearest in cosine."""
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="_unit", outputCol="_hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    )
-    units = usable(vectors, vector, dims).select(array_to_vector(_unit_column(vector)).alias("_unit"))
-    return lsh.fit(units)
+def with_buckets(vectors: DataFrame, planes: list[list[list[float]]], vector: str) -> DataFrame:
+    """Adds ``buckets``: per table one key of all its signs, (table << bits) + signs. Store it as the index.
 
+    A key is as selective as its table has bits; more tables find more neighbours.
+    """
+    dims, bits = len(planes[0][0]), len(planes[0])
+    tables = F.array(*[F.array(*[F.array(*map(F.lit, plane)) for plane in table]) for table in planes])
 
-def with_buckets(vectors: DataFrame, model: BucketedRandomProjectionLSHModel, vector: str, dims: int) -> DataFrame:
-    """Adds ``buckets``: one text key per hash table. Store it as the index."""
-    staged = usable(vectors, vector, dims).withColumn("_unit", array_to_vector(_unit_column(vector)))
-    keys = F.transform(
-        F.col("_hashes"),
-        lambda h, i: F.concat(i.cast("string"), F.lit(":"), vector_to_array(h)[0].cast("bigint").cast("string")),
-    )
-    return model.transform(staged).withColumn("buckets", keys).drop("_unit", "_hashes")
+    def sign(plane: Column, at: Column) -> Column:
+        products = F.zip_with(F.col(vector), plane, lambda x, y: x.cast("double") * y)
+        above = F.aggregate(products, F.lit(0.0), lambda s, x: s + x) > 0
+        return F.when(above, F.element_at(F.array(*[F.lit(1 << b) for b in range(bits)]), at + 1)).otherwise(0)
+
+    def key(table: Column, number: Column) -> Column:
+        return number * (1 << bits) + F.aggregate(F.transform(table, sign), F.lit(0), lambda s, x: s + x)
+
+    return usable(vectors, vector, dims).withColumn("buckets", F.transform(tables, key))
+
+
+def lsh_candidates(index: DataFrame, queries: DataFrame, id_column: str, query_id: str) -> DataFrame:
+    """Distinct pairs (query_id, id) that share a bucket, from one equi-join on the bucket.
+
+    ``index`` and ``queries`` come from :func:`with_buckets`. Ids alone are joined; a crowded bucket is split by the
+    skew join.
+    """
+    left = index.select(F.col(id_column).alias("id"), F.explode("buckets").alias("bucket"))
+    right = queries.select(F.col(query_id).alias("query_id"), F.explode("buckets").alias("bucket"))
+    return left.join(right, "bucket").select("query_id", "id").distinct()
 
 
 def top_k_lsh(
-    index: DataFrame,
-    model: BucketedRandomProjectionLSHModel,
-    queries: DataFrame,
-    id_column: str,
-    query_id: str,
-    vector: str,
+    index: DataFrame, queries: DataFrame, id_column: str, query_id: str, vector: str, k: int = DEFAULT_K
+) -> DataFrame:
+    """Approximate top-k: the nearest of the vectors that share a bucket with a query, scored exactly.
+
+    One path for any number of queries. A query whose buckets are empty gets no hit.
+    """
+    pairs = lsh_candidates(index, queries, id_column, query_id)
+    there = index.select(F.col(id_column).alias("id"), F.col(vector).cast("array<double>").alias("_v"))
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).cast("array<double>").alias("_q"))
+    scored = pairs.join(there, "id").join(asked, "query_id").select("query_id", "id", _cosine("_v", "_q").alias("cosine"))
+    return _pick_k(scored, k)
+
+
+def _cosine(left: str, right: str) -> Column:
+    def dot(x: str, y: str) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda s, p: s + p)
+
+    return dot(left, right) / F.sqrt(dot(left, left) * dot(right, right))
+
+
+def question_hits(
+    questions: DataFrame,
+    chunks: DataFrame,
+    embed,
+    question_id: str,
+    chunk_id: str,
     dims: int,
     k: int = DEFAULT_K,
+    text: str = "text",
+    vector: str = "textEmbedding",
 ) -> DataFrame:
-    """Approximate top-k over vectors that share a bucket with a query.
+    """Question texts -> their k nearest chunks: query_id, id, rank, score, text, source.
 
-    The bucket test runs in the JVM, so vectors in no probed bucket never reach Python. Candidates are
-    scored exactly and each task keeps its best ``k``: a crowded bucket emits no more than an empty one.
-    Queries too many to send to the tasks are searched exactly by :func:`grid_top_k`.
+    ``embed`` is the embedder that made the vectors of ``chunks`` (chunk_id, text, source, vector).
     """
-    probed = with_buckets(queries, model, vector, dims)
-    small = collect_queries(probed, query_id, vector, dims)
-    if not small:
-        return top_k_for_table(index, queries, id_column, query_id, vector, dims, k)
-    # As many rows as the queries just collected, each with one key per hash table.
-    probes = {q: set(keys) for q, keys in probed.select(query_id, "buckets").collect()}
-    wanted = sorted(set().union(*probes.values()))
-    near = index.filter(F.arrays_overlap("buckets", F.array(*[F.lit(b) for b in wanted])))
-    return _pick_k(_search(near, small, id_column, vector, k, probes), k)
+    asked = embed(questions.select(question_id, text), text, vector).select(question_id, vector)
+    hits = top_k_for_table(chunks.select(chunk_id, vector), asked, chunk_id, question_id, vector, dims, k)
+    texts = chunks.select(F.col(chunk_id).alias("id"), text, "source")
+    return hits.select("query_id", "id", "rank", "score").join(texts, "id")
 
 
 def retrieval_context(

@@ -7,10 +7,13 @@ from html.entities import name2codepoint
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom import schemas, session
 from ledgerloom.functions import markup, text
 from ledgerloom.operators import chunks, embedding, sections
 from ledgerloom.plans import standins as S
 from ledgerloom.plans.catalog import Tables, query, spread
+from ledgerloom.plans.embedding_sql import embed_sql
+from ledgerloom.sources import files
 
 # A bundle per document: an exhibit, then the annual report with a table of contents that repeats every
 # header, four quarters of the text under the item headers, and items that end a section without being
@@ -25,7 +28,7 @@ MAIN_SQL = f"""'\n<TYPE>10-K\n<TEXT>{CONTENTS}' || {LAST_CONTENT_SQL} || '{HEADE
    || CASE WHEN lang = 'fr' THEN '' ELSE '{HEADERS[3]}</h2>' || {_Q[3]} END || '<p>ITEM 8 Statements</p></TEXT>\n'"""
 
 
-def bundles(t: Tables, complete_only: bool = False) -> DataFrame:
+def bundles(t: Tables) -> DataFrame:
     first, second, third, fourth = S.quarter_slices(F.col("text"))
     main = F.concat(
         F.when(F.col("lang") == "es", "\n<TYPE>10-K405\n").otherwise("\n<TYPE>10-K\n"),
@@ -42,8 +45,7 @@ def bundles(t: Tables, complete_only: bool = False) -> DataFrame:
     )
     exhibit = "<DOCUMENT>\n<TYPE>EX-21\nItem 1. subsidiaries\n</DOCUMENT>\n"
     raw = F.concat(F.lit(f"<SEC-HEADER>\r\n{exhibit}<DOCUMENT>"), main, F.lit("</DOCUMENT>\n"))
-    documents = t.documents.filter(~F.col("lang").isin("es", "fr")) if complete_only else t.documents
-    return spread(documents).select("doc_id", text.unix_newlines(raw).alias("raw"))
+    return spread(t.documents).select("doc_id", text.unix_newlines(raw).alias("raw"))
 
 
 @query(
@@ -55,7 +57,7 @@ def tenk_main_document(t: Tables) -> DataFrame:
     return sections.main_document(bundles(t)).drop("raw")
 
 
-def _markup_sql(source: str, last_amp: bool = True) -> str:
+def _markup_sql(source: str) -> str:
     """The native markup chain, with the references that occur in the given tables."""
     cuts = (
         f"regexp_replace({source}, '(?is)(?:<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>"
@@ -66,7 +68,20 @@ def _markup_sql(source: str, last_amp: bool = True) -> str:
         sql = f"replace({sql}, '&{name};', chr({name2codepoint[name]}))"
     for number in (39, 160):
         sql = f"replace({sql}, '&#{number};', chr({number}))"
-    return f"replace({sql}, '&amp;', '&')" if last_amp else sql
+    # "&amp" is read without its semicolon too.
+    return f"replace(replace(replace({sql}, '&amp;', chr(2)), '&amp', '&'), chr(2), '&')"
+
+
+def tenk_urls(t: Tables) -> DataFrame:
+    """The URL list for the bundles: one URL per document."""
+    doc = F.col("doc_id").cast("string")
+    return t.documents.select(
+        doc.alias("cik"),
+        F.substring(S.cusip_of(F.col("doc_id")), 1, 6).alias("cusip6"),
+        F.array(S.cusip_of(F.col("doc_id"))).alias("cusip"),
+        F.array("lang", "source").alias("names"),
+        F.concat(F.lit("https://example.org/data/"), doc, F.lit(".txt")).alias("form10KUrls"),
+    )
 
 
 def _section_sql(head: str, part: str) -> str:
@@ -90,6 +105,25 @@ def tenk_sections(t: Tables) -> DataFrame:
     return sections.sections(sections.main_document(bundles(t)))
 
 
+@query(
+    "tenk_json",
+    f"""SELECT {", ".join(f"{_section_sql(head, part + f" || '{end}'")} AS {item}"
+                          for item, head, part, end in zip(sections.ITEMS, HEADERS, _Q, _ENDS))},
+               CAST(doc_id AS VARCHAR) AS cik, substr({S.CUSIP_SQL.format(key="doc_id")}, 1, 6) AS cusip6,
+               {S.CUSIP_SQL.format(key="doc_id")} AS cusip, lang || ';' || source AS names,
+               'https://example.org/data/' || doc_id || '-index.htm' AS source
+        FROM documents WHERE lang NOT IN ('es', 'fr')""",
+)
+def tenk_json(t: Tables) -> DataFrame:
+    """Raw reports and the URL list -> one JSON object per report, written and read again."""
+    raw = bundles(t).withColumn("file_name", F.format_string("%d.txt", "doc_id")).drop("doc_id")
+    made = sections.report_rows(sections.sections(sections.main_document(raw)), tenk_urls(t))
+    path = session.work_folder(t.spark, "tenk")
+    files.write_json(made, path)
+    back = files.read_json_lines(t.spark, path, schemas.SECTIONS_JSON)
+    return back.withColumns({c: F.array_join(c, ";") for c in ("cusip", "names")})
+
+
 @query(
     "tenk_quarantine",
     """SELECT doc_id, CASE lang WHEN 'es' THEN 'no main document' ELSE 'missing item' END AS reason
@@ -104,7 +138,7 @@ _PIECES = [
     ("item1", f"'{HEADERS[0][3:]}</h2>' || {_Q[0]} || '<h2'"),
     ("item1a", f"'{HEADERS[1][3:]}</h2>' || {_Q[1]} || '<h2'"),
     ("item1b", "'>Item 1B.</h2>none<h2'"),
-    ("item7", f"'{HEADERS[2][3:]}</h2>' || {_Q[2]} || CASE WHEN lang = 'fr' THEN '<p>' ELSE '<h2' END"),
+    ("item7", f"'{HEADERS[2][3:]}</h2>' || {_Q[2]} || CASE WHEN lang = 'fr' THEN '<p' ELSE '<h2' END"),
     ("item7a", f"CASE WHEN lang = 'fr' THEN '' ELSE '{HEADERS[3][3:]}</h2>' || {_Q[3]} || '<p' END"),
     ("item8", "'>ITEM 8 Statements</p></TEXT>\n'"),
 ]
@@ -115,15 +149,15 @@ _PIECES = [
     f"""WITH b AS (
           SELECT doc_id, lang, regexp_replace({MAIN_SQL}, '\r\n?', '\n', 'g') AS document,
                  [{", ".join(f"length(regexp_replace({sql}, '\r\n?', '\n', 'g'))" for _, sql in _PIECES)}] AS n
-          FROM documents WHERE lang NOT IN ('es', 'fr')),
+          FROM documents WHERE lang <> 'es'),
         p AS (SELECT doc_id, length(document) AS whole, unnest([{", ".join(f"'{name}'" for name, _ in _PIECES)}]) AS item,
                      unnest(list_transform(range(1, {len(_PIECES)} + 1), lambda i: list_sum(n[1:i - 1]))) AS start FROM b)
         SELECT doc_id, item, CAST(start AS INTEGER) AS start,
                CAST(coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY start), whole) AS INTEGER) AS "sectionEnd"
-        FROM p QUALIFY item <> ''""",
+        FROM p JOIN documents USING (doc_id) WHERE NOT (lang = 'fr' AND item = 'item7a') QUALIFY item <> ''""",
 )
 def section_end_lead(t: Tables) -> DataFrame:
-    return sections.section_bounds(sections.main_document(bundles(t, complete_only=True)))
+    return sections.section_bounds(sections.main_document(bundles(t)))
 
 
 @query("html_to_text", f"SELECT page_id, {_markup_sql('html')} AS text FROM pages")
@@ -131,12 +165,7 @@ def html_to_text(t: Tables) -> DataFrame:
     return spread(t.pages).select("page_id", markup.html_to_text(F.col("html")).alias("text"))
 
 
-# The parser also reads "&amp" without its semicolon.
-@query(
-    "html_to_text_exact",
-    f"""SELECT page_id, replace(replace(replace({_markup_sql("html", last_amp=False)}, '&amp;', chr(2)), '&amp', '&'),
-               chr(2), '&') AS text FROM pages""",
-)
+@query("html_to_text_exact", f"SELECT page_id, {_markup_sql('html')} AS text FROM pages")
 def html_to_text_exact(t: Tables) -> DataFrame:
     return spread(t.pages).select("page_id", markup.html_to_text_exact(F.col("html")).alias("text"))
 
@@ -154,6 +183,33 @@ def chunk_recursive(t: Tables) -> DataFrame:
     return chunks.chunk_recursive(S.document_sections(t))
 
 
-@query("embed_chunks")
+@query(
+    "embed_chunks",
+    f"""WITH {S.CHUNKS_SQL}, {embed_sql("e", "c", '"chunkId"', "text", 256)}
+        SELECT "chunkId", array_to_string(list_transform(v,
+          lambda x: CAST(CAST(round(x * 1000) AS BIGINT) AS VARCHAR)), ' ') AS vector FROM e""",
+)
 def embed_chunks(t: Tables) -> DataFrame:
-    return embedding.embed(S.document_chunks(t), embedding.hashing_embedder()).drop("text")
+    made = embedding.embed(S.document_chunks(t), embedding.hashing_embedder())
+    whole = F.transform("textEmbedding", lambda x: F.round(x.cast("double") * 1000).cast("bigint").cast("string"))
+    return made.select("chunkId", F.array_join(whole, " ").alias("vector"))
+
+
+@query(
+    "chunk_recursive_properties",
+    """SELECT doc_id, CAST(0 AS BIGINT) AS too_long, CAST(0 AS BIGINT) AS not_in_text, CAST(0 AS BIGINT) AS lost_letters
+       FROM documents WHERE trim(text, chr(32) || chr(10)) <> ''""",
+)
+def chunk_recursive_properties(t: Tables) -> DataFrame:
+    """Per document: pieces above the size, pieces that are no stretch of the text, letters that only the text has."""
+    pieces = chunks.chunk_recursive(S.document_sections(t))
+    joined = pieces.select(F.col("formId").cast("bigint").alias("doc_id"), F.col("text").alias("piece")).join(
+        t.documents.select("doc_id", "text"), "doc_id"
+    )
+    letters = F.array_distinct(F.split(F.regexp_replace("piece", r"\s", ""), ""))
+    of_text = F.array_distinct(F.split(F.regexp_replace(F.first("text"), r"\s", ""), ""))
+    return joined.groupBy("doc_id").agg(
+        F.count_if(F.length("piece") > chunks.CHUNK_SIZE).alias("too_long"),
+        F.count_if(~F.contains("text", "piece")).alias("not_in_text"),
+        F.size(F.array_except(of_text, F.array_distinct(F.flatten(F.collect_set(letters))))).cast("bigint").alias("lost_letters"),
+    )

@@ -190,6 +190,35 @@ def mention_edges(t: Tables) -> DataFrame:
     return merged.withColumns(stamps)
 
 
+@query(
+    "extraction_failures",
+    """SELECT o_orderkey AS "documentId", CASE o_orderpriority WHEN '1-URGENT' THEN 'not readable' WHEN '2-HIGH'
+              THEN 'no graph' ELSE 'no extraction' END AS reason
+       FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')""",
+)
+def extraction_failures(t: Tables) -> DataFrame:
+    """One priority's text is cut off, one holds another object, one has no text."""
+    whole = F.lit('{"nodes": [{"entityId": "a", "type": "T"}], "rels": []}')
+    priority = F.col("o_orderpriority")
+    text_ = (
+        F.when(priority == "1-URGENT", F.substring(whole, 1, 30)).when(priority == "2-HIGH", F.lit('{"answer": 1}'))
+        .when(priority != "3-MEDIUM", whole)
+    )
+    stored_text = t.orders.select(F.col("o_orderkey").alias("documentId"), text_.alias("extraction"))
+    return entities.extraction_failures(stored_text, "documentId")
+
+
+@query(
+    "allowed_relations",
+    f"""WITH {ROWS_SQL} SELECT o_orderkey AS "docOrder", segment AS "srcLabel", customer AS src FROM o
+        WHERE segment IN ('Building', 'Machinery')""",
+)
+def allowed_relations(t: Tables) -> DataFrame:
+    rels = entities.extracted_rels(extractions(t))
+    kept = entities.allowed_rels(rels, ["BUILDING", "Machinery", "tradePlace"], ["located in"])
+    return kept.select("docOrder", "srcLabel", "src")
+
+
 @query(
     "entity_label_filter",
     f"""WITH {ROWS_SQL} SELECT o_orderkey AS "documentId", segment AS label, customer AS "entityId" FROM o

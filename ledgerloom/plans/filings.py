@@ -272,6 +272,30 @@ def value_scaling(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "company_urls",
+    f"""SELECT printf('%010d', p_partkey) AS cik, p_name AS names,
+               string_agg('/Archives/edgar/data/' || o_custkey || '/' || replace({ACCESSION_SQL}, '-', '') || '/' || {ACCESSION_SQL}
+                 || '.txt', ';' ORDER BY CAST(o_orderdate AS DATE), {ACCESSION_SQL}) AS urls
+        FROM part JOIN orders ON p_partkey = o_custkey
+        WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-06-30' AND o_orderstatus = 'F'
+        GROUP BY ALL""",
+)
+def company_urls(t: Tables) -> DataFrame:
+    companies = t.part.select(F.format_string("%010d", "p_partkey").alias("cik"), F.col("p_name").alias("names"))
+    found = filings.company_urls(companies, order_filings(t).drop("o_orderkey"), "1996-01-01", "1998-06-30")
+    return found.select("cik", "names", F.array_join("form10KUrls", ";").alias("urls"))
+
+
+@query(
+    "ordered_sample",
+    """SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5""",
+)
+def ordered_sample(t: Tables) -> DataFrame:
+    listed = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", (-F.col("o_totalprice")).alias("least"))
+    return filings.preview(listed, 5, "least", "o_orderkey").drop("least")
+
+
 # Two URLs, one or none per order, by its status.
 @query(
     "explode_urls",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import graph, quality
+from ledgerloom.operators import graph, quality, upsert
 from ledgerloom.plans import standins as S
 from ledgerloom.plans.catalog import Tables, query
 
@@ -174,6 +174,20 @@ def node_upsert(t: Tables) -> DataFrame:
     return graph.load_nodes(nodes, wide.drop("textEmbedding"), "c_custkey", ["o_orderkey"])
 
 
+@query(
+    "load_counts",
+    """WITH b AS (SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey * 2 END AS k FROM orders),
+            s AS (SELECT (SELECT count(*) FROM b) AS records, (SELECT count(*) FROM b WHERE k IS NULL) AS "no key",
+              (SELECT count(DISTINCT k) FROM b) AS keys,
+              (SELECT count(DISTINCT k) FROM b WHERE k NOT IN (SELECT c_custkey FROM customer)) AS created,
+              (SELECT count(DISTINCT k) FROM b WHERE k IN (SELECT c_custkey FROM customer)) AS updated)
+       SELECT step, rows FROM (UNPIVOT s ON COLUMNS(*) INTO NAME step VALUE rows)""",
+)
+def load_counts(t: Tables) -> DataFrame:
+    key = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey") * 2)
+    return upsert.load_counts(t.customer, t.orders.select(key.alias("c_custkey")), ["c_custkey"])
+
+
 @query(
     "rel_upsert",
     f"""WITH old AS (SELECT l_suppkey AS src, l_partkey AS dst, l_returnflag AS flag, max(l_quantity) AS quantity

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom import session
 from ledgerloom.operators import holdings, link
 from ledgerloom.plans import standins as S
 from ledgerloom.plans.catalog import Tables, plain, query, spread
+from ledgerloom.sources import files
 
 PERIODS = 4
 
@@ -197,6 +199,14 @@ def parse_failures(t: Tables) -> DataFrame:
     return holdings.parse_failures(submissions(t)).groupBy("file", "stage", "reason").agg(F.count("*").alias("rows"))
 
 
+@query("holdings_csv", f"WITH {S.ROLLUP_SQL} SELECT * FROM r")
+def holdings_csv(t: Tables) -> DataFrame:
+    """The roll-up written as CSV and read again on its declared schema."""
+    path = session.work_folder(t.spark, "holdings")
+    files.write_csv(rolled_up(t), path)
+    return plain(files.read_holdings(t.spark, path))
+
+
 def flagship(t: Tables) -> DataFrame:
     """Roll-up over the most recent periods, kept for managers of listed companies."""
     recent = holdings.rollup(holdings.top_periods(stock_lines(t), PERIODS))

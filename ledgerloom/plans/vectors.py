@@ -5,11 +5,13 @@ The query vectors are the mean vectors of the labels, so they too come from the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import embedding, vectors
+from ledgerloom.plans import standins as S
 from ledgerloom.plans.catalog import Tables, query, spread
+from ledgerloom.plans.embedding_sql import embed_sql
 
 DIMS, K = 64, 10
 
@@ -49,11 +51,35 @@ def vector_topk_grid(t: Tables) -> DataFrame:
     return found.select("query_id", "id", "rank", F.round("score", 4).alias("score"))
 
 
-@query("vector_topk_lsh")
+PLANES = vectors.hyperplanes(DIMS, tables=8, bits=5)
+
+
+def _bucket_sql(vector: str) -> str:
+    """The list of a vector's keys, with the hyperplanes as literals."""
+    keys = []
+    for number, table in enumerate(PLANES):
+        signs = [
+            f"(CASE WHEN list_inner_product({vector}, {plane}::DOUBLE[]) > 0 THEN {1 << at} ELSE 0 END)"
+            for at, plane in enumerate(table)
+        ]
+        keys.append(f"{number << len(table)} + {' + '.join(signs)}")
+    return f"[{', '.join(keys)}]"
+
+
+@query(
+    "vector_topk_lsh",
+    f"""WITH {MEANS_SQL.split(", s AS" if ", s AS" in MEANS_SQL else ",\ns AS")[0]},
+        i AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e, unnest({_bucket_sql("embedding::DOUBLE[]")}) AS bucket FROM embeddings),
+        b AS (SELECT query_id, q, unnest({_bucket_sql("q")}) AS bucket FROM m),
+        s AS (SELECT DISTINCT query_id, id, list_cosine_similarity(e, q) AS cosine FROM i JOIN b USING (bucket)),
+        k AS (SELECT query_id, id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, id) AS INTEGER) AS rank,
+                     cosine FROM s QUALIFY rank <= 10)
+        SELECT query_id, id, rank, round((1 + cosine) / 2, 4) AS score FROM k""",
+)
 def vector_topk_lsh(t: Tables) -> DataFrame:
-    model = vectors.lsh_model(t.embeddings, "embedding", DIMS)
-    index = vectors.with_buckets(t.embeddings, model, "embedding", DIMS)
-    found = vectors.top_k_lsh(index, model, label_queries(t), "vec_id", "query_id", "embedding", DIMS, K)
+    index = vectors.with_buckets(t.embeddings, PLANES, "embedding")
+    queries = vectors.with_buckets(label_queries(t), PLANES, "embedding")
+    found = vectors.top_k_lsh(index, queries, "vec_id", "query_id", "embedding", K)
     return found.select("query_id", "id", "rank", F.round("score", 4).alias("score"))
 
 
@@ -76,12 +102,46 @@ def retrieval_context(t: Tables) -> DataFrame:
 
 @query(
     "missing_embeddings",
-    f"""SELECT doc_id, {DIMS} AS dims, CASE WHEN vec_id IS NULL THEN 'computed' ELSE 'kept' END AS origin
-        FROM documents LEFT JOIN embeddings ON doc_id = vec_id""",
+    f"""WITH {embed_sql("e", "documents", "doc_id", "text", DIMS)}
+        SELECT doc_id, CASE WHEN vec_id IS NULL THEN 'computed' ELSE 'kept' END AS origin,
+               array_to_string(list_transform(coalesce(embedding::DOUBLE[], v),
+                 lambda x: CAST(CAST(round(x * 1000) AS BIGINT) AS VARCHAR)), ' ') AS vector
+        FROM documents LEFT JOIN embeddings ON doc_id = vec_id JOIN e USING (doc_id)""",
 )
 def missing_embeddings(t: Tables) -> DataFrame:
     old = t.embeddings.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("textEmbedding"))
     nodes = spread(t.documents.select("doc_id", "text")).join(old, "doc_id", "left")
     marked = nodes.withColumn("origin", F.when(F.col("textEmbedding").isNull(), "computed").otherwise("kept"))
     filled = embedding.fill_missing(marked, embedding.hashing_embedder(DIMS))
-    return filled.select("doc_id", F.size("textEmbedding").alias("dims"), "origin")
+    whole = F.transform("textEmbedding", lambda x: F.round(x.cast("double") * 1000).cast("bigint").cast("string"))
+    return filled.select("doc_id", "origin", F.array_join(whole, " ").alias("vector"))
+
+
+CONTEXT_DIMS = 256
+
+
+@query(
+    "question_context",
+    f"""WITH {S.CHUNKS_SQL}, {embed_sql("ce", "c", '"chunkId"', "text", CONTEXT_DIMS)},
+        {embed_sql("be", "benchmark", "item_id", "text", CONTEXT_DIMS)},
+        e AS (SELECT "chunkId" AS id, text, source, v FROM c JOIN ce USING ("chunkId")),
+        q AS (SELECT item_id AS query_id, v AS q FROM be),
+        s AS (SELECT query_id, id, source, length(text) AS n, list_cosine_similarity(v, q) AS cosine FROM e, q
+              WHERE list_sum(v) > 0 AND list_sum(q) > 0)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(cosine, 6) DESC, id) AS INTEGER) AS rank,
+               id, source, n, round((1 + round(cosine, 6)) / 2, 4) AS score
+        FROM s QUALIFY rank <= 3""",
+)
+def question_context(t: Tables) -> DataFrame:
+    """Questions as text against embedded chunks. Equal scores go by chunk, so scores are rounded before the ranks."""
+    embedder = embedding.hashing_embedder(CONTEXT_DIMS)
+    chunks = embedding.embed(S.document_chunks(t), embedder)
+    questions = t.benchmark.select("item_id", "text")
+    # More than are wanted, since rounding may reorder close ones.
+    hits = vectors.question_hits(questions, chunks, embedder, "item_id", "chunkId", CONTEXT_DIMS, 3 * K)
+    cosine = F.round(F.col("score") * 2 - 1, 6)
+    best = Window.partitionBy("query_id").orderBy(cosine.desc(), "id")
+    ranked = hits.withColumn("cosine", cosine).withColumn("rank", F.row_number().over(best)).filter("rank <= 3")
+    return ranked.select(
+        "query_id", "rank", "id", "source", F.length("text").cast("bigint").alias("n"), F.round((1 + F.col("cosine")) / 2, 4).alias("score")
+    )

@@ -14,14 +14,20 @@ from ledgerloom import schemas
 from ledgerloom.functions import ids, text
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
+    """CSV with a header line. ``multi_line`` allows line breaks inside cells, and makes each file one task."""
     # Backslash is ordinary text in these files; quotes are doubled. An empty cell is a null.
-    return spark.read.schema(schema).options(header=True, escape='"', multiLine=True).csv(path)
+    return spark.read.schema(schema).options(header=True, escape='"', multiLine=multi_line).csv(path)
+
+
+def read_holdings(spark: SparkSession, path: str) -> DataFrame:
+    """Rolled-up holdings on their declared schema, split over as many tasks as their size needs."""
+    return read_csv(spark, path, schemas.HOLDINGS)
 
 
 def read_company_map(spark: SparkSession, path: str, schema: str = schemas.COMPANY_MAP_CSV) -> DataFrame:
     """Company mapping or URL list; the two list cells become arrays."""
-    frame = read_csv(spark, path, schema)
+    frame = read_csv(spark, path, schema, multi_line=True)
     return frame.withColumns({c: text.parse_list(F.col(c)) for c in ("cusip", "names")})
 
 

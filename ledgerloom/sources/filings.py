@@ -33,6 +33,21 @@ def annual_reports(filings: DataFrame, start: str, end: str, form: str = ANNUAL_
     return filings.filter(F.col("filingDate").between(first, last) & (F.col("form") == form))
 
 
+def company_urls(
+    companies: DataFrame, filings: DataFrame, start: str, end: str, base: str = "", form: str = ANNUAL_REPORT
+) -> DataFrame:
+    """The company map with ``form10KUrls``, the URLs of a company's reports in a range of dates, oldest first.
+
+    Companies and filings meet on the number that their cik is, whatever zeros lead it. Companies without a report drop
+    out. A company files a report a year, so its list is short.
+    """
+    found = format_urls(annual_reports(filings, start, end, form), base)
+    number = F.col("cik").try_cast("bigint").alias("_number")
+    dated = F.struct("filingDate", "accessionNumber", "url")
+    urls = found.groupBy(number).agg(F.transform(F.array_sort(F.collect_list(dated)), lambda f: f["url"]).alias("form10KUrls"))
+    return companies.withColumn("_number", F.col("cik").try_cast("bigint")).join(urls, "_number").drop("_number")
+
+
 def explode_urls(companies: DataFrame, column: str = "form10KUrls") -> DataFrame:
     """One row per URL; companies with no URL drop out."""
     return companies.filter(F.size(column) > 0).withColumn(column, F.explode(column))
