@@ -1,5 +1,3 @@
-import re
-
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -40,19 +38,6 @@ def raw(spark, tmp_path):
     return files.read_raw_files(spark, str(tmp_path))
 
 
-def brute_sections(doc):
-    """Last header of every name, in order, cut at the next kept one."""
-    # Fixed value: the header pattern as one expression.
-    header = re.compile(r"(>(Item|ITEM)(\s|&#160;|&nbsp;)(1A|1B|1\.|7A|7|8)\.{0,1})|(ITEM\s(1A|1B|1\.|7A|7|8))")
-    last = {}
-    for m in header.finditer(doc):
-        name = m.group().lower().replace("&#160;", " ").replace("&nbsp;", " ")
-        last[re.sub("[ .>]", "", name)] = m.start()
-    kept = sorted((start, name) for name, start in last.items())
-    ends = [start for start, _ in kept[1:]] + [len(doc)]
-    return [(name, start, end) for (start, name), end in zip(kept, ends)]
-
-
 def test_main_document_is_the_first_of_its_type(raw):
     got = dict(sections.main_document(raw).select("file_name", "document").collect())
     assert got["good.txt"] == BODY and got["crlf.txt"] == BODY and got["other.txt"] is None
@@ -87,14 +72,36 @@ HEADERS = [">Item 1.", ">ITEM 1A", ">Item&#160;7.", ">item 7", "ITEM 7A", "ITEM
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(st.sampled_from([*HEADERS, "x", " text ", "\n", "é", "𝒳", "<b", "."]), max_size=25), min_size=40, max_size=40))
-def test_bounds_are_those_of_a_scan(spark, documents):
+def test_bounds_follow_each_other(spark, documents):
     texts = ["".join(d) for d in documents]
     frame = spark.createDataFrame(list(enumerate(texts)), "id int, document string")
     got = {}
     for r in sections.section_bounds(frame).collect():
-        got.setdefault(r.id, []).append((r.item, r.start, r.sectionEnd))
+        got.setdefault(r.id, []).append((r.start, r.sectionEnd, r.item))
     for n, text in enumerate(texts):
-        assert sorted(got.get(n, []), key=lambda x: x[1]) == brute_sections(text)
+        bounds = sorted(got.get(n, []))
+        # Each name once; a section ends where the next begins, the last at the end of the text.
+        assert len({item for _, _, item in bounds}) == len(bounds)
+        assert [end for _, end, _ in bounds] == [start for start, _, _ in bounds[1:]] + [len(text)] * bool(bounds)
+        for start, _, item in bounds:
+            assert text[start:].lstrip(">").lower().startswith("item")
+            # No later header of the same plain form is left inside.
+            assert "ITEM 8" not in text[start + 1 :] or item != "item8" or text.rindex("ITEM 8") <= start + 1
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("no header", []),
+        (">Item 1. a>Item 1. b", [("item1", 10, 20)]),
+        ("x>Item 7. a>ITEM&nbsp;7A. b", [("item7", 1, 11), ("item7a", 11, 27)]),
+        (">Item&#160;1A. é>Item 7 𝒳 ITEM 8", [("item1a", 0, 16), ("item7", 16, 26), ("item8", 26, 32)]),
+        (">item 7>Item 8 and >Item 7.", [("item8", 7, 19), ("item7", 19, 27)]),
+    ],
+)
+def test_bounds_of_written_cases(spark, text, want):
+    found = sections.section_bounds(spark.createDataFrame([(text,)], "document string")).collect()
+    assert sorted(((r.item, r.start, r.sectionEnd) for r in found), key=lambda x: x[1]) == want
 
 
 def test_wide_and_long_are_inverse(spark, rows):

@@ -56,6 +56,49 @@ def test_mentions_are_created_once_and_updated_every_time(spark, extracted, rows
     assert sorted(got) == [("d1", "At&T", 1, 2), ("d1", "O'Neil", 1, 2)]
 
 
+def test_nodes_without_an_id_are_set_aside_and_merging_twice_is_once(spark):
+    graph = {"nodes": [node(None, "person"), node("a", "person")], "rels": []}
+    stored = spark.createDataFrame([("d1", 1, json.dumps(graph))], "documentId string, docOrder int, extraction string")
+    nodes = entities.extracted_nodes(entities.read_extractions(stored), "documentId")
+    documents = stored.select("documentId")
+    none = spark.createDataFrame([], "src string, label string, entityId string, creationTime timestamp, lastUpdateDate timestamp")
+    now = F.lit("2024-01-01").cast("timestamp")
+    once = entities.merge_mentions(none, nodes, documents, "documentId", now)
+    twice = entities.merge_mentions(once, nodes, documents, "documentId", now)
+    assert [r.entityId for r in once.collect()] == [r.entityId for r in twice.collect()] == ["A"]
+    assert [tuple(r) for r in entities.unkeyed_nodes(nodes, "documentId").collect()] == [("d1", 0, "no entity id")]
+
+
+def test_properties_without_a_key_are_left_out(spark, rows):
+    listed = [{"key": None, "value": "x"}, {"key": "Birth date", "value": "1"}, None]
+    graph = {"nodes": [{"entityId": "a", "type": "T", "properties": listed}], "rels": []}
+    stored = spark.createDataFrame([("d1", 1, json.dumps(graph))], "documentId string, docOrder int, extraction string")
+    nodes = entities.extracted_nodes(entities.read_extractions(stored), "documentId")
+    assert rows(nodes, "properties") == [({"birthDate": "1"},)]
+
+
+def test_unreadable_extractions_are_named(spark, rows):
+    data = [("d1", '{"nodes": []}'), ("d2", "{"), ("d3", None), ("d4", '{"x": 1}'), ("d5", "")]
+    stored = spark.createDataFrame(data, "documentId string, extraction string")
+    assert rows(entities.extraction_failures(stored, "documentId")) == [
+        ("d2", "not readable"),
+        ("d3", "no extraction"),
+        ("d4", "no graph"),
+        ("d5", "not readable"),
+    ]
+
+
+def test_restricted_labels_are_spelled_as_extracted(spark, extracted, rows):
+    nodes, rels = entities.extracted_nodes(extracted, "documentId"), entities.extracted_rels(extracted)
+    labels = ["RiskFactor", "person"]
+    assert entities.allowed(nodes, labels).count() == 4
+    assert entities.allowed_rels(rels, labels).count() == 0  # the other end is an organisation
+    assert entities.allowed_rels(rels, [*labels, "ORGANIZATION"], ["works at"]).count() == 2
+    none = spark.createDataFrame([], "label string, entityId string, properties map<string,string>")
+    merged = entities.merge_entities(none, entities.allowed(nodes, labels), entities.allowed_rels(rels, labels))
+    assert {r.label for r in merged.collect()} == {"Person", "Riskfactor"}
+
+
 def test_labels_are_free_unless_restricted(extracted):
     nodes = entities.extracted_nodes(extracted, "documentId")
     assert entities.allowed(nodes).count() == 4

@@ -141,3 +141,18 @@ def test_very_long_runs_of_tags(one):
 
 def test_newlines(one):
     assert one(text.unix_newlines, "a\r\nb\rc\n") == "a\nb\nc\n"
+
+
+@pytest.mark.parametrize("text,want", [("12.345", 12345), ("0.0005", 0.5), ("1 234", 1234000), ("99999999999999999", 99999999999999999000), ("9" * 23, None), ("x", None), ("", None)])
+def test_amounts_of_any_size_scale_or_give_null(spark, text, want):
+    got = spark.createDataFrame([(text,)], "t string").select(values.scaled_value(F.col("t")).alias("v")).first().v
+    assert (None if got is None else float(got)) == (None if want is None else float(want))
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["&#146;", "&#x92;", "&#00000000065;", "A&nbsp B", "&ampx", "&notit;", "&copy2", "&#65", "&#0;", "&#xD800;", "&#99999999999;", "&#x1;", "&#127;", "&#129;", "&unknown;", "&unknown", "&", "&;", "&#;", "&#x;", "&#xFFFF;", "&AMP;", "&gt", "&#13;"],
+)
+def test_references_are_read_as_in_html(spark, text):
+    got = spark.createDataFrame([(text,)], "t string").select(markup.decode_entities(F.col("t")).alias("v")).first().v
+    assert got == html.unescape(text)

@@ -117,6 +117,20 @@ def test_vectors_attach_by_key(spark, rows):
     assert rows(graph.attach_vectors(nodes, new, "id")) == [("a", [9.0]), ("b", [2.0]), ("c", [3.0])]
 
 
+def test_several_vectors_for_one_key_leave_one_node(spark, rows):
+    nodes = spark.createDataFrame([("a",), ("b",)], "id string")
+    vectors = spark.createDataFrame([("a", [1.0], 2), ("a", [9.0], 1), ("a", None, 3), (None, [4.0], 1)], "id string, v array<double>, version int")
+    assert rows(graph.attach_vectors(nodes, vectors, "id", "v", ["version"])) == [("a", [1.0]), ("b", None)]
+    assert rows(graph.attach_vectors(nodes, vectors, "id", "v")) == [("a", [9.0]), ("b", None)]
+
+
+@pytest.mark.parametrize("block_rows", [100, 2])
+def test_a_null_key_is_a_group_at_any_block_size(spark, block_rows):
+    frame = spark.createDataFrame([(None, n, f"n{n}") for n in range(6)], "k string, p int, v string")
+    linked = next_in_group(frame, ["k"], "p", "v", block_rows).filter("next_value IS NOT NULL")
+    assert sorted((r.v, r.next_value) for r in linked.collect()) == [(f"n{n}", f"n{n + 1}") for n in range(5)]
+
+
 def test_append_and_count_and_truncate(spark):
     people = spark.createDataFrame([("x", 1)], "name string, age int")
     more = graph.append_node(people, name="y")
@@ -128,7 +142,14 @@ def test_append_and_count_and_truncate(spark):
 def test_profile_and_unique_keys(spark, rows):
     nodes = spark.createDataFrame([("A", {"x": "1"}), ("A", {"y": "1"}), ("B", {})], "label string, properties map<string,string>")
     edges = spark.createDataFrame([("T", {"w": "1"})], "type string, properties map<string,string>")
-    assert rows(graph.graph_profile(nodes, edges)) == [("node", "A", 2, "x,y"), ("node", "B", 1, ""), ("relation", "T", 1, "w")]
+    assert rows(graph.graph_profile(nodes, edges)) == [
+        ("node", "A", "x", 1),
+        ("node", "A", "y", 1),
+        ("node", "A", None, 2),
+        ("node", "B", None, 1),
+        ("relation", "T", "w", 1),
+        ("relation", "T", None, 1),
+    ]
     assert rows(quality.unique_key_violations(nodes, "label")) == [("A", 2)]
 
 

@@ -1,3 +1,5 @@
+import re
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -107,20 +109,22 @@ RECORDS = [
 ]
 
 
-def test_rollup_is_that_of_pandas(spark, rows):
-    lines = frame(spark, RECORDS)
-    got = rows(holdings.rollup(lines, ("pos",)), *KEYS, "companyName", "value", "shares")
-    want = (
-        lines.toPandas().groupby(KEYS).agg({"companyName": "first", "value": "sum", "shares": "sum"}).reset_index()
-    )
-    assert got == sorted(want.itertuples(index=False, name=None), key=repr)
+def test_rollup_sums_and_takes_the_first_name(spark, rows):
+    got = rows(holdings.rollup(frame(spark, RECORDS), ("pos",)), "source", "managerCik", "cusip", "companyName", "value", "shares")
+    # The first row of s1 has no name and the third a lesser one; rows with a null key are gone.
+    assert got == [
+        ("s1", "m1", "c1x", "Zed", 6.0, 6),
+        ("s2", "m1", "c1x", "Zed", 4.0, 4),
+        ("s3", "m2", "c2x", "Two", 5.0, 5),
+    ]
 
 
 def test_periods(spark, rows):
     lines = frame(spark, RECORDS)
     assert [r.rows for r in holdings.period_counts(lines).collect()] == [3, 1, 2, 1]
-    assert {str(r[0]) for r in holdings.top_periods(lines, 2).select("reportCalendarOrQuarter").collect()} == {"2022-09-30", "2022-12-31"}
-    assert holdings.top_periods(lines, 99).count() == len(RECORDS)
+    # The newest period has nothing but a row without a prefix, so it is none of the two.
+    assert {str(r[0]) for r in holdings.top_periods(lines, 2).select("reportCalendarOrQuarter").collect()} == {"2022-06-30", "2022-09-30"}
+    assert holdings.top_periods(lines, 99).count() == len(RECORDS) - 2
     with pytest.raises(ValueError):
         holdings.top_periods(lines, 0)
 
@@ -135,38 +139,43 @@ COMPANIES = [
 ]
 
 
-def pandas_overlap(companies, lines):
-    left = companies.merge(lines, on="cusip6", how="left")
-    left = left[left.managerCik.notna()]
-    tenk = left.drop_duplicates("cusip6")[["cusip6", "cik", "names", "cusip_x", "form10KUrls"]]
-    right = companies.merge(lines, on="cusip6", how="right")
-    right = right[right.cik.notna()]
-    held = right.drop_duplicates(["managerCik", "cik"])[["source", "managerCik", "cusip6", "cusip_y", "value"]]
-    return left, tenk, right, held
+def test_companies_that_are_held(spark, rows):
+    companies = spark.createDataFrame(COMPANIES, "cusip6 string, cik string, names string, cusip string, form10KUrls string")
+    lines = frame(spark, RECORDS).drop("pos")
+    # One company per prefix, the one with the least URL; a null prefix meets nothing unless asked.
+    held = [("c1", "1", "one", "c1x", "u1"), ("c2", "2", "two", "c2x", "u4")]
+    assert rows(link.companies_with_holdings(companies, lines)) == held
+    assert rows(link.companies_with_holdings(companies, lines, compat=True)) == sorted([*held, (None, "6", "six", "c6x", "u6")], key=repr)
 
 
-@pytest.mark.parametrize("compat", [True, False])
-def test_overlap_is_that_of_pandas(spark, rows, compat):
+def test_holdings_of_companies(spark, rows):
     companies = spark.createDataFrame(COMPANIES, "cusip6 string, cik string, names string, cusip string, form10KUrls string")
     lines = frame(spark, RECORDS).drop("pos")
-    c = companies.toPandas().sort_values("form10KUrls")
-    h = lines.toPandas().sort_values(KEYS, na_position="first")
-    if not compat:
-        c, h = c[c.cusip6.notna()], h[h.cusip6.notna()]
-    left, tenk, right, held = pandas_overlap(c, h)
-
-    def plain(f):
-        return sorted((tuple(None if x != x else x for x in r) for r in f.itertuples(index=False, name=None)), key=repr)
-
-    assert rows(link.companies_with_holdings(companies, lines, compat=compat)) == plain(tenk)
-    got = link.holdings_with_companies(companies, lines, compat=compat)
-    assert rows(got, "source", "managerCik", "cusip6", "cusip", "value") == plain(held)
-
-    steps = dict(link.join_funnel(companies, lines, compat=compat).collect())
-    assert steps["left_filtered"] == len(left) and steps["left_deduped"] == len(tenk)
-    assert steps["right_filtered"] == len(right) and steps["right_deduped"] == len(held)
-    assert steps["left_removed"] == len(left) - len(tenk)
-    assert steps["companies"] == len(COMPANIES) and steps["holdings"] == len(RECORDS)
+    columns = ("source", "managerCik", "cusip6", "cusip", "value")
+    got = rows(link.holdings_with_companies(companies, lines), *columns)
+    # One row per manager and company: m1 holds companies 1 and 11, m2 holds company 2.
+    assert [r[:4] for r in got] == [("s1", "m1", "c1", "c1x"), ("s1", "m1", "c1", "c1x"), ("s3", "m2", "c2", "c2x")]
+    steps = dict(link.join_funnel(companies, lines).collect())
+    assert steps["companies"] == 6 and steps["holdings"] == 7
+    # Three companies of c1 meet four lines, one of c2 meets two.
+    assert steps["left_filtered"] == steps["right_filtered"] == 14
+    assert steps["left_deduped"] == 2 and steps["left_removed"] == 12
+    assert steps["right_deduped"] == 3 and steps["right_removed"] == 11
+
+
+def test_no_line_is_lost(spark):
+    part = {"titleOfClass": "no title", "sshPrnamtType": "no share type", "cusip": "no cusip"}
+    files_of = {f"{tag}.txt": submission(re.sub(f"<{tag}>[^<]*</{tag}>", "", line())) for tag in part}
+    files_of["cik.txt"] = submission(line()).replace("<cik>0001</cik>", "")
+    files_of["mixed.txt"] = submission(line(), line(kind="PRN"), line(value="9" * 30), line(value="12.345"))
+    raw = spark.createDataFrame(list(files_of.items()), "file_name string, raw string")
+    failures = {(r.file, r.reason) for r in holdings.parse_failures(raw).collect()}
+    want = {(f"{tag}.txt", reason) for tag, reason in part.items()} | {("cik.txt", "no manager"), ("mixed.txt", "bad value")}
+    assert failures == want
+    kept = holdings.holdings_from_xml(raw)
+    assert sorted(float(r.value) for r in kept.collect()) == [12345.0, 1234000.0]
+    lines = holdings.holding_lines(holdings.parse_submissions(raw)).count()
+    assert kept.count() + len(failures) + 1 == lines  # one is no share
 
 
 def test_keep_first_limits_before_the_shuffle(spark):

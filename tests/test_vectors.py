@@ -64,18 +64,42 @@ def test_a_large_query_table_takes_the_grid(frames, data, monkeypatch):
     assert collected(found) == brute(data, 3)
 
 
-def test_bucketed_search_finds_most_and_scores_exactly(frames, data):
+def test_bucketed_search_scores_exactly(frames, data):
     corpus, queries = frames
-    model = vectors.lsh_model(corpus, "v", DIMS)
-    index = vectors.with_buckets(corpus, model, "v", DIMS)
-    got = collected(vectors.top_k_lsh(index, model, queries, "id", "q", "v", DIMS, 5))
+    planes = vectors.hyperplanes(DIMS, tables=8, bits=3)
+    index, asked = vectors.with_buckets(corpus, planes, "v"), vectors.with_buckets(queries, planes, "v")
     want = brute(data, 400)
-    hits = sum(len({i for i, _ in got.get(q, [])} & {i for i, _ in want[q][:5]}) for q in want)
-    assert hits / (5 * len(want)) >= 0.8
-    for q, found in got.items():
+    for q, found in collected(vectors.top_k_lsh(index, asked, "id", "q", "v", 5)).items():
         assert set(found) <= set(want[q])
 
 
+@pytest.fixture()
+def clustered(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 32))
+    corpus = np.concatenate([c + 0.25 * rng.normal(size=(50, 32)) for c in centres]).astype(np.float32)
+    queries = (centres + 0.25 * rng.normal(size=(40, 32))).astype(np.float32)
+    c = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(corpus)], "id bigint, v array<float>")
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], "q bigint, v array<float>")
+    return c, q, (corpus, queries)
+
+
+def test_bucketed_search_finds_most_and_scores_few(clustered, monkeypatch):
+    corpus, queries, data = clustered
+    planes = vectors.hyperplanes(32, tables=16, bits=8)
+    index, asked = vectors.with_buckets(corpus, planes, "v"), vectors.with_buckets(queries, planes, "v")
+    found = collected(vectors.top_k_lsh(index, asked, "id", "q", "v", 10))
+    want = brute(data, 10)
+    hits = sum(len({i for i, _ in found.get(q, [])} & {i for i, _ in want[q]}) for q in want)
+    assert hits / (10 * len(want)) >= 0.8
+    pairs = vectors.lsh_candidates(index, asked, "id", "q").count()
+    assert pairs <= 0.2 * corpus.count() * queries.count()
+    # No bound and no number of queries changes what is found.
+    monkeypatch.setattr(vectors, "MAX_BROADCAST_BYTES", 1)
+    some = collected(vectors.top_k_lsh(index, asked.filter("q < 7"), "id", "q", "v", 10))
+    assert some == {q: hits_ for q, hits_ in found.items() if q < 7}
+
+
 def test_no_query_vectors(frames):
     corpus, queries = frames
     assert vectors.top_k_for_table(corpus, queries.limit(0), "id", "q", "v", DIMS).count() == 0
@@ -116,3 +140,24 @@ def test_context_keeps_rank_order(spark, max_hits):
     texts = spark.createDataFrame([(5, "five", "s2"), (6, "six", "s1"), (7, "no", "s3")], "id int, text string, source string")
     got = {r.query_id: (r.context, r.sources) for r in vectors.retrieval_context(hits, texts, "id", max_hits=max_hits).collect()}
     assert got == {0: ("six\n\nfive", "s1,s2"), 1: ("five", "s2")}
+
+
+def test_only_rows_without_a_vector_reach_the_embedder(spark):
+    seen = []
+
+    def spy(frame, text, vector):
+        seen.append(frame.count())
+        return embedding.hashing_embedder(8)(frame, text, vector)
+
+    nodes = spark.createDataFrame([(1, "a", [1.0]), (2, "b", None), (3, None, None)], "id int, text string, textEmbedding array<float>")
+    filled = {r.id: r.textEmbedding for r in embedding.fill_missing(nodes, spy).collect()}
+    assert seen == [1] and filled[1] == [1.0] and len(filled[2]) == 8 and filled[3] is None
+
+
+def test_questions_find_their_chunks(spark):
+    embedder = embedding.hashing_embedder(64)
+    texts = [("c1", "interest rates rise and fall", "s1"), ("c2", "tools and machines", "s2"), ("c3", "", "s3")]
+    chunks = embedding.embed(spark.createDataFrame(texts, "id string, text string, source string"), embedder)
+    questions = spark.createDataFrame([("q1", "Which machines and tools?"), ("q2", "rates")], "q string, text string")
+    found = vectors.question_hits(questions, chunks, embedder, "q", "id", 64, 1).collect()
+    assert {(r.query_id, r.id, r.source) for r in found} == {("q1", "c2", "s2"), ("q2", "c1", "s1")}
