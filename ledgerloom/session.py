@@ -26,18 +26,18 @@ def local_session(name: str = "ledgerloom", cores: int | str = "*", shuffle_part
 
 
 @functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="ledgerloom-")
+def _local_folder() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="ledgerloom-", ignore_cleanup_errors=True)
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local-mode session may do without the setting; it then gets a temporary folder.
+    Only a local-mode session may do without the setting; it then gets a temporary folder that goes with the process.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_folder()
+        base = _local_folder().name
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

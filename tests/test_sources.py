@@ -96,3 +96,50 @@ def test_files_named_after_paths(spark, tmp_path, rows):
     (tmp_path / "_c.csv").write_bytes(b"z")
     assert files.read_raw_files(spark, str(tmp_path)).count() == 0
     assert rows(files.read_underscored_files(spark, str(tmp_path))) == [("_Archives_a.txt", "x\ny"), ("_Archives_b.txt", "é")]
+
+
+def test_url_table_meets_on_the_number_of_the_cik(spark, rows):
+    companies = spark.createDataFrame([("0000000007", "c1"), ("8", "c2"), ("x", "c3")], "cik string, cusip6 string")
+    listed = [
+        ("7", "a-2", "10-K", "2023-05-01"), ("0007", "a-1", "10-K", "2022-05-01"), ("7", "a-3", "10-K/A", "2023-05-02"),
+        ("7", "a-4", "10-K", "2020-01-01"), ("9", "a-5", "10-K", "2023-01-01"),
+    ]
+    history = spark.createDataFrame(listed, "cik string, accessionNumber string, form string, filingDate string")
+    found = filings.company_urls(companies, history.withColumn("filingDate", F.to_date("filingDate")), "2022-01-01", "2023-12-31")
+    got = found.first()
+    assert found.count() == 1 and (got.cik, got.cusip6) == ("0000000007", "c1")
+    assert got.form10KUrls == ["/Archives/edgar/data/7/a1/a-1.txt", "/Archives/edgar/data/7/a2/a-2.txt"]
+
+
+def test_range_and_form_reach_the_scan_of_a_stored_history(spark, tmp_path):
+    path = str(tmp_path / "history")
+    history = spark.createDataFrame([("7", "a", "10-K", "2023-05-01")], "cik string, accessionNumber string, form string, filingDate string")
+    history.withColumn("filingDate", F.to_date("filingDate")).write.parquet(path)
+    kept = filings.annual_reports(spark.read.parquet(path), "2023-01-01", "2023-12-31")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "GreaterThanOrEqual(filingDate" in pushed and "EqualTo(form,10-K)" in pushed and kept.count() == 1
+
+
+def test_holdings_survive_csv(spark, tmp_path):
+    record = ("s", "m", "1, Main", "n", "2023-03-31", "c", "cx", None, "1234567890123.500000", 7)
+    names = "source managerCik managerAddress managerName reportCalendarOrQuarter cusip6 cusip companyName value shares".split()
+    frame = spark.createDataFrame([record], ", ".join(f"{n} {'bigint' if n == 'shares' else 'string'}" for n in names))
+    typed = frame.withColumns({"reportCalendarOrQuarter": F.to_date("reportCalendarOrQuarter"), "value": F.col("value").cast("decimal(28,6)")})
+    files.write_csv(typed, str(tmp_path / "h"))
+    assert files.read_holdings(spark, str(tmp_path / "h")).collect() == typed.collect()
+
+
+def test_stream_reads_a_table_of_many_files(spark, tmp_path):
+    """As the tables of a large store are: a folder per table; several batches."""
+    from ledgerloom.plans import holdings, incremental
+    from ledgerloom.plans.catalog import Tables
+
+    folder = "/root/testdata/sf0.001"
+    for name in ("lineitem", "part"):
+        spark.read.parquet(f"{folder}/{name}.parquet").repartition(20).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = incremental.incremental_holdings(Tables(spark, str(tmp_path)))
+    want = holdings.holdings_rollup(Tables(spark, folder))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) != []
