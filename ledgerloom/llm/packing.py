@@ -26,10 +26,11 @@ END_ID = 1
 BUCKET_DOCS = 2_000
 BUCKET_ROUNDS = 1024
 COARSE = 1024
-MOST_KEPT = 600_000
+MOST_KEPT = 450_000
 CHUNK = 2_000_000
-SLICE = 1000
-TOGETHER = 1000
+SLICE = 500
+TOGETHER = 200
+ENCODED = 64
 WORD_END = "</w>"
 PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 SPECIAL = b"<|"
@@ -53,17 +54,20 @@ class WordIds:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[k for token, k in vocabulary.items() if token.endswith(WORD_END)]] = True
 
+    def ids_of(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The tokenizer's ids, some texts at a time, since its answers hold much more than ids."""
+        for at in range(0, len(texts), ENCODED):
+            for e in self.tokenizer.encode_batch_fast(texts[at : at + ENCODED], add_special_tokens=False):
+                yield np.array(e.ids, self.kind)
+
     def encode_each(self, words: list[bytes]) -> list[bytes]:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+        return [ids.tobytes() for ids in self.ids_of([w.decode("utf-8", "replace") for w in words])]
 
     def encode_letters(self, words: list[bytes]) -> list[bytes]:
         found: list[bytes] = []
         parts = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
         joined = [b" ".join(some).decode("utf-8", "replace") for some in parts]
-        for some, e in zip(parts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, self.kind)
+        for some, ids in zip(parts, self.ids_of(joined), strict=True):
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) != len(some) or ends[-1] != len(ids):  # a character that only one side takes for a letter
                 found += self.encode_each(some)
@@ -232,7 +236,7 @@ def pack(
     joined = hash_join_small(tokens.select("row", "doc_id", "n", "ids"), placed, F.col("row") == F.col("__row"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             doc, start, length, tokens_of, sequence, offset, pieces = ([] for _ in range(7))
             for at, (n, ids, place) in enumerate(
                 zip(*(batch.column(c).to_pylist() for c in ("n", "ids", "position")), strict=True)

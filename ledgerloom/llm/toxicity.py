@@ -42,8 +42,8 @@ def edits(term: str) -> int:
 class Automaton:
     """The trie of terms with Levenshtein errors, determinised step by step.
 
-    A state is a set of (trie node, errors so far), the fewest errors of each node, as far as a term below the node
-    still allows them. State 0 is dead, state 1 the start. ``found[state]`` is (errors, term) of the best term.
+    A state is a set of trie nodes with the fewest errors so far, as numbers 4 * node + errors, as far as a term below the
+    node still allows them. State 0 is dead, state 1 the start. ``found[state]`` is (errors, term) of the best term.
     """
 
     def __init__(self, terms: list[str]) -> None:
@@ -87,13 +87,14 @@ class Automaton:
                 if errors + 1 <= self.allowed[below] and errors + 1 < nodes.get(below, 9):
                     nodes[below] = errors + 1
                     queue.append((below, errors + 1))
-        return frozenset((n, e) for n, e in nodes.items() if e <= self.allowed[n])
+        return frozenset(4 * n + e for n, e in nodes.items() if e <= self.allowed[n])
 
     def number(self, state: frozenset) -> int:
         if state not in self.numbers:
             self.numbers[state] = len(self.states)
             self.states.append(state)
-            ends = [(e, self.term[n]) for n, e in state if self.term[n] >= 0 and e <= edits(self.terms[self.term[n]])]
+            at = [(s % 4, self.term[s // 4]) for s in state]
+            ends = [(e, term) for e, term in at if term >= 0 and e <= edits(self.terms[term])]
             self.found.append(min(ends) if ends else None)
             if len(self.states) > len(self.table):
                 self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
@@ -101,7 +102,7 @@ class Automaton:
 
     def step(self, state: int, symbol: int) -> int:
         letter, after = self.letters[symbol], {}
-        for node, errors in self.states[state]:
+        for node, errors in (divmod(s, 4) for s in self.states[state]):
             moves = [(node, errors + 1)]
             moves += [(below, errors + (c != letter)) for c, below in self.child[node].items()]
             for n, e in moves:
@@ -189,12 +190,12 @@ class Model:
         return {**self.__dict__, "tools": {k: v for k, v in self.tools.items() if k != "reader"}}
 
     def features(self, texts: list[str | None]) -> np.ndarray:
-        """Per text: best window, sum of exact hits, sum of misspelled hits, sum of quoted hits, hits a hundred words."""
+        """Per text: best window, sum of quoted hits, hits a hundred words by weight; misspelled hits count in each."""
         if "automaton" not in self.tools:
             self.tools["automaton"] = Automaton(self.terms)
         if "reader" not in self.tools:
             self.tools["reader"] = Reader()
-        out, held, first, size = np.zeros((len(texts), 5)), [], 0, 0
+        out, held, first, size = np.zeros((len(texts), 3)), [], 0, 0
         for k, text in enumerate(texts):
             held.append(text or "")
             size += len(held[-1])
@@ -218,7 +219,7 @@ class Model:
 
     def weigh(self, hits, codes, starts, ends, text_of, final, n_words) -> list[float]:
         automaton, text = self.tools["automaton"], int(text_of[hits[0]])
-        exact = near = quoted = 0.0
+        quoted = 0.0
         placed: list[tuple[int, float]] = []
         for h in hits:
             errors, term = automaton.found[final[h]]
@@ -238,12 +239,12 @@ class Model:
                 weight *= QUOTED
             elif any(w.strip(".,!?") in self.address for w in (left + " " + right).split()):
                 weight *= ADDRESSED
-            exact, near = exact + weight * (errors == 0), near + weight * (errors > 0)
             placed.append((h, weight))
         best = 0.0
         for k, (h, _) in enumerate(placed):
             best = max(best, sum(w for o, w in placed[max(0, k - self.window) : k + 1] if h - o <= self.window))
-        return [best, math.log1p(exact), math.log1p(near), math.log1p(quoted), min(10.0, 100 * len(placed) / max(1, n_words))]
+        strength = sum(w for _, w in placed) / max(self.weights)
+        return [best, math.log1p(quoted), min(10.0, 100 * strength / max(1, n_words))]
 
     reporting = frozenset(REPORTING.split())
     address = frozenset(ADDRESS.split())
@@ -269,7 +270,7 @@ def word_counts(texts: list[str], labels: np.ndarray) -> tuple[Counter, Counter]
 def fit(texts: list[str], labels: np.ndarray, max_terms: int = MAX_TERMS, least: int = 3) -> Model:
     positive = int(labels.sum())
     if positive in (0, len(labels)):
-        return Model([], [], [], {}, np.zeros(6), prior=(positive + 1) / (len(labels) + 2))
+        return Model([], [], [], {}, np.zeros(4), prior=(positive + 1) / (len(labels) + 2))
     every, toxic = word_counts(texts, labels)
     share = positive / len(labels)
 
@@ -298,7 +299,7 @@ def fit(texts: list[str], labels: np.ndarray, max_terms: int = MAX_TERMS, least:
                     exceptions[word] = odds(word) if odds(word) > 1.5 else 0.0
     base = math.log(share / (1 - share))
     near = [max(0.0, min(0.7 * w, math.log((t + 0.5) / (n + 0.5)) - base)) for w, (n, t) in zip(weights, close, strict=True)]
-    model = Model(terms, weights, near, exceptions, np.zeros(6), tools={"automaton": automaton, "reader": reader})
+    model = Model(terms, weights, near, exceptions, np.zeros(4), tools={"automaton": automaton, "reader": reader})
     model.regression = logistic(model.features(texts), labels)
     return model
 
