@@ -31,7 +31,7 @@ INNER = "@$!*|+"
 QUOTES = "\"“”„«»‟‹›"
 REPORTING = "said says wrote writes quoted quote called calls sagte schrieb nannte zitiert dit écrit appelé dijo escribió llamó"
 ADDRESS = "you your you're du dich dein ihr euch tu toi vous votre tú usted vosotros"
-QUOTED, ADDRESSED = 0.35, 1.25
+QUOTED, ADDRESSED, MISSPELLED = 0.35, 1.25, 0.7
 
 
 def edits(term: str) -> int:
@@ -298,7 +298,10 @@ def fit(texts: list[str], labels: np.ndarray, max_terms: int = MAX_TERMS, least:
                 if every[word] > toxic[word]:
                     exceptions[word] = odds(word) if odds(word) > 1.5 else 0.0
     base = math.log(share / (1 - share))
-    near = [max(0.0, min(0.7 * w, math.log((t + 0.5) / (n + 0.5)) - base)) for w, (n, t) in zip(weights, close, strict=True)]
+    near = []
+    for weight, (harmless, bad) in zip(weights, close, strict=True):
+        seen = math.log((bad + 0.5) / (harmless + 0.5)) - base if harmless + bad else math.inf
+        near.append(max(0.0, min(MISSPELLED * weight, seen)))
     model = Model(terms, weights, near, exceptions, np.zeros(4), tools={"automaton": automaton, "reader": reader})
     model.regression = logistic(model.features(texts), labels)
     return model
