@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import components, hash_join_small, store
+from ledgerloom.llm.common import components, hash_join_small, sliced, store
 from ledgerloom.llm.line_dedup import row_version
 from ledgerloom.llm.simhash import BITS, fingerprint_of, shingle_hashes
 
@@ -42,7 +42,7 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             node, other, count, prints, sketches = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 hashes = shingle_hashes(text, words)
@@ -73,7 +73,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(node, shingles): the distinct shingle hashes of the wanted (doc_id, version, node) texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"]

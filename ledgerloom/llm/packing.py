@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerloom.llm.common import hash_join_small, store
+from ledgerloom.llm.common import hash_join_small, sliced, store
 
 WINDOW = 2048
 END_ID = 1
@@ -28,7 +28,6 @@ BUCKET_ROUNDS = 1024
 COARSE = 1024
 MOST_KEPT = 450_000
 CHUNK = 2_000_000
-SLICE = 500
 TOGETHER = 200
 ENCODED = 64
 WORD_END = "</w>"
@@ -138,21 +137,19 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         words, end = WordIds(tokenizer, kind), np.array([end_id], kind).tobytes()
         row, width = TaskContext.get().partitionId() << 33, np.dtype(kind).itemsize
-        for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(at, SLICE)
-                ids = [x + end for x in words.encode(batch.column("text").cast(pa.binary()).to_pylist())]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(range(row, row + len(ids)), pa.int64()),
-                        batch.column("doc_id"),
-                        batch.column("source"),
-                        pa.array([len(x) // width for x in ids], pa.int64()),
-                        pa.array(ids, pa.binary()),
-                    ],
-                    ["row", "doc_id", "source", "n", "ids"],
-                )
-                row += len(ids)
+        for batch in sliced(batches):
+            ids = [x + end for x in words.encode(batch.column("text").cast(pa.binary()).to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(range(row, row + len(ids)), pa.int64()),
+                    batch.column("doc_id"),
+                    batch.column("source"),
+                    pa.array([len(x) // width for x in ids], pa.int64()),
+                    pa.array(ids, pa.binary()),
+                ],
+                ["row", "doc_id", "source", "n", "ids"],
+            )
+            row += len(ids)
 
     fields = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = f"row long, doc_id {fields['doc_id']}, source {fields['source']}, n long, ids binary"
@@ -236,7 +233,7 @@ def pack(
     joined = hash_join_small(tokens.select("row", "doc_id", "n", "ids"), placed, F.col("row") == F.col("__row"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
+        for batch in sliced(batches):
             doc, start, length, tokens_of, sequence, offset, pieces = ([] for _ in range(7))
             for at, (n, ids, place) in enumerate(
                 zip(*(batch.column(c).to_pylist() for c in ("n", "ids", "position")), strict=True)
