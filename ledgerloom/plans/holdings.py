@@ -97,8 +97,9 @@ def join_funnel(t: Tables) -> DataFrame:
 
 # One submission per lineitem row, with two reported lines for the same security: the row itself as a
 # share, and a second one whose type depends on the line status. Rows with line number 7 are cut off in
-# the middle, rows with line number 6 report shares with decimals.
-BROKEN_LINE, DECIMAL_LINE = 7, 6
+# the middle, rows with line number 6 report shares with decimals, rows with line number 5 have a third line
+# that lacks a part.
+BROKEN_LINE, DECIMAL_LINE, LACKING_LINE = 7, 6, 5
 LACKING = ("titleOfClass", "sshPrnamtType", "cusip")
 LACKING_SQL = "CASE l_partkey % 3 WHEN 0 THEN 'no title' WHEN 1 THEN 'no share type' ELSE 'no cusip' END"
 
@@ -144,11 +145,13 @@ def submissions(t: Tables) -> DataFrame:
         ),
         "</n1:informationTable>\n</XML>\n",
     )
-    # A third line lacks a part, which one depends on the row.
+    # Which part the third line lacks depends on the row.
     lacking = F.element_at(F.array(*map(F.lit, LACKING)), (F.col("l_partkey") % len(LACKING)).cast("int") + 1)
     third = line(F.col("p_name"), "COM", "1", "1", "SH")
     third = F.regexp_replace(third, F.concat(F.lit("<n1:"), lacking, F.lit(">[^<]*</n1:"), lacking, F.lit(">")), F.lit(""))
-    table = F.replace(table, F.lit("</n1:informationTable>"), F.concat(third, F.lit("</n1:informationTable>")))
+    closing = F.lit("</n1:informationTable>")
+    longer = F.replace(table, closing, F.concat(third, closing))
+    table = F.when(F.col("l_linenumber") == LACKING_LINE, longer).otherwise(table)
     whole = F.concat(F.lit("<SEC-DOCUMENT>\n"), cover, table)
     raw = F.when(F.col("l_linenumber") == BROKEN_LINE, F.substr(whole, F.lit(1), F.length(whole) - 60)).otherwise(whole)
     lines = spread(t.lineitem).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
@@ -193,7 +196,7 @@ def holdings_from_xml(t: Tables) -> DataFrame:
           WHERE l_linenumber IN ({BROKEN_LINE}, {DECIMAL_LINE})
           UNION ALL
           SELECT '_edgar_' || l_orderkey || '_' || l_linenumber || '.txt', 'types', {LACKING_SQL}
-          FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber <> {BROKEN_LINE}) GROUP BY ALL""",
+          FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber = {LACKING_LINE}) GROUP BY ALL""",
 )
 def parse_failures(t: Tables) -> DataFrame:
     return holdings.parse_failures(submissions(t)).groupBy("file", "stage", "reason").agg(F.count("*").alias("rows"))
