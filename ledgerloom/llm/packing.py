@@ -26,10 +26,11 @@ END_ID = 1
 BUCKET_DOCS = 2_000
 BUCKET_ROUNDS = 1024
 COARSE = 1024
-MOST_KEPT = 450_000
+MOST_KEPT = 700_000
 CHUNK = 2_000_000
 TOGETHER = 200
 ENCODED = 64
+ENCODED_ROWS = 2000
 WORD_END = "</w>"
 PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 SPECIAL = b"<|"
@@ -137,7 +138,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         words, end = WordIds(tokenizer, kind), np.array([end_id], kind).tobytes()
         row, width = TaskContext.get().partitionId() << 33, np.dtype(kind).itemsize
-        for batch in sliced(batches):
+        for batch in sliced(batches, ENCODED_ROWS):
             ids = [x + end for x in words.encode(batch.column("text").cast(pa.binary()).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [
