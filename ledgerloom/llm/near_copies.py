@@ -5,8 +5,10 @@ a fingerprint that survive so many changes are too short to serve as keys. So th
 the smallest hashes of a text are its sketch, and of the sketch the shingles rarest in the corpus are its keys, just as
 many as a similar text cannot lack altogether. A text in which more shingles are its own gets no key, because it has no
 near copy. Pairs that share a key pass the pigeonring test on their fingerprints, then their shingle sets are compared
-in full. Copies are one text before that. A key of more than ``CROWD`` texts gives no pairs within it: there
-each text meets the most central one, which has the fewest shingles of its own, as the origin of a family of copies has.
+in full. Copies are one text before that. A key of more than ``CROWD`` texts gives no rows of pairs: there each text
+first meets the most central one, which has the fewest shingles of its own, as the origin of a family of copies has.
+What then is not linked to the key's largest class meets all texts of the key, block by block, inside the tasks, which
+return only links between classes.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +29,10 @@ from ledgerloom.llm.simhash import BITS, fingerprint_of, shingle_hashes
 SKETCH = 48
 SHARED_PART = 0.6
 CROWD = 64
+# A block of a crowded key: so many texts and shingles on average. Shared shingles are compared a slice at a time.
+BLOCK_TEXTS = 256
+BLOCK_SHINGLES = 1 << 19
+SLICE = 4096
 RING = 8
 MOST_BITS = 24
 
@@ -112,7 +119,7 @@ def ring_test(most_bits: int, ring: int) -> Column:
 
 
 def candidate_pairs(keyed: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of texts that share a key, alike in size and fingerprint."""
+    """(a, b) of texts that share a key, alike in size and fingerprint; of a crowded key the pairs with its centre."""
     counts = keyed.groupBy("key").agg(
         F.count("*").alias("texts"), F.min(F.struct("own", "node", "n", "fp")).alias("centre")
     )
@@ -132,6 +139,104 @@ def candidate_pairs(keyed: DataFrame, similarity: float) -> DataFrame:
     return pairs.where(alike).where(close).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each of the left sets has in common with each of the right."""
+    both = np.zeros((len(left), len(right)))
+    sides = [(np.concatenate(s), np.repeat(np.arange(len(s)), [len(x) for x in s])) for s in (left, right)]
+    shared = np.intersect1d(sides[0][0], sides[1][0])
+    places = []
+    for values, owner in sides:
+        here = np.isin(values, shared)
+        at, owner = np.searchsorted(shared, values[here]), owner[here]
+        order = np.argsort(at, kind="stable")
+        places.append((at[order], owner[order]))
+    for first in range(0, len(shared), SLICE):
+        width, parts = min(SLICE, len(shared) - first), []
+        for (at, owner), rows in zip(places, both.shape, strict=True):
+            begin, end = np.searchsorted(at, [first, first + width])
+            part = np.zeros((rows, width), np.float32)  # sums of a slice are exact in it
+            part[owner[begin:end], at[begin:end] - first] = 1
+            parts.append(part)
+        both += parts[0] @ parts[1].T
+    return both
+
+
+def links_across(rows: pd.DataFrame, similarity: float) -> list[tuple[int, int]]:
+    """Links that join the classes (root) of the strays among ``rows`` with those of the others."""
+    strays, others = rows[rows["stray"]], rows[~rows["stray"]]
+    a_n, b_n = strays["n"].to_numpy()[:, None], others["n"].to_numpy()[None, :]
+    apart = strays["fp"].to_numpy()[:, None] ^ others["fp"].to_numpy()[None, :]
+    may = (np.minimum(a_n, b_n) >= similarity * np.maximum(a_n, b_n)) & (np.bitwise_count(apart.view(np.uint64)) <= MOST_BITS)
+    may &= strays["root"].to_numpy()[:, None] != others["root"].to_numpy()[None, :]
+    a, b = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
+    if not len(a):
+        return []
+    both = common_counts(list(strays["shingles"].iloc[a]), list(others["shingles"].iloc[b]))
+    alike = may[np.ix_(a, b)] & (both >= similarity * (a_n[a] + b_n[:, b] - both))
+    near, far = np.nonzero(alike)
+    ends = pd.DataFrame({"a": strays["node"].to_numpy()[a[near]], "b": others["node"].to_numpy()[b[far]]})
+    ends["from"], ends["to"] = strays["root"].to_numpy()[a[near]], others["root"].to_numpy()[b[far]]
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in parent:
+            x = parent[x]
+        return x
+
+    found = []
+    for row in ends.drop_duplicates(["from", "to"]).itertuples(index=False, name=None):
+        one, two = top(row[2]), top(row[3])
+        if one != two:
+            parent[max(one, two)] = min(one, two)
+            found.append(row[:2])
+    return found
+
+
+def crowded_members(keyed: DataFrame) -> DataFrame:
+    """(key, node, n, fp) of keys with more than ``CROWD`` texts."""
+    crowded = keyed.groupBy("key").agg(F.count("*").alias("texts")).where(F.col("texts") > CROWD)
+    return keyed.join(crowded.select("key"), "key").select("key", "node", "n", "fp")
+
+
+def crowded_links(members: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that connect all similar texts which share a crowded key, where ``roots`` (node, root) do not yet.
+
+    Two texts of different classes are not both of the key's largest class. So the strays, those outside of it, meet all
+    texts of the key: a cell is a block of strays and a block of texts.
+    """
+    known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    known = store(known, "near-copy-crowds")
+    sizes = known.groupBy("key", "root").agg(F.count("*").alias("held"), F.sum("n").alias("shingles"))
+    keys = sizes.groupBy("key").agg(
+        F.max(F.struct("held", "root", "shingles")).alias("most"), F.sum("held").alias("held"), F.sum("shingles").alias("shingles")
+    )
+    keys = keys.where(F.col("held") > F.col("most.held"))
+
+    def blocks(texts: Column, shingles: Column) -> Column:
+        return F.ceil(F.greatest(texts / BLOCK_TEXTS, shingles / BLOCK_SHINGLES)).cast("int")
+
+    keys = keys.select(
+        "key",
+        F.col("most.root").alias("main"),
+        blocks(F.col("held"), F.col("shingles")).alias("blocks"),
+        blocks(F.col("held") - F.col("most.held"), F.col("shingles") - F.col("most.shingles")).alias("stray_blocks"),
+    )
+    text = ["key", "node", "n", "fp", "root"]
+    texts = known.join(keys, "key").withColumn("place", F.xxhash64("node", F.lit(11)))
+    strays = texts.where("root <> main").select(
+        *text, F.lit(True).alias("stray"), F.expr("pmod(place, stray_blocks)").alias("x"), F.expr("explode(sequence(0L, blocks - 1L))").alias("y")
+    )
+    others = texts.select(
+        *text, F.lit(False).alias("stray"), F.expr("explode(sequence(0L, stray_blocks - 1L))").alias("x"), F.expr("pmod(place, blocks)").alias("y")
+    )
+    cells = strays.unionByName(others).join(sets, "node")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(links_across(rows, similarity), columns=["a", "b"], dtype="int64")
+
+    return cells.groupBy("key", "x", "y").applyInPandas(run, "a long, b long").distinct()
+
+
 def classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
     """Every document with its class: (doc_id, version, class_doc, class_version).
 
@@ -147,15 +252,20 @@ def classes(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) ->
         F.min(name).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")
     )
     texts = store(texts, "distinct-texts")
-    pairs = store(candidate_pairs(store(keys_of(texts), "near-copy-keys"), similarity), "near-copy-pairs")
-    meeting = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    keyed = store(keys_of(texts), "near-copy-keys")
+    pairs = store(candidate_pairs(keyed, similarity), "near-copy-pairs")
+    members = store(crowded_members(keyed), "crowded-keys")
+    meeting = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(members.select("node")).distinct()
     wanted = texts.join(meeting, "node").select("first.doc_id", "first.version", "node")
     sets = store(shingle_sets(docs, wanted, shingle_words), "shingle-sets")
     compared = pairs.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
     both = F.size(F.array_intersect("a_set", "b_set"))
     alike = both >= similarity * (F.size("a_set") + F.size("b_set") - both)
-    roots = components(compared.where(alike).select("a", "b"))
-    roots = store(roots, "near-copy-roots")
+    links = store(compared.where(alike).select("a", "b"), "near-copy-links")
+    roots = store(components(links), "near-copy-roots")
+    if not members.isEmpty():
+        more = store(crowded_links(members, roots, sets, similarity), "crowded-links")
+        roots = store(components(links.union(more)), "near-copy-roots")
     linked = texts.join(roots, "node")
     least = linked.groupBy("root").agg(F.min("first").alias("least"))
     named = linked.join(least, "root").select("node", "other", "least")

@@ -164,3 +164,33 @@ def test_near_copies_are_those_of_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
     assert kept.columns == frame(spark, []).columns
     assert near_copies.classes(frame(spark, [])).count() == 0
+
+
+def same_classes_as_brute_force(spark, rows):
+    sets = {i: shingle_set(t) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = union_find(list(sets), links)
+    got = near_copies.classes(frame(spark, rows)).collect()
+    assert {r.doc_id: r.class_doc for r in got} == want
+    return len(set(want.values()))
+
+
+@pytest.mark.parametrize("block", [256, 40])
+def test_crowded_families_without_an_origin(spark, monkeypatch, block):
+    monkeypatch.setattr(near_copies, "BLOCK_TEXTS", block)
+    rng = random.Random(13)
+    origin = [f"v{rng.randrange(3000)}" for _ in range(300)]
+    rows = []
+    for n in range(300):
+        copy = list(origin)
+        for at in rng.sample(range(300), rng.randint(1, 8)):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        rows.append((n, " ".join(copy)))
+    assert 1 < same_classes_as_brute_force(spark, rows) < 200
+
+
+def test_crowded_documents_of_shared_passages(spark):
+    rng = random.Random(17)
+    passages = [" ".join(f"p{rng.randrange(5000)}" for _ in range(40)) for _ in range(14)]
+    rows = [(n, " ".join(passages[k] for k in sorted(rng.sample(range(14), 12)))) for n in range(300)]
+    same_classes_as_brute_force(spark, rows)
