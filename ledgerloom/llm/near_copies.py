@@ -58,7 +58,7 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
                 node.append(first)
                 other.append(second)
                 count.append(len(distinct))
-                prints.append(fingerprint_of(hashes))
+                prints.append(fingerprint_of(distinct))  # like the similarity, blind to repeats
                 sketches.append(distinct[:SKETCH].view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sketches])]).astype(np.int32)
             values = np.concatenate(sketches) if sketches else np.empty(0, np.int64)

@@ -194,3 +194,14 @@ def test_crowded_documents_of_shared_passages(spark):
     passages = [" ".join(f"p{rng.randrange(5000)}" for _ in range(40)) for _ in range(14)]
     rows = [(n, " ".join(passages[k] for k in sorted(rng.sample(range(14), 12)))) for n in range(300)]
     same_classes_as_brute_force(spark, rows)
+
+
+def test_near_copies_that_repeat_a_phrase_more_or_less_often(spark):
+    rng = random.Random(19)
+    rows = []
+    for n in range(12):
+        own, phrase = ([f"r{n}_{rng.randrange(10**6)}" for _ in range(k)] for k in (150, 7))
+        rows += [(2 * n, " ".join(own + phrase * 200)), (2 * n + 1, " ".join(own + phrase * 2))]
+    assert all(shingle_set(a[1]) == shingle_set(b[1]) for a, b in zip(rows[::2], rows[1::2], strict=True))
+    got = near_copies.classes(frame(spark, rows)).collect()
+    assert {r.doc_id: r.class_doc for r in got} == {n: n - n % 2 for n in range(24)}
