@@ -27,13 +27,14 @@ def labelled_sample(labelled: DataFrame, docs: DataFrame, may_learn: Column, per
     """Up to ``per_class`` documents of each label, first in the order of a hash of the id: (doc_id, label, text).
 
     ``labelled`` has doc_id and label; a document with several labels gets the largest. Null labels and ids, null texts
-    and texts of more than ``longest`` bytes are not learned from, so the sample has a bounded size. Rows that share a
-    doc_id give one text, the smallest.
+    and texts of more than ``longest`` bytes are not learned from, so the sample has a bounded size; ids without another
+    text leave their places to the next. Rows that share a doc_id give one text, the smallest.
     """
     known = labelled.where(may_learn & F.col("label").isNotNull() & F.col("doc_id").isNotNull())
+    texts = docs.select("doc_id", "text").where(F.octet_length("text") <= longest)
     one = known.groupBy("doc_id").agg(F.max("label").alias("label"))
+    one = one.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
     picked = first_by_hash(one, "label", per_class)
-    texts = docs.select("doc_id", "text").where(F.octet_length("text") <= longest)
     found = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(
         F.first("label").alias("label"), F.min("text").alias("text")
     )

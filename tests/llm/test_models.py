@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import language, quality, queries, toxicity
 from ledgerloom.llm.text_arrays import Words
+from ledgerloom.llm.training import labelled_sample
 
 FOLDER = "/root/testdata/sf0.1"
 ODD = [None, "", " \n", "123 !?", "word " * 60_000, "é", "\U0001f600"]
@@ -113,3 +114,11 @@ def test_models_take_odd_texts_and_no_labels(spark):
     empty = docs.limit(0)
     for scored in (quality.score(empty, quality.fit(texts, labels)), language.identify(empty, model), toxicity.score(empty, toxicity.fit(texts, labels))):
         assert scored.count() == 0
+
+
+def test_labelled_sample_is_as_large_as_usable_texts_allow(spark):
+    texts = [(n, None if n % 8 == 0 else "x" * (5 if n % 4 == 1 else 500)) for n in range(80)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(n, n // 40 % 2) for n in range(160)], "doc_id long, label int")
+    sample = labelled_sample(labels, docs, F.lit(True), per_class=8, longest=100)
+    assert sample["label"].value_counts().to_dict() == {0: 8, 1: 8} and set(sample["text"]) == {"xxxxx"}
