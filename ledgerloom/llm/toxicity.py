@@ -23,7 +23,6 @@ from ledgerloom.llm.training import labelled_sample, logistic, sigmoid
 
 PER_CLASS = 3000
 LONGEST = 32_768
-MAX_TERMS = 500
 WINDOW = 10
 CHUNK_CHARS = 1 << 19
 # Symbols that stand for letters inside words, quotation marks, reporting words, words of address.
@@ -267,7 +266,7 @@ def word_counts(texts: list[str], labels: np.ndarray) -> tuple[Counter, Counter]
     return every, toxic
 
 
-def fit(texts: list[str], labels: np.ndarray, max_terms: int = MAX_TERMS, least: int = 3) -> Model:
+def fit(texts: list[str], labels: np.ndarray, least: int = 3) -> Model:
     positive = int(labels.sum())
     if positive in (0, len(labels)):
         return Model([], [], [], {}, np.zeros(4), prior=(positive + 1) / (len(labels) + 2))
@@ -283,7 +282,7 @@ def fit(texts: list[str], labels: np.ndarray, max_terms: int = MAX_TERMS, least:
         return (toxic[word] - n * share) / math.sqrt(n * share * (1 - share) + 1)
 
     ranked = sorted(((z(w), w) for w, n in toxic.items() if n >= least and not w.isdigit()), reverse=True)
-    terms = [w for value, w in ranked if value > 2.5 and odds(w) > 1.5 and len(w) > 1][:max_terms]
+    terms = [w for value, w in ranked if value > 2.5 and odds(w) > 1.5 and len(w) > 1]
     weights = [odds(w) for w in terms]
     automaton, reader, exceptions = Automaton(terms), Reader(), {}
     close = np.zeros((len(terms), 2))  # documents with words near the term: harmless, toxic

@@ -122,3 +122,18 @@ def test_labelled_sample_is_as_large_as_usable_texts_allow(spark):
     labels = spark.createDataFrame([(n, n // 40 % 2) for n in range(160)], "doc_id long, label int")
     sample = labelled_sample(labels, docs, F.lit(True), per_class=8, longest=100)
     assert sample["label"].value_counts().to_dict() == {0: 8, 1: 8} and set(sample["text"]) == {"xxxxx"}
+
+
+def test_toxicity_keeps_every_telling_term():
+    rng = random.Random(23)
+    clean_words, telling = (["".join(rng.choices("bcdfghklmnprstvw", k=9)) for _ in range(n)] for n in (60, 800))
+    texts = [rng.choices(clean_words, k=40) for _ in range(2000)]
+    order = telling * 8
+    for n, text in enumerate(texts[:800]):
+        text[5:35:4] = order[8 * n : 8 * n + 8]
+    texts, labels = [" ".join(t) for t in texts], np.array([1] * 800 + [0] * 1200)
+    model = toxicity.fit(texts, labels)
+    assert set(telling) <= set(model.terms)
+    filler = " ".join(clean_words[:30])
+    scores = model.scores([filler, *(f"{filler} {word} {word} {filler}" for word in telling)])
+    assert scores[0] < 0.5 and (scores[1:] > scores[0]).all()
