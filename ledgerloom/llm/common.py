@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import ledgerloom
@@ -16,6 +16,7 @@ from ledgerloom.session import work_folder
 cloudpickle.register_pickle_by_value(ledgerloom)
 
 ASCII_SPACE = "\t\n\x0b\x0c\r "
+COARSE = 1024
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -56,6 +57,49 @@ def hash_join_small(large: DataFrame, small: DataFrame, on, how: str = "inner")
     return large.join(small.hint("shuffle_hash"), on, how)
 
 
+def in_order(frame: DataFrame, order: list[str], purpose: str, rows_each: int = 20_000) -> DataFrame:
+    """The frame stored in ranges of ``order``, ascending, nulls first, with the range's number as ``range``.
+
+    Ranges hold about ``rows_each`` rows. Rows that agree in all of ``order`` share a range, so its last column should tell rows apart.
+    """
+    frame = store(frame, f"{purpose}-rows")
+    ranges = max(1, -(-frame.count() // rows_each))
+    placed = frame.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id())
+    return store(placed, f"{purpose}-ranges")
+
+
+def totals_before(frame: DataFrame, group: list[str], bucket: str, value: str) -> DataFrame:
+    """Per group and bucket, the sum of ``value`` over the group's earlier buckets, summed in two levels."""
+    sums = frame.groupBy(*group, bucket).agg(F.sum(value).alias("__sum"))
+    sums = sums.withColumn("__coarse", F.expr(f"{bucket} div {COARSE}"))
+    coarse = sums.groupBy(*group, "__coarse").agg(F.sum("__sum").alias("__total"))
+    earlier = Window.partitionBy(*group).orderBy("__coarse").rowsBetween(Window.unboundedPreceding, -1)
+    coarse = coarse.withColumn("__base", F.coalesce(F.sum("__total").over(earlier), F.lit(0)))
+    within = Window.partitionBy(*group, "__coarse").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("__before", F.coalesce(F.sum("__sum").over(within), F.lit(0)))
+    same = F.col("__coarse") == F.col("__c")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"__{g}"))
+    right = coarse.select(*[F.col(g).alias(f"__{g}") for g in group], F.col("__coarse").alias("__c"), "__base")
+    return sums.join(right, same).select(*group, bucket, (F.col("__base") + F.col("__before")).alias("before"))
+
+
+def running(ranged: DataFrame, group: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """Adds ``name``: the sum of ``value`` over the group's earlier rows. ``ranged`` comes from ``in_order`` by the same order.
+
+    A window holds one range of a group, never the whole group.
+    """
+    before = totals_before(ranged, group, "range", value)
+    same = F.col("range") == F.col("__range")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"__of_{g}"))
+    before = before.select(*[F.col(g).alias(f"__of_{g}") for g in group], F.col("range").alias("__range"), "before")
+    inside = Window.partitionBy(*group, "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = ranged.withColumn("__inside", F.sum(value).over(inside)).join(before, same)
+    total = (F.col("before") + F.col("__inside") - F.col(value)).alias(name)
+    return rows.select(*[c for c in ranged.columns if c != "range"], total)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected edges (a, b): every node with the smallest node of its component.
 

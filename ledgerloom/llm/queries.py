@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import language, line_dedup, mixing, packing, pii, quality, rabitq, simhash, toxicity, vafile
+from ledgerloom.llm import (
+    language,
+    line_dedup,
+    merkle,
+    mixing,
+    packing,
+    pii,
+    quality,
+    rabitq,
+    simhash,
+    toxicity,
+    vafile,
+    whitening,
+)
 from ledgerloom.llm.common import in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +146,102 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("found")).alias("spans")
     )
+
+
+@query
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    tampered = [F.try_add("n_chars", F.lit(1)) if c == "n_chars" else F.col(c) for c in fields]
+    leaves = docs.select(
+        "doc_id",
+        "lang",
+        merkle.leaf_digest(*map(F.col, fields)).alias("leaf"),
+        F.when(in_fold(F.col("doc_id"), folds=7, which=0), merkle.leaf_digest(*tampered)).alias("tampered"),
+    )
+    found, root = merkle.manifest(leaves, "lang", "doc_id")
+    folded = found.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("witness")))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        F.lit(root).alias("root"),
+        merkle.proof_digest(F.col("witness")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.lit(root)).alias("verified"),
+    )
+
+
+def crc_table() -> list[int]:
+    """The table of the reflected polynomial 0xEDB88320, by its rule."""
+    found = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        found.append(value)
+    return found
+
+
+def digest_sql(n_chars: str) -> str:
+    fields = ("doc_id", "source", "lang", n_chars, "text")
+    texts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END" for c in fields]
+    return f"sha256({' || '.join(texts)})"
+
+
+def tree_sql(name: str, group: str, leaves: str) -> str:
+    """A recursive table of all nodes; one row with n = 1 in each group at the end."""
+    return f"""{name} AS (
+  {leaves}
+  UNION ALL
+  SELECT {group}, lvl + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY idx))
+  FROM {name} WHERE n > 1 GROUP BY {group}, lvl, idx // 2, n)"""
+
+
+ORACLES["op12_merkle"] = f"""
+WITH RECURSIVE
+crc AS (
+  SELECT doc_id, source, lang, n_chars, text, xor(list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda a, b: xor(a >> 8, {crc_table()}[CAST((xor(a, b) & 255) + 1 AS INTEGER)])), 4294967295) AS crc FROM documents),
+leaves AS (
+  SELECT doc_id, lang, {digest_sql("n_chars")} AS leaf,
+         CASE WHEN crc % 7 = 0 THEN {digest_sql("(n_chars + 1)")} ELSE {digest_sql("n_chars")} END AS checked FROM crc),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves),
+{tree_sql("tree", "lang", "SELECT lang, 0 AS lvl, pos AS idx, n, leaf AS h FROM placed")},
+subroots AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1),
+{tree_sql("top", "one", "SELECT 1 AS one, 0 AS lvl, pos AS idx, n, subroot AS h FROM subroots")},
+steps AS (
+  SELECT p.doc_id, p.lang, p.pos, t.lvl, p.pos >> t.lvl AS spot, t.n FROM placed p
+  JOIN (SELECT DISTINCT lang, lvl, n FROM tree WHERE n > 1) t ON p.lang IS NOT DISTINCT FROM t.lang),
+low AS (
+  SELECT s.lang, s.pos, list(CASE WHEN b.h IS NULL THEN '' WHEN spot % 2 = 1 THEN 'L' || b.h ELSE 'R' || b.h END ORDER BY s.lvl) AS w
+  FROM steps s LEFT JOIN tree b ON s.lang IS NOT DISTINCT FROM b.lang AND s.lvl = b.lvl AND xor(s.spot, 1) = b.idx
+  GROUP BY s.lang, s.pos),
+high AS (
+  SELECT r.lang, list(CASE WHEN b.h IS NULL THEN '' WHEN (r.pos >> t.lvl) % 2 = 1 THEN 'L' || b.h ELSE 'R' || b.h END ORDER BY t.lvl) AS w
+  FROM subroots r JOIN (SELECT DISTINCT lvl, n FROM top WHERE n > 1) t ON true
+  LEFT JOIN top b ON t.lvl = b.lvl AND xor(r.pos >> t.lvl, 1) = b.idx
+  GROUP BY r.lang),
+proofs AS (
+  SELECT p.doc_id, p.leaf, p.checked, r.subroot, coalesce(low.w, CAST([] AS VARCHAR[])) || coalesce(high.w, CAST([] AS VARCHAR[])) AS w
+  FROM placed p JOIN subroots r ON p.lang IS NOT DISTINCT FROM r.lang
+  LEFT JOIN low ON p.lang IS NOT DISTINCT FROM low.lang AND p.pos = low.pos
+  LEFT JOIN high ON p.lang IS NOT DISTINCT FROM high.lang),
+folds AS (
+  SELECT *, list_reduce(list_prepend(checked, w), lambda a, e: sha256(
+    CASE WHEN e = '' THEN a WHEN e[1] = 'L' THEN e[2:] || a ELSE a || e[2:] END)) AS folded_root FROM proofs)
+SELECT doc_id, leaf, subroot, (SELECT h FROM top WHERE n = 1) AS root,
+       sha256(array_to_string(list_transform(w, lambda e: e[2:]), '')) AS proof_sha256, folded_root,
+       folded_root = (SELECT h FROM top WHERE n = 1) AS verified
+FROM folds
+"""
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    white = whitening.whiten(table(spark, folder, "embeddings"), components=4)
+    deviation = F.expr("try_cast(deviation AS BIGINT)").alias("deviation")
+    return white.select("vec_id", "component", "n", deviation, "whitened", "explained", "identity_error")
