@@ -18,11 +18,13 @@ from ledgerloom.llm import (
     quality,
     rabitq,
     simhash,
+    token_files,
     toxicity,
     vafile,
     whitening,
 )
 from ledgerloom.llm.common import in_fold
+from ledgerloom.session import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -148,6 +150,14 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs, files = table(spark, folder, "documents"), work_folder(spark, "token-files")
+    token_files.write(docs, public_tokenizers.path("word_bpe_49k.json"), files, end_id=2)
+    found = token_files.read(token_files.keys_of(docs), files)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
