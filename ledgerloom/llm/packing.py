@@ -9,168 +9,21 @@ partitions by construction. The stream is cut every ``window`` tokens, so that o
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from ledgerloom.llm.common import hash_join_small, sliced, store
+from ledgerloom.llm.common import hash_join_small, sliced, store, totals_before
+from ledgerloom.llm.word_ids import id_kind, tokenize
 
 WINDOW = 2048
 END_ID = 1
 BUCKET_DOCS = 2_000
 BUCKET_ROUNDS = 1024
-COARSE = 1024
-MOST_KEPT = 700_000
-CHUNK = 2_000_000
-TOGETHER = 200
-ENCODED = 64
-ENCODED_ROWS = 2000
-WORD_END = "</w>"
-PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-SPECIAL = b"<|"
-SIGMA = "Σ".encode()  # its small form depends on its neighbours
-
-
-class WordIds:
-    """Ids of texts by way of their distinct words, as bytes.
-
-    The tokenizer drops white space before it splits, so a text's ids are those of its stretches between ASCII white
-    space, in order. Within a stretch of letters followed by punctuation without apostrophes both parts are words of
-    their own. Words are looked up once for each chunk of texts, letters in lower case, as the tokenizer would; what it
-    answered is kept, within a bound. Unknown words of letters are encoded together; the tokens that end a word
-    cut the ids apart again.
-    """
-
-    def __init__(self, path: str, kind: str) -> None:
-        self.tokenizer, self.kind = Tokenizer.from_file(path), kind
-        self.known: dict[bytes, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends_word[[k for token, k in vocabulary.items() if token.endswith(WORD_END)]] = True
-
-    def ids_of(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The tokenizer's ids, some texts at a time, since its answers hold much more than ids."""
-        for at in range(0, len(texts), ENCODED):
-            for e in self.tokenizer.encode_batch_fast(texts[at : at + ENCODED], add_special_tokens=False):
-                yield np.array(e.ids, self.kind)
-
-    def encode_each(self, words: list[bytes]) -> list[bytes]:
-        return [ids.tobytes() for ids in self.ids_of([w.decode("utf-8", "replace") for w in words])]
-
-    def encode_letters(self, words: list[bytes]) -> list[bytes]:
-        found: list[bytes] = []
-        parts = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
-        joined = [b" ".join(some).decode("utf-8", "replace") for some in parts]
-        for some, ids in zip(parts, self.ids_of(joined), strict=True):
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) != len(some) or ends[-1] != len(ids):  # a character that only one side takes for a letter
-                found += self.encode_each(some)
-                continue
-            raw, width = ids.tobytes(), ids.itemsize
-            cuts = [0, *(ends * width).tolist()]
-            found += [raw[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
-        return found
-
-    def learn(self, new: set[bytes]) -> None:
-        """Adds the ids of stretches that are not known."""
-        raws = list(new)
-        stems = [raw.rstrip(PUNCTUATION) for raw in raws]
-        tails = [raw[len(stem) :] for raw, stem in zip(raws, stems, strict=True)]
-        letters: list[bytes | None] = [stem.lower() if stem.isalpha() else None for stem in stems]  # of ASCII
-        for k, stem in enumerate(stems):
-            if letters[k] is None and SIGMA not in stem and (word := stem.decode("utf-8", "replace")).isalpha():
-                letters[k] = word.lower().encode()
-        other = [raw for raw, word in zip(raws, letters, strict=True) if word is None]
-        self.known.update(zip(other, self.encode_each(other), strict=True))
-        words, ends = list(set(letters) - {None}), list(set(tails) - {b""})
-        ids_of = dict(zip(words, self.encode_letters(words), strict=True))
-        end_of = {b"": b"", **dict(zip(ends, self.encode_each(ends), strict=True))}
-        self.known.update(
-            (raw, ids_of[word] + end_of[tail])
-            for raw, word, tail in zip(raws, letters, tails, strict=True)
-            if word is not None
-        )
-
-    def encode(self, texts: list[bytes | None]) -> Iterator[bytes]:
-        """Ids of each UTF-8 text, texts of about ``CHUNK`` bytes at a time."""
-        held: list[list[bytes]] = []
-        size = 0
-        for k, text in enumerate(texts):
-            text = text or b""
-            size += len(text)
-            # Nothing but a special token's name has another meaning in capitals.
-            held.append((text.lower() if text.isascii() and SPECIAL not in text else text).split())
-            if size >= CHUNK or k == len(texts) - 1:
-                yield from self.encode_words(held)
-                held, size = [], 0
-
-    def encode_words(self, texts: list[list[bytes]]) -> list[bytes]:
-        if len(self.known) > MOST_KEPT:
-            self.known.clear()
-        found = [list(map(self.known.get, words)) for words in texts]
-        missing = [[k for k, ids in enumerate(row) if ids is None] for row in found]
-        self.learn({words[k] for words, places in zip(texts, missing, strict=True) for k in places})
-        for words, row, places in zip(texts, found, missing, strict=True):
-            for k in places:
-                row[k] = self.known[words[k]]
-        return [b"".join(row) for row in found]
-
-
-def id_kind(path: str) -> str:
-    """Two bytes an id if the vocabulary allows it."""
-    return "<u2" if Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-
-
-def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """(row, doc_id, source, n, ids): all ids of each text with ``end_id`` behind them; null text has that alone.
-
-    row numbers the rows within their partition, so the result must be stored before it is read twice.
-    """
-    kind = id_kind(tokenizer)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        words, end = WordIds(tokenizer, kind), np.array([end_id], kind).tobytes()
-        row, width = TaskContext.get().partitionId() << 33, np.dtype(kind).itemsize
-        for batch in sliced(batches, ENCODED_ROWS):
-            ids = [x + end for x in words.encode(batch.column("text").cast(pa.binary()).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(range(row, row + len(ids)), pa.int64()),
-                    batch.column("doc_id"),
-                    batch.column("source"),
-                    pa.array([len(x) // width for x in ids], pa.int64()),
-                    pa.array(ids, pa.binary()),
-                ],
-                ["row", "doc_id", "source", "n", "ids"],
-            )
-            row += len(ids)
-
-    fields = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = f"row long, doc_id {fields['doc_id']}, source {fields['source']}, n long, ids binary"
-    return docs.select("doc_id", "source", "text").mapInArrow(run, schema)
-
-
-def totals_before(frame: DataFrame, group: list[str], bucket: str, value: str) -> DataFrame:
-    """Per group and bucket, the sum of ``value`` over the group's earlier buckets, summed in two levels."""
-    sums = frame.groupBy(*group, bucket).agg(F.sum(value).alias("__sum"))
-    sums = sums.withColumn("__coarse", F.expr(f"{bucket} div {COARSE}"))
-    coarse = sums.groupBy(*group, "__coarse").agg(F.sum("__sum").alias("__total"))
-    earlier = Window.partitionBy(*group).orderBy("__coarse").rowsBetween(Window.unboundedPreceding, -1)
-    coarse = coarse.withColumn("__base", F.coalesce(F.sum("__total").over(earlier), F.lit(0)))
-    within = Window.partitionBy(*group, "__coarse").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("__before", F.coalesce(F.sum("__sum").over(within), F.lit(0)))
-    same = F.col("__coarse") == F.col("__c")
-    for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"__{g}"))
-    right = coarse.select(*[F.col(g).alias(f"__{g}") for g in group], F.col("__coarse").alias("__c"), "__base")
-    return sums.join(right, same).select(*group, bucket, (F.col("__base") + F.col("__before")).alias("before"))
+NEVER = 1 << 53
 
 
 def queue_rounds(lengths: DataFrame, window: int, weights: dict[str | None, float] | None) -> DataFrame:
@@ -186,7 +39,7 @@ def queue_rounds(lengths: DataFrame, window: int, weights: dict[str | None, floa
     queues = queues.withColumn("share", F.col("weight") / F.sum("weight").over(Window.partitionBy()))
     queues = queues.withColumn("buckets", F.expr(f"queue_docs div {BUCKET_DOCS} + 1"))
     queues = queues.withColumn("quantum", F.col("share") * window).drop("weight", "share", "queue_docs")
-    mixed = F.shiftrightunsigned(F.xxhash64("doc_id"), 33)
+    mixed = F.shiftrightunsigned(F.xxhash64("doc_id", "row"), 33)  # rows that share an id are spread too
     rows = lengths.withColumn("mixed", mixed).withColumnRenamed("source", "__source")
     rows = rows.join(queues, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     rows = rows.withColumn("bucket", F.shiftright(F.col("mixed") * F.col("buckets"), 31))
@@ -197,8 +50,9 @@ def queue_rounds(lengths: DataFrame, window: int, weights: dict[str | None, floa
     rows = rows.withColumn("inside", F.sum("n").over(order))
     rows = rows.join(before, F.col("source").eqNullSafe(F.col("__source")) & (F.col("bucket") == F.col("__bucket")))
     until = F.col("before") + F.col("inside")
-    never = F.lit((1 << 53) - 1)  # a source without a share comes after all others
-    round_ = F.when(F.col("quantum") > 0, F.ceil(until / F.col("quantum"))).otherwise(never)
+    # A source without a share comes after all others, a window a round.
+    late = F.lit(NEVER) + F.expr(f"(before + inside) div {window}")
+    round_ = F.when(F.col("quantum") > 0, F.ceil(until / F.col("quantum"))).otherwise(late)
     return rows.select("row", "source", "n", until.alias("until"), round_.cast("long").alias("round"))
 
 

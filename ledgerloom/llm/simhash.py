@@ -19,7 +19,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import components, store
+from ledgerloom.llm.common import components, hash_join_small, store
+from ledgerloom.llm.line_dedup import row_version
 
 HASH_SEED = 42
 BITS = 64
@@ -156,3 +157,21 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2,
         "fp", F.coalesce("least_id", "first_id").alias("component_id")
     )
     return own.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2, bucket: int = BUCKET) -> DataFrame:
+    """One row of each component of ``near_duplicates``, with all its columns.
+
+    The row with the smallest doc_id stays (null last); of rows that share it the one whose text has the smallest hash, and
+    of equal rows any one. Null and empty texts and texts of white space are one component, of which one row stays. Other
+    columns may carry any name but those that begin with ``__near_``. An empty table gives an empty result.
+    """
+    version = row_version(F.col("text"))
+    name = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), version.alias("version"))
+    found = near_duplicates(docs.select(name.alias("doc_id"), "text"), shingle_words, max_bits, bucket)
+    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = kept.select(F.col("doc_id.id").alias("__near_doc"), F.col("doc_id.version").alias("__near_version"))
+    own = docs.withColumn("__near_own", version)
+    same = F.col("doc_id").eqNullSafe(F.col("__near_doc")) & (F.col("__near_own") == F.col("__near_version"))
+    once = hash_join_small(own, kept, same).withColumn("__near_null", F.col("doc_id").isNull())
+    return once.dropDuplicates(["__near_null", "__near_doc", "__near_own"]).select(*docs.columns)

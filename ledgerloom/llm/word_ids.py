@@ -9,7 +9,9 @@ are found and hashed in numpy. Only distinct ones that are not known yet go to t
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +20,9 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 CHUNK = 1 << 21
-MOST_KEPT = 700_000
+MOST_KEPT = 1_000_000
 TOGETHER = 200
+KEPT_IN = "ledgerloom_kept_words"
 TEXTS_AT_ONCE = 64
 WORD_END = "</w>"
 SPACE, LETTER, DIGIT, OTHER, WHOLE = 0, 1, 2, 3, 4
@@ -130,10 +133,10 @@ class WordIds:
         size = np.concatenate(sizes)
         at = len(self.pool) + np.cumsum(size) - size
         self.pool = np.concatenate(ids)
-        merged = np.concatenate([self.keys, keys[order]])
-        rank = np.argsort(merged, kind="stable")
-        self.keys, self.checks = merged[rank], np.concatenate([self.checks, checks[order]])[rank]
-        self.at, self.size = np.concatenate([self.at, at])[rank], np.concatenate([self.size, size])[rank]
+        rank = np.argsort(keys[order], kind="stable")
+        into = np.searchsorted(self.keys, keys[order][rank])
+        for name, values in (("keys", keys[order]), ("checks", checks[order]), ("at", at), ("size", size)):
+            setattr(self, name, np.insert(getattr(self, name), into, values[rank]))
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids of each text) of UTF-8 texts laid behind each other; ``bounds`` has len(texts) + 1 offsets."""
@@ -225,6 +228,18 @@ class WordIds:
         return found
 
 
+def kept_words(path: str, kind: str) -> WordIds:
+    """The task's ``WordIds``. A Python worker runs many tasks; it keeps what it has learned, within the bound.
+
+    Functions that travel with their code have globals of their own in every task, so a module of the worker holds it.
+    """
+    kept = sys.modules.setdefault(KEPT_IN, ModuleType(KEPT_IN)).__dict__
+    if (path, kind) not in kept:
+        kept.clear()
+        kept[path, kind] = WordIds(path, kind)
+    return kept[path, kind]
+
+
 def id_kind(path: str) -> str:
     """Two bytes an id if the vocabulary allows it."""
     return "<u2" if Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
@@ -260,7 +275,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, columns: tuple[str, .
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        words, row = WordIds(tokenizer, kind), TaskContext.get().partitionId() << 33
+        words, row = kept_words(tokenizer, kind), TaskContext.get().partitionId() << 33
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)

@@ -6,10 +6,11 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from ledgerloom.llm import mixing, packing, pii, queries
+from ledgerloom.llm import mixing, packing, pii, queries, word_ids
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, row string, base string, p string"
@@ -90,13 +91,48 @@ def test_mix_of_odd_tables(spark):
 WORDS = ["the", "The", "don't", "naïve", "Straße", "x1y2", "e.g.", "(so)", "...", "A" + chr(0x331), "H" + chr(0x331) + ".", "ΣΑΣ", "İx", "<|endoftext|>", "<|ENDOFTEXT|>", "日本語", "a b", " ", "\x1c", "😀!", "“q”", "I'LL,"]
 
 
+def odd_strings(count):
+    """Strings of letters whose small or normal forms are other characters, marks, punctuation, digits and white space."""
+    rng = random.Random(6)
+    letters = [chr(rng.randrange(0x80, 0x3000)) for _ in range(400)] + list("abcXYZ 019'\"!<|>_-.,\n\t\x1c\x85") + ["the", "'s"]
+    letters += [chr(c) for c in (0x130, 0x131, 0x3A3, 0x3C3, 0x3C2, 0xA33, 0x9DD, 0xF69, 0xFB5, 0x4B3, 0x9DF, 0x327, 0x301, 0xFB01, 0xBD)]
+    return ["".join(rng.choice(letters) for _ in range(rng.randrange(12))) for _ in range(count)] + ["\u0130.", "\u0a32\u0a3c,", "\u09a2\u09bc,"]
+
+
 def test_word_ids_are_the_tokenizers():
     tokenizer, rng = Tokenizer.from_file(PATH), random.Random(6)
-    texts = ["", None, " \n"] + ["".join(rng.choice(WORDS) + rng.choice([" ", "\n", "", " ", "  "]) for _ in range(rng.randint(1, 40))) for _ in range(300)]
-    coder = packing.WordIds(PATH, "<u2")
-    found = list(coder.encode([None if t is None else t.encode() for t in texts]))
-    for t, ids in zip(texts, found, strict=True):
-        assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids
+    texts = ["", None, " \n"] + ["".join(rng.choice(WORDS) + rng.choice([" ", "\n", "", " ", "  "]) for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    texts += odd_strings(25_000) + ["x" * 9000, "a b " * 3000]
+    coder = word_ids.WordIds(PATH, "<u2")
+    for slices in ([texts], [texts[:500], [], texts[500:900]]):  # the second time most are known
+        for some in slices:
+            found, counts = word_ids.encoded_column(coder, pa.array(some, pa.string()), 2)
+            wanted = tokenizer.encode_batch_fast([t or "" for t in some], add_special_tokens=False)
+            for want, ids, n in zip(wanted, found.to_pylist(), counts.to_pylist(), strict=True):
+                want = want.ids + [2]
+                assert np.frombuffer(ids, "<u2").tolist() == want and n == len(want)
+
+
+def test_word_ids_forget_and_cut_long_texts(monkeypatch):
+    monkeypatch.setattr(word_ids, "MOST_KEPT", 50)
+    monkeypatch.setattr(word_ids, "CHUNK", 64)
+    tokenizer, rng = Tokenizer.from_file(PATH), random.Random(9)
+    texts = [" ".join(rng.choice(WORDS) + str(rng.randrange(900)) for _ in range(rng.randrange(80))) for _ in range(60)]
+    found, _ = word_ids.encoded_column(word_ids.WordIds(PATH, "<u4"), pa.array(texts).slice(3, 50), 1)
+    for t, ids in zip(texts[3:53], found.to_pylist(), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [1]
+
+
+def test_units_that_share_half_their_hash_are_told_apart(monkeypatch):
+    """With a first hash of three values every chunk falls back on both, and the result stays the tokenizer's."""
+    whole = word_ids.UnitHash.__call__
+    monkeypatch.setattr(word_ids.UnitHash, "__call__", lambda self, *a: (lambda x: (x[0] % np.uint64(3), x[1]))(whole(self, *a)))
+    tokenizer, texts = Tokenizer.from_file(PATH), ["the cat, sat", "on 12 mats", "", "the end"]
+    coder = word_ids.WordIds(PATH, "<u2")
+    for _ in range(2):
+        for t in texts:
+            found, _ = word_ids.encoded_column(coder, pa.array([t]), 2)
+            assert np.frombuffer(found[0].as_py(), "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [2]
 
 
 def pack_rows():
@@ -135,6 +171,8 @@ def test_packing_is_a_round_trip(spark):
 
 def test_windows_follow_the_proportions(spark):
     rows = [(n, " ".join(["the"] * 39), "a" if n % 4 else "b") for n in range(4000)]
+    unweighted = packing.pack(frame(spark, rows), PATH, weights={"b": 1}).toPandas()  # a source left out is served last
+    assert unweighted[unweighted["doc_id"] % 4 == 0]["sequence_id"].max() <= unweighted[unweighted["doc_id"] % 4 > 0]["sequence_id"].min()
     for weights, share in ((None, 0.25), ({"a": 1, "b": 1}, 0.5)):
         pieces = packing.pack(frame(spark, rows), PATH, weights=weights).toPandas()
         pieces["b"] = (pieces["doc_id"] % 4 == 0) * pieces["length"]

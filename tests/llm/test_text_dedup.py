@@ -1,4 +1,4 @@
-"""Line dedup, SimHash and near copies against brute force."""
+"""Line dedup and SimHash against brute force."""
 
 import hashlib
 import random
@@ -7,7 +7,7 @@ import re
 import pytest
 import xxhash
 
-from ledgerloom.llm import line_dedup, near_copies, simhash
+from ledgerloom.llm import line_dedup, simhash
 from ledgerloom.llm.common import components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -139,69 +139,22 @@ def test_components_of_paths_stars_and_rings(spark):
     assert {r.node: r.root for r in got} == union_find(nodes, edges) and len(got) == len(nodes)
 
 
-def shingle_set(text, n=5):
-    words = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(LOWER)) if w]
-    return {" ".join(words[k : k + n]) for k in range(max(1, len(words) - n + 1))} if words else set()
-
-
-def test_near_copies_are_those_of_brute_force(spark):
-    rng = random.Random(11)
-    rows = [(n, t) for n, t in enumerate(texts())]
-    origin = [f"v{rng.randrange(3000)}" for _ in range(150)]
-    for n in range(1000, 1120):  # a family larger than a crowded key, most of it edited little
-        copy = list(origin)
-        for _ in range(rng.randint(0, 3)):
-            copy[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
-        rows.append((n, " ".join(copy)))
-    rows += [(2000, " ".join(origin)), (None, "one"), (2001, "w1 " * 40_000)]
-    sets = {i: shingle_set(t) for i, t in rows if i is not None}
-    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    want = union_find(list(sets), links)
-    got = near_copies.classes(frame(spark, rows)).collect()
-    assert {r.doc_id: r.class_doc for r in got if r.doc_id is not None} == want
-    assert [r.class_doc for r in got if r.doc_id is None] == [want[next(i for i, t in rows if t == "one")]]
-    kept = near_copies.without_near_copies(frame(spark, [*rows, rows[3]]))
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
-    assert kept.columns == frame(spark, []).columns
-    assert near_copies.classes(frame(spark, [])).count() == 0
-
-
-def same_classes_as_brute_force(spark, rows):
-    sets = {i: shingle_set(t) for i, t in rows}
-    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    want = union_find(list(sets), links)
-    got = near_copies.classes(frame(spark, rows)).collect()
-    assert {r.doc_id: r.class_doc for r in got} == want
-    return len(set(want.values()))
-
-
-@pytest.mark.parametrize("block", [256, 40])
-def test_crowded_families_without_an_origin(spark, monkeypatch, block):
-    monkeypatch.setattr(near_copies, "BLOCK_TEXTS", block)
-    rng = random.Random(13)
-    origin = [f"v{rng.randrange(3000)}" for _ in range(300)]
-    rows = []
-    for n in range(300):
-        copy = list(origin)
-        for at in rng.sample(range(300), rng.randint(1, 8)):
-            copy[at] = f"x{rng.randrange(10**6)}"
-        rows.append((n, " ".join(copy)))
-    assert 1 < same_classes_as_brute_force(spark, rows) < 200
-
-
-def test_crowded_documents_of_shared_passages(spark):
-    rng = random.Random(17)
-    passages = [" ".join(f"p{rng.randrange(5000)}" for _ in range(40)) for _ in range(14)]
-    rows = [(n, " ".join(passages[k] for k in sorted(rng.sample(range(14), 12)))) for n in range(300)]
-    same_classes_as_brute_force(spark, rows)
-
-
-def test_near_copies_that_repeat_a_phrase_more_or_less_often(spark):
-    rng = random.Random(19)
-    rows = []
-    for n in range(12):
-        own, phrase = ([f"r{n}_{rng.randrange(10**6)}" for _ in range(k)] for k in (150, 7))
-        rows += [(2 * n, " ".join(own + phrase * 200)), (2 * n + 1, " ".join(own + phrase * 2))]
-    assert all(shingle_set(a[1]) == shingle_set(b[1]) for a, b in zip(rows[::2], rows[1::2], strict=True))
-    got = near_copies.classes(frame(spark, rows)).collect()
-    assert {r.doc_id: r.class_doc for r in got} == {n: n - n % 2 for n in range(24)}
+def test_one_document_of_each_component_stays(spark):
+    origin = " ".join(f"w{k}" for k in range(400))
+    rows = [(n, origin.replace("w7 ", f"e{n % 3} ")) for n in range(30)] + [(50 + n, f"own text number {n} of its kind") for n in range(9)]
+    rows += [(None, origin), (None, "no id"), (90, None), (91, ""), (92, " \t"), (60, "another text of id sixty"), (3, origin), rows[3], rows[33]]
+    classes = {}
+    for r in simhash.near_duplicates(frame(spark, rows)).collect():
+        classes.setdefault((r.component_id, r.doc_id), 0)
+    got = simhash.without_near_duplicates(frame(spark, rows))
+    assert got.columns == frame(spark, []).columns
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    prints = {t: simhash.fingerprint_of(simhash.shingle_hashes(t, 3)) for _, t in rows}
+    links = [(a, b) for a in set(prints.values()) for b in set(prints.values()) if a < b and (a ^ b).bit_count() <= 2]
+    root = union_find(set(prints.values()), links)
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(root[prints[t]], set()).add((i is None, i if i is not None else 0))
+    assert sorted((i is None, i or 0) for i, _ in kept) == sorted(min(g) for g in groups.values())
+    assert len({root[prints[t]] for _, t in kept}) == len(kept)
+    assert simhash.without_near_duplicates(frame(spark, [])).count() == 0
