@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import line_dedup, mixing, near_copies, packing, toxicity
+from ledgerloom.llm import line_dedup, mixing, packing, simhash, toxicity
 from ledgerloom.llm.common import store
 
 TOXIC_FROM = 0.5
@@ -33,8 +33,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: five words a shingle, similarity 0.8."""
-    return near_copies.without_near_copies(docs, shingle_words=5, similarity=0.8)
+    """One document of each group of near copies, the one with the smallest doc_id: fingerprints of three-word shingles
+    that links of two or fewer bits join. Null and empty texts are one group. Of repeated rows one stays."""
+    return simhash.without_near_duplicates(docs, shingle_words=3, max_bits=2)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
