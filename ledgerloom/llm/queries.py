@@ -107,7 +107,7 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_products(spark: SparkSession, folder: str) -> DataFrame:
     found = vafile.top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
-    return found.select("query_id", "rank", "vec_id", "score")
+    return found.select("query_id", "rank", "vec_id", F.expr("try_cast(score AS BIGINT)").alias("score"))
 
 
 ORACLES["op7_products"] = """

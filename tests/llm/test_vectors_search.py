@@ -74,3 +74,31 @@ def test_searches_of_odd_tables(spark):
     whole = {n: [math.floor(256 * x) for x in v] for n, v in big}
     score = {n: sum(a * b for a, b in zip(whole[n], whole[0])) for n in range(1, 20)}
     assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(n, score[n]) for n in sorted(score, key=lambda n: (-score[n], n))[:3]]
+
+
+def test_products_of_large_components_are_exact(spark):
+    """No finite vector is left out, whatever its size, and sums that cancel are not lost in rounding."""
+    rng = np.random.default_rng(9)
+    for size in (1.4e5, 1e9, 1e15):
+        data = [(n, (rng.normal(size=4) * (size if n % 3 else 1)).astype(np.float32).tolist()) for n in range(300)]
+        data += [(400 + n, [size, -size, 1.0 + n, size]) for n in range(20)]
+        good = {i: [math.floor(256 * x) for x in np.array(v, np.float32).astype(float).tolist()] for i, v in data}
+        found = {}
+        for r in vafile.top_products(frame(spark, data), F.col("vec_id") % 20 == 0, k=5).collect():
+            found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, int(r.score)))
+        assert set(found) == {i for i in good if i % 20 == 0}
+        for q, rows_of in found.items():
+            score = {i: sum(a * b for a, b in zip(v, good[q], strict=True)) for i, v in good.items() if i != q}
+            want = sorted(score, key=lambda i: (-score[i], i))[:5]
+            assert [(i, s) for _, i, s in sorted(rows_of)] == [(i, score[i]) for i in want]
+
+
+def test_cells_bound_the_scores_of_all_longs():
+    rng = np.random.default_rng(3)
+    for top in (50, 1 << 30, (1 << 63) - 1):
+        matrix = rng.integers(-top, top, (80, 6), np.int64, endpoint=True)
+        low, width, cells = vafile.grid_of(matrix, 8)
+        least, greatest = vafile.score_bounds(low, width, cells, matrix[:9])
+        for k, row in enumerate(matrix.tolist()):
+            for q, query in enumerate(matrix[:9].tolist()):
+                assert least[k, q] <= sum(a * b for a, b in zip(row, query, strict=True)) <= greatest[k, q]
