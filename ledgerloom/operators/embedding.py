@@ -4,38 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.bind import computed_once
-
 Embedder = Callable[[DataFrame, str, str], DataFrame]
 
 
 def hashing_embedder(dims: int = 256) -> Embedder:
-    """Deterministic default: counts of hashed lower-case words, scaled to length 1. Runs in the JVM.
+    """Deterministic default: counts of hashed lower-case words, scaled to length 1. Words are hashed in the JVM, counted in
+    Arrow batches.
 
     A word is a run of letters, digits and ``_``; its place is the first eight hex digits of its md5 modulo ``dims``. A
     text without words has all zeros.
     """
 
+    @F.arrow_udf("array<float>")
+    def dense(slots: pa.Array) -> pa.Array:
+        """Counts of each row's slots, scaled, a batch at a time."""
+        sizes = np.diff(slots.offsets.to_numpy())
+        rows = np.repeat(np.arange(len(slots)), sizes)
+        places = rows * dims + slots.flatten().to_numpy()
+        counts = np.bincount(places, minlength=len(slots) * dims).reshape(len(slots), dims).astype(np.float64)
+        length = np.sqrt(np.einsum("ij,ij->i", counts, counts))
+        scaled = (counts / np.maximum(length, 1e-300)[:, None]).astype(np.float32)
+        return pa.ListArray.from_arrays(np.arange(len(slots) + 1, dtype=np.int32) * dims, scaled.reshape(-1))
+
     def embed(frame: DataFrame, text: str, vector: str) -> DataFrame:
         words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
         slots = F.transform(words, lambda w: F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("bigint") % dims)
-        # Each step is computed once, since the next one uses it for every element.
-        staged = computed_once(frame, _slots=slots)
-        sparse = F.transform(
-            F.array_distinct("_slots"),
-            lambda s: F.struct(s.cast("int").alias("at"), F.size(F.filter("_slots", lambda x: x == s)).cast("double").alias("n")),
-        )
-        staged = computed_once(staged, _sparse=sparse)
-        length = F.sqrt(F.aggregate("_sparse", F.lit(0.0), lambda total, e: total + e["n"] * e["n"]))
-        staged = computed_once(staged, _placed=F.map_from_entries("_sparse"), _length=F.greatest(length, F.lit(1e-300)))
-        dense = F.transform(
-            F.sequence(F.lit(0), F.lit(dims - 1)),
-            lambda d: (F.coalesce(F.element_at("_placed", d), F.lit(0.0)) / F.col("_length")).cast("float"),
-        )
-        return computed_once(staged, **{vector: dense}).drop("_slots", "_sparse", "_length", "_placed")
+        return frame.withColumn(vector, dense(slots))
 
     return embed
 

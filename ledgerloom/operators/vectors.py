@@ -47,6 +47,7 @@ class _Best:
 
     k: int
     rows: dict
+    decimals: int | None = None
 
     def add(self, query_ids: list, units: np.ndarray, matrix: np.ndarray, ids: np.ndarray) -> None:
         """Takes in unit vectors with their ids. Vectors an index would refuse have NaN for a score."""
@@ -57,6 +58,8 @@ class _Best:
             self._add_scores(query_ids[at : at + QUERY_SLICE], units @ matrix[at : at + QUERY_SLICE].T, ids)
 
     def _add_scores(self, query_ids: list, scores: np.ndarray, ids: np.ndarray) -> None:
+        if self.decimals is not None:
+            scores = np.round(scores, self.decimals)
         for q, column in zip(query_ids, scores.T):
             cut = column.size > self.k and np.partition(column, -self.k)[-self.k]
             near = np.flatnonzero(column >= cut) if column.size > self.k else np.arange(column.size)
@@ -100,18 +103,23 @@ def top_k(
     id_column: str,
     vector: str,
     k: int = DEFAULT_K,
+    decimals: int | None = None,
 ) -> DataFrame:
     """The ``k`` nearest vectors of each given query: query_id, id, cosine, rank, score.
 
+    With ``decimals`` cosines are rounded before they are compared, so that copies tie and go by id.
+
     ``queries`` are (id, vector) pairs from the caller, e.g. one embedded question. See
     :func:`top_k_for_table` when they are a table.
     """
     if not queries:
         raise ValueError("no query vectors")
-    return _pick_k(_search(vectors, queries, id_column, vector, k), k)
+    return _pick_k(_search(vectors, queries, id_column, vector, k, decimals), k)
 
 
-def _search(vectors: DataFrame, queries: list, id_column: str, vector: str, k: int) -> DataFrame:
+def _search(
+    vectors: DataFrame, queries: list, id_column: str, vector: str, k: int, decimals: int | None = None
+) -> DataFrame:
     """Each task's best ``k`` per query."""
     dims = len(queries[0][1])
     query_ids = [q for q, _ in queries]
@@ -119,7 +127,7 @@ def _search(vectors: DataFrame, queries: list, id_column: str, vector: str, k: i
     query_type, arrow_query = ("string", pa.string()) if isinstance(query_ids[0], str) else ("bigint", pa.int64())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, id_type = _Best(k, {}), None
+        best, id_type = _Best(k, {}, decimals), None
         for b in batches:
             if not b.num_rows:
                 continue
@@ -151,6 +159,7 @@ def top_k_for_table(
     vector: str,
     dims: int,
     k: int = DEFAULT_K,
+    decimals: int | None = None,
 ) -> DataFrame:
     """Top-k for a table of query vectors of any size.
 
@@ -167,8 +176,8 @@ def top_k_for_table(
                 F.lit(0.0).alias("cosine"),
             )
             return _pick_k(found, k)
-        return top_k(vectors, small, id_column, vector, k)
-    return grid_top_k(vectors, good_queries, id_column, query_id, vector, dims, k)
+        return top_k(vectors, small, id_column, vector, k, decimals)
+    return grid_top_k(vectors, good_queries, id_column, query_id, vector, dims, k, decimals=decimals)
 
 
 def grid_top_k(
@@ -181,6 +190,7 @@ def grid_top_k(
     k: int = DEFAULT_K,
     query_block: int = GRID_QUERY_BLOCK,
     corpus_block: int = GRID_CORPUS_BLOCK,
+    decimals: int | None = None,
 ) -> DataFrame:
     """Exact top-k of every query over every vector, on a grid of bounded cells."""
     good = vectors.filter(F.size(vector) == dims)
@@ -205,7 +215,7 @@ def grid_top_k(
     query_type, id_type = q.schema["query_id"].dataType, c.schema["id"].dataType
 
     def cell(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-        best = _Best(k, {})
+        best = _Best(k, {}, decimals)
         if len(qs) and len(cs):
             left = _unit(np.stack(cs["v"].to_numpy()).astype(np.float64))
             right = _unit(np.stack(qs["v"].to_numpy()).astype(np.float64))
@@ -238,18 +248,18 @@ def with_buckets(vectors: DataFrame, planes: list[list[list[float]]], vector: st
 
     A key is as selective as its table has bits; more tables find more neighbours.
     """
-    dims, bits = len(planes[0][0]), len(planes[0])
-    tables = F.array(*[F.array(*[F.array(*map(F.lit, plane)) for plane in table]) for table in planes])
-
-    def sign(plane: Column, at: Column) -> Column:
-        products = F.zip_with(F.col(vector), plane, lambda x, y: x.cast("double") * y)
-        above = F.aggregate(products, F.lit(0.0), lambda s, x: s + x) > 0
-        return F.when(above, F.element_at(F.array(*[F.lit(1 << b) for b in range(bits)]), at + 1)).otherwise(0)
+    dims, bits, tables = len(planes[0][0]), len(planes[0]), len(planes)
+    matrix = np.asarray(planes, np.float64).reshape(tables * bits, dims).T
+    weights = 1 << np.arange(bits)
 
-    def key(table: Column, number: Column) -> Column:
-        return number * (1 << bits) + F.aggregate(F.transform(table, sign), F.lit(0), lambda s, x: s + x)
+    @F.arrow_udf("array<int>")
+    def keys(column: pa.Array) -> pa.Array:
+        """One matrix product for a batch of vectors; the signs of each table's products are its key."""
+        above = (_matrix(column, dims) @ matrix > 0).reshape(-1, tables, bits)
+        found = (above @ weights + np.arange(tables) * (1 << bits)).astype(np.int32)
+        return pa.ListArray.from_arrays(np.arange(len(column) + 1, dtype=np.int32) * tables, found.reshape(-1))
 
-    return usable(vectors, vector, dims).withColumn("buckets", F.transform(tables, key))
+    return usable(vectors, vector, dims).withColumn("buckets", keys(F.col(vector)))
 
 
 def lsh_candidates(index: DataFrame, queries: DataFrame, id_column: str, query_id: str) -> DataFrame:
@@ -294,13 +304,14 @@ def question_hits(
     k: int = DEFAULT_K,
     text: str = "text",
     vector: str = "textEmbedding",
+    decimals: int | None = None,
 ) -> DataFrame:
     """Question texts -> their k nearest chunks: query_id, id, rank, score, text, source.
 
     ``embed`` is the embedder that made the vectors of ``chunks`` (chunk_id, text, source, vector).
     """
     asked = embed(questions.select(question_id, text), text, vector).select(question_id, vector)
-    hits = top_k_for_table(chunks.select(chunk_id, vector), asked, chunk_id, question_id, vector, dims, k)
+    hits = top_k_for_table(chunks.select(chunk_id, vector), asked, chunk_id, question_id, vector, dims, k, decimals)
     texts = chunks.select(F.col(chunk_id).alias("id"), text, "source")
     return hits.select("query_id", "id", "rank", "score").join(texts, "id")
 

@@ -9,9 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom import session
 from ledgerloom.functions import text
 from ledgerloom.operators import entities
+from ledgerloom.operators.bucket_store import BucketStore
 from ledgerloom.plans.catalog import Tables, query, spread
+from ledgerloom.streaming import merges
 
 CREATED, UPDATED = "2023-01-01 00:00:00", "2024-06-01 12:00:00"
 
@@ -190,6 +193,35 @@ def mention_edges(t: Tables) -> DataFrame:
     return merged.withColumns(stamps)
 
 
+@query(
+    "incremental_mentions",
+    f"""WITH {ROWS_SQL}, m AS (SELECT o_orderkey AS src, segment AS label, customer AS "entityId" FROM o
+                               UNION ALL SELECT o_orderkey, 'Tradeplace', nation FROM o)
+        SELECT src, label, "entityId", CASE WHEN label = 'Tradeplace' THEN '{CREATED}' ELSE '{UPDATED}' END
+               AS "creationTime", '{UPDATED}' AS "lastUpdateDate" FROM m""",
+)
+def incremental_mentions(t: Tables) -> DataFrame:
+    """Mentions from a stream of extracted nodes in four arrivals: places first, then all of them, some twice."""
+    folder = session.work_folder(t.spark, "mentions")
+    nodes = entities.extracted_nodes(extractions(t), "documentId").select("documentId", "label", "entityId")
+    arrivals = [("label = 'Tradeplace'", CREATED)] + [(f"documentId % 2 = {k}", UPDATED) for k in (0, 1, 0)]
+    for rows, stamp in arrivals:
+        nodes.where(rows).withColumn("at", F.lit(stamp)).write.mode("append").parquet(f"{folder}/arriving")
+    files = t.spark.read.parquet(f"{folder}/arriving")
+    stream = t.spark.readStream.schema(files.schema).option("maxFilesPerTrigger", 16).parquet(f"{folder}/arriving")
+    keys = ["src", "label", "entityId"]
+    schema = f"src {files.schema['documentId'].dataType.simpleString()}, label string, entityId string, creationTime string, lastUpdateDate string"
+    store = BucketStore(t.spark, f"{folder}/store", schema, keys, buckets=16)
+    known = t.orders.select(F.col("o_orderkey").alias("src")).distinct()
+
+    def mentions(batch: DataFrame) -> DataFrame:
+        named = batch.select(F.col("documentId").alias("src"), "label", "entityId", "at", F.col("at").alias("creationTime"), F.col("at").alias("lastUpdateDate"))
+        return named.join(known, "src", "left_semi")
+
+    merges.start_merges(stream, store, "mentions", f"{folder}/checkpoint", ["at"], create_only=("creationTime",), prepare=mentions).awaitTermination()
+    return store.read()
+
+
 @query(
     "extraction_failures",
     """SELECT o_orderkey AS "documentId", CASE o_orderpriority WHEN '1-URGENT' THEN 'not readable' WHEN '2-HIGH'

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import graph, quality, upsert
+from ledgerloom.operators.bucket_store import BucketStore
 from ledgerloom.plans import standins as S
 from ledgerloom.plans.catalog import Tables, query
+from ledgerloom.session import work_folder
 
 
 @query(
@@ -174,6 +176,34 @@ def node_upsert(t: Tables) -> DataFrame:
     return graph.load_nodes(nodes, wide.drop("textEmbedding"), "c_custkey", ["o_orderkey"])
 
 
+@query(
+    "merge_twice",
+    """WITH b AS (SELECT o_custkey AS key, o_totalprice AS price, o_orderpriority AS priority, o_orderkey AS place,
+                         CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS part FROM orders),
+            one AS (SELECT key, arg_max(price, place) AS price, arg_max(priority, place) AS priority, min(place) AS since FROM b WHERE part = 1 GROUP BY key),
+            two AS (SELECT key, arg_max(price, place) AS price, arg_max(priority, place) AS priority, min(place) AS since FROM b
+                    WHERE part = 2 AND key % 10 = 3 GROUP BY key)
+       SELECT coalesce(two.key, one.key) AS key, coalesce(two.price, one.price) AS price,
+              coalesce(two.priority, one.priority) AS priority, coalesce(one.since, two.since) AS since
+       FROM one FULL JOIN two ON one.key = two.key""",
+)
+def merge_twice(t: Tables) -> DataFrame:
+    """Two batches into a bucketed store, the first of them offered twice."""
+    schema = "key bigint, price double, priority string, since bigint"
+    store = BucketStore(t.spark, work_folder(t.spark, "merge-twice"), schema, ["key"], buckets=16)
+    batch = t.orders.select(
+        F.col("o_custkey").alias("key"),
+        F.col("o_totalprice").cast("double").alias("price"),
+        F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderkey").alias("since"),
+        F.col("o_orderkey").alias("place"),
+    )
+    even = batch.where("place % 2 = 0")
+    for name, part in (("even", even), ("odd", batch.where("place % 2 <> 0 AND key % 10 = 3")), ("even", even)):
+        store.merge(part, name, ["place"], create_only=("since",))
+    return store.read()
+
+
 @query(
     "load_counts",
     """WITH b AS (SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey * 2 END AS k FROM orders),

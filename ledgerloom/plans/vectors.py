@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import embedding, vectors
+from ledgerloom.operators import embedding, vector_index, vectors
 from ledgerloom.plans import standins as S
 from ledgerloom.plans.catalog import Tables, query, spread
 from ledgerloom.plans.embedding_sql import embed_sql
+from ledgerloom.session import work_folder
 
 DIMS, K = 64, 10
 
@@ -83,6 +84,48 @@ def vector_topk_lsh(t: Tables) -> DataFrame:
     return found.select("query_id", "id", "rank", F.round("score", 4).alias("score"))
 
 
+LISTS, PROBES, ROUNDS = 16, 12, 2
+
+
+def _round_sql(number: int) -> str:
+    """One Lloyd round: the nearest centre of each vector, and the mean of each list."""
+    return f"""a{number} AS (SELECT id, u, arg_min(list, (d, list)) AS list FROM (
+          SELECT id, u, list, list_sum(list_transform(list_zip(u, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM t, c{number})
+          GROUP BY id, u),
+        c{number + 1} AS (SELECT list, list(x ORDER BY i) AS c FROM (
+          SELECT list, i, avg(x) AS x FROM (SELECT list, unnest(u) AS x, generate_subscripts(u, 1) AS i FROM a{number}) GROUP BY list, i)
+          GROUP BY list)"""
+
+
+@query(
+    "vector_index_topk",
+    f"""WITH {MEANS_SQL.split(",\ns AS")[0]},
+        w AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings),
+        n AS (SELECT id, list_transform(e, lambda x: x / sqrt(list_inner_product(e, e))) AS u FROM w),
+        t AS (SELECT * FROM n WHERE id % 3 <> 0),
+        c0 AS (SELECT CAST(row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR)), id) - 1 AS INTEGER) AS list, u AS c FROM t QUALIFY list < {LISTS}),
+        {",".join(map(_round_sql, range(ROUNDS)))},
+        p AS (SELECT id, u, arg_min(list, (d, list)) AS list FROM (
+          SELECT id, u, list, list_sum(list_transform(list_zip(u, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM n, c{ROUNDS})
+          GROUP BY id, u),
+        b AS (SELECT query_id, q, list FROM (
+          SELECT query_id, q, list, list_sum(list_transform(list_zip(c, q), lambda z: z[1] * z[1] - 2 * z[1] * z[2] / sqrt(list_inner_product(q, q)))) AS d
+          FROM m, c{ROUNDS}) QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, list) <= {PROBES}),
+        s AS (SELECT query_id, id, list_cosine_similarity(u, q) AS cosine FROM p JOIN b USING (list)),
+        k AS (SELECT query_id, id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, id) AS INTEGER) AS rank,
+                     cosine FROM s QUALIFY rank <= 10)
+        SELECT query_id, id, rank, round((1 + cosine) / 2, 4) AS score FROM k""",
+)
+def vector_index_topk(t: Tables) -> DataFrame:
+    """A stored index that two thirds of the vectors train, the rest is added to, and the queries search."""
+    folder, known = work_folder(t.spark, "vector-index"), spread(t.embeddings)
+    later = F.col("vec_id") % 3 == 0
+    vector_index.build(known.where(~later), "vec_id", "embedding", DIMS, folder, LISTS, ROUNDS)
+    vector_index.add(known.where(later), "vec_id", "embedding", folder)
+    found = vector_index.search(t.spark, folder, label_queries(t), "query_id", "embedding", K, PROBES)
+    return found.select("query_id", "id", "rank", F.round("score", 4).alias("score"))
+
+
 @query(
     "retrieval_context",
     f"""WITH {MEANS_SQL}
@@ -133,15 +176,12 @@ CONTEXT_DIMS = 256
         FROM s QUALIFY rank <= 3""",
 )
 def question_context(t: Tables) -> DataFrame:
-    """Questions as text against embedded chunks. Equal scores go by chunk, so scores are rounded before the ranks."""
-    embedder = embedding.hashing_embedder(CONTEXT_DIMS)
-    chunks = embedding.embed(S.document_chunks(t), embedder)
-    questions = t.benchmark.select("item_id", "text")
-    # More than are wanted, since rounding may reorder close ones.
-    hits = vectors.question_hits(questions, chunks, embedder, "item_id", "chunkId", CONTEXT_DIMS, 3 * K)
+    """Questions as text against embedded chunks, which are stored once. Equal scores go by chunk, so the search rounds."""
+    embedder, folder = embedding.hashing_embedder(CONTEXT_DIMS), work_folder(t.spark, "chunks")
+    embedding.embed(S.document_chunks(t), embedder).select("chunkId", "text", "source", "textEmbedding").write.parquet(folder)
+    chunks, questions = t.spark.read.parquet(folder), t.benchmark.select("item_id", "text")
+    hits = vectors.question_hits(questions, chunks, embedder, "item_id", "chunkId", CONTEXT_DIMS, 3, decimals=6)
     cosine = F.round(F.col("score") * 2 - 1, 6)
-    best = Window.partitionBy("query_id").orderBy(cosine.desc(), "id")
-    ranked = hits.withColumn("cosine", cosine).withColumn("rank", F.row_number().over(best)).filter("rank <= 3")
-    return ranked.select(
-        "query_id", "rank", "id", "source", F.length("text").cast("bigint").alias("n"), F.round((1 + F.col("cosine")) / 2, 4).alias("score")
+    return hits.select(
+        "query_id", "rank", "id", "source", F.length("text").cast("bigint").alias("n"), F.round((1 + cosine) / 2, 4).alias("score")
     )
