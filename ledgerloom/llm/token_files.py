@@ -26,7 +26,7 @@ from ledgerloom.llm.common import running, sliced, store, totals_before
 from ledgerloom.llm.word_ids import encoded_column, id_kind, kept_words
 
 END_ID = 2
-SHARD_IDS = 1 << 22
+SHARD_IDS = 1 << 21
 INDEX_KEYS = 1 << 16
 COPY_BLOCK = 4096
 SHARD_MAGIC = b"LTOK0001"

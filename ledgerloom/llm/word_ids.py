@@ -19,11 +19,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-CHUNK = 1 << 21
-MOST_KEPT = 1_000_000
+CHUNK = 1 << 20
+MOST_KEPT = 500_000
 TOGETHER = 200
 KEPT_IN = "ledgerloom_kept_words"
-TEXTS_AT_ONCE = 64
+TEXTS_AT_ONCE = 16
 WORD_END = "</w>"
 SPACE, LETTER, DIGIT, OTHER, WHOLE = 0, 1, 2, 3, 4
 
