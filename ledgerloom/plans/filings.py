@@ -133,7 +133,7 @@ def filing_history_rows(t: Tables) -> DataFrame:
 )
 def filing_filter(t: Tables) -> DataFrame:
     # The stored columns carry the range and the form, so that both reach the scan.
-    orders = t.orders.filter(F.col("o_orderdate").between("1996-01-01", "1998-06-30 23:59:59"))
+    orders = t.orders.filter((F.col("o_orderdate") >= "1996-01-01") & (F.col("o_orderdate") < "1998-07-01"))
     found = order_filings(t, orders.filter(F.col("o_orderstatus") == "F"))
     return plain(filings.annual_reports(found.drop("o_orderkey"), "1996-01-01", "1998-06-30"))
 
