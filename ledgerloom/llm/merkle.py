@@ -13,7 +13,6 @@ sibling stands and its 32 bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 from hashlib import sha256
 
