@@ -14,15 +14,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.text_arrays import MIX, chunks
 from ledgerloom.llm.training import first_by_hash
 
 PER_LANGUAGE = 600
-MOST_LANGUAGES = 300
 LONGEST = 32_768
+SAMPLE_BYTES = 128 << 20
 BUCKET_BITS = 16
 WIDTH = 16
 UNKNOWN = "und"
@@ -87,7 +87,10 @@ def has_letter(text: str | None) -> bool:
 
 @dataclass
 class Model:
-    """table: class scores of each subword; temperature and the score below which an answer is rejected."""
+    """table: class scores of each subword; temperature and the score below which an answer is rejected.
+
+    With more languages than an embedding is wide, table holds the embeddings and output makes scores of their mean.
+    """
 
     languages: list[str]
     bucket_bits: int
@@ -95,15 +98,17 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
     reject: float = 0.0
+    output: np.ndarray | None = None
 
     def logits(self, texts: list[str | None]) -> np.ndarray:
         out = np.tile(self.bias.astype(np.float64), (len(texts), 1))
         for first, held in chunks(texts):
             text, bucket = subwords(held, self.bucket_bits)
             count = np.maximum(1, np.bincount(text, minlength=len(held)))
-            for c in range(len(self.languages)):
-                sums = np.bincount(text, self.table[:, c][bucket], minlength=len(held))
-                out[first : first + len(held), c] += sums / count
+            means = np.empty((len(held), self.table.shape[1]))
+            for c in range(self.table.shape[1]):
+                means[:, c] = np.bincount(text, self.table[:, c][bucket], minlength=len(held)) / count
+            out[first : first + len(held)] += means if self.output is None else means @ self.output
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -128,7 +133,8 @@ def fit(texts: list[str], languages: list[str], bucket_bits: int = BUCKET_BITS,
     names = sorted(set(languages))
     if not names:
         return Model([], bucket_bits, np.zeros((1, 0)), np.zeros(0))
-    parts = [(p, names.index(lang), k) for k, (t, lang) in enumerate(zip(texts, languages, strict=True)) for p in pieces(t)]
+    place = {name: c for c, name in enumerate(names)}
+    parts = [(p, place[lang], k) for k, (t, lang) in enumerate(zip(texts, languages, strict=True)) for p in pieces(t)]
     bag, label = bags([p for p, _, _ in parts], bucket_bits), np.array([c for _, c, _ in parts])
     checks = np.array([k % 5 == 4 for _, _, k in parts]) & (len(texts) >= 20)
     rng = np.random.default_rng(seed)
@@ -150,8 +156,10 @@ def fit(texts: list[str], languages: list[str], bucket_bits: int = BUCKET_BITS,
             output -= np.outer(hidden, error)
             bias -= 0.1 * error
             vectors[at] -= (part / max(1e-9, part.max()))[:, None] * back * 0.5
-    table = vectors @ output
-    model = Model(names, bucket_bits, table.astype(np.float32), bias)
+    if len(names) <= width:
+        model = Model(names, bucket_bits, (vectors @ output).astype(np.float32), bias)
+    else:
+        model = Model(names, bucket_bits, vectors.astype(np.float32), bias, output=output)
     tested = np.flatnonzero(checks) if checks.any() else np.arange(len(parts))
     logits, right = model.logits([parts[k][0] for k in tested]), label[tested]
     tries = np.geomspace(0.05, 20, 81)
@@ -170,21 +178,26 @@ def learn(
     may_learn: Column,
     per_language: int = PER_LANGUAGE,
     longest: int = LONGEST,
-    most_languages: int = MOST_LANGUAGES,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> Model:
-    """A model from ``per_language`` texts of each language, first in the order of a hash of the id.
+    """A model of every language, from texts first in the order of a hash of the id.
 
-    Rows with null lang, id or text and texts of more than ``longest`` bytes are not learned from, nor are languages
-    beyond the ``most_languages`` most frequent, so the sample has a bounded size.
+    All languages share ``sample_bytes`` evenly, so the sample that reaches the driver is bounded however many there
+    are; each has at most ``per_language`` texts, all of its share together. Rows with null lang, id or text are not
+    learned from, nor texts of more than ``longest`` bytes or of more than a language's share. Of texts with one id and
+    language the least counts.
     """
-    known = docs.where(may_learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    known = known.where(F.octet_length("text") <= longest)
-    ids = known.groupBy("lang", "doc_id").agg(F.count("*").alias("rows"))
-    frequent = ids.groupBy("lang").agg(F.sum("rows").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages)
-    ids = ids.join(F.broadcast(frequent.select("lang")), "lang").select("doc_id", "lang")
-    ids = first_by_hash(ids, "lang", per_language)
-    found = known.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"])
-    found = found.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).toPandas()
+    known = docs.where(may_learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    languages = known.select("lang").distinct().count()
+    share = sample_bytes // max(1, languages)
+    known = known.where(F.octet_length("text") <= min(longest, share))
+    ids = first_by_hash(known.select("doc_id", "lang").distinct(), "lang", per_language)
+    # At most per_language rows of each language from here on.
+    found = known.select("doc_id", "lang", "text").join(F.broadcast(ids.select("doc_id", "lang")), ["doc_id", "lang"])
+    found = found.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    turn = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id") < 0, F.xxhash64("doc_id"), "doc_id")
+    found = found.withColumn("bytes", F.sum(F.octet_length("text")).over(turn.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("bytes") <= share)
+    found = found.select("doc_id", "lang", "text").toPandas()
     found = found.sort_values(["doc_id", "lang"], kind="stable")
     return fit(found["text"].tolist(), found["lang"].tolist())
 

@@ -151,16 +151,11 @@ class Reader:
         codes = np.frombuffer(("\n".join(lower) + "\n").encode("utf-32-le", "replace"), np.uint32)
         edge = np.diff(self.loose[codes].astype(np.int8), prepend=0)
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        while True:
-            bad = ~self.solid[codes[starts]] & (starts < ends)
-            if not bad.any():
-                break
-            starts = starts + bad
-        while True:
-            bad = ~self.solid[codes[ends - 1]] & (starts < ends)
-            if not bad.any():
-                break
-            ends = ends - bad
+        # The first and the last solid character of each stretch; none of the passes depends on how long a run is.
+        solid = np.concatenate([np.flatnonzero(self.solid[codes]), [len(codes)]])
+        starts = np.minimum(solid[np.searchsorted(solid, starts)], ends)
+        before = np.searchsorted(solid, ends) - 1
+        ends = np.maximum(np.where(before < 0, 0, solid[before] + 1), starts)
         kept = starts < ends
         starts, ends = starts[kept], ends[kept]
         limits = np.cumsum([len(t) + 1 for t in lower])

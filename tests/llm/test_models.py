@@ -137,3 +137,44 @@ def test_toxicity_keeps_every_telling_term():
     filler = " ".join(clean_words[:30])
     scores = model.scores([filler, *(f"{filler} {word} {word} {filler}" for word in telling)])
     assert scores[0] < 0.5 and (scores[1:] > scores[0]).all()
+
+
+def test_every_language_is_learned_within_the_bytes_of_the_sample(spark):
+    rng = random.Random(3)
+    words = {f"l{n:03d}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)] for n in range(400)}
+    rows = [(k * 400 + n, " ".join(rng.choices(w, k=12)), lang) for n, (lang, w) in enumerate(words.items()) for k in range(5)]
+    docs = spark.createDataFrame([*rows, (-1, None, "l000"), (-2, "x", None), (None, "x", "none")], "doc_id long, text string, lang string")
+    model = language.learn(docs, F.lit(True), per_language=4)
+    assert model.languages == sorted(words) and model.table.shape[1] == language.WIDTH
+    fresh = [(" ".join(rng.choices(w, k=20)), lang) for lang, w in words.items()]
+    assert np.mean([p == lang for p, (_, lang) in zip(model.predict([t for t, _ in fresh])[0], fresh, strict=True)]) > 0.9
+    # Each language's share of the bytes holds two of its texts.
+    taken = []
+    fit, language.fit = language.fit, lambda texts, languages: taken.extend(zip(texts, languages, strict=True))
+    try:
+        language.learn(docs, F.lit(True), sample_bytes=400 * 170)
+    finally:
+        language.fit = fit
+    assert {lang for _, lang in taken} == set(words) and all(sum(len(t) for t, of in taken if of == lang) <= 170 for lang in list(words)[:40])
+
+
+def test_words_are_trimmed_as_symbol_by_symbol():
+    reader = toxicity.Reader()
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("ab1*@$.-' \n", k=rng.randrange(60))) for _ in range(300)] + ["*" * 1_000_000 + " " + "word " * 100_000, "", "**"]
+    codes, starts, ends, of = reader.read(texts)
+    got = [(toxicity.spelled(codes, a, b), int(t)) for a, b, t in zip(starts, ends, of, strict=True)]
+    want = []
+    for n, text in enumerate(texts):
+        run = ""
+        for c in text.lower() + "\n":
+            if reader.loose[ord(c)]:
+                run += c
+                continue
+            while run and not reader.solid[ord(run[0])]:
+                run = run.lstrip(run[0])
+            while run and not reader.solid[ord(run[-1])]:
+                run = run.rstrip(run[-1])
+            want += [(run, n)] if run else []
+            run = ""
+    assert got == want
