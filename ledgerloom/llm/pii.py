@@ -9,10 +9,12 @@ contexts, edges and scores are narrow tables; texts are read once for spans and
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.bind import computed_once
+from ledgerloom.functions.bind import computed_once, let
 from ledgerloom.llm.common import hash_join_small, store
 
 # The base patterns. A match is tried only where the plain pattern could begin or go on after a match, so
@@ -24,35 +26,63 @@ PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 # Shapes that a discovered identifier may have, and the kinds they serve.
 MAIL_SHAPE = (
-    r"[A-Za-z0-9._%+-]++ ?(?:@|[(\[]at[)\]]) ?[A-Za-z0-9-]++(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]++)*+"
+    r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++ ?(?:@|[(\[]at[)\]]) ?[A-Za-z0-9-]++(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]++)*+"
 )
 SIX_SHAPE = r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"
 DIGIT_SHAPE = r"(?<![0-9A-Za-z@.+-])\(?[0-9][0-9 ()./-]{5,28}[0-9](?![0-9A-Za-z@])"
 SHAPES = f"{MAIL_SHAPE}|{SIX_SHAPE}|{DIGIT_SHAPE}"
 
 SPAN = "struct<kind:int,start:int,stop:int,value:string>"
-CONTEXT_CHARS = 80
+CONTEXT_CHARS = 200
+BLOCK = 256
 LEAST_VALUES = 3
 CONFIDENT = 0.5
 ROUNDS = 3
 
 
+def running(values: Column, plus: Callable[[Column, Column], Column], zero: int) -> Column:
+    """For each item of an array of integers the ``plus`` of all items before it, from ``zero``.
+
+    A fold copies the array that it grows at each step, so it sees one block only, or the totals of the blocks.
+    """
+
+    def fold(items: Column, first: Column) -> Column:
+        start = F.struct(first.alias("at"), F.array().cast("array<int>").alias("seen"))
+        return F.aggregate(
+            items,
+            start,
+            lambda state, x: F.struct(plus(state["at"], x).alias("at"), F.concat(state["seen"], F.array(state["at"])).alias("seen")),
+            lambda state: state["seen"],
+        )
+
+    def blocks(items: Column) -> Column:
+        last = F.floor((F.size(items) - 1) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), last)), lambda b: F.slice(items, b * BLOCK + 1, BLOCK))
+
+    def joined(cut: Column) -> Column:
+        totals = F.transform(cut, lambda block: F.aggregate(block, F.lit(zero), plus))
+        return F.flatten(F.zip_with(cut, fold(totals, F.lit(zero)), fold))
+
+    return let(values, lambda items: let(blocks(items), joined))
+
+
 def located(text: Column, pattern: str, found: Column) -> Column:
     """(start, stop, value) of each match, in code points, from the pieces between the matches."""
-    pieces = F.split(text, pattern, -1)
-    both = F.arrays_zip(pieces.alias("piece"), found.alias("value"))
-    start = F.struct(
-        F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int,value:string>>").alias("spans")
-    )
+    both = F.arrays_zip(F.split(text, pattern, -1).alias("piece"), found.alias("value"))
+
+    def sized(pair: Column) -> Column:
+        size = F.coalesce(F.length(pair["value"]), F.lit(0))
+        return F.struct(F.length(pair["piece"]).alias("gap"), size.alias("size"), pair["value"].alias("value"))
+
+    def place(pair: Column, at: Column) -> Column:
+        begin = at + pair["gap"]
+        return F.struct(begin.alias("start"), (begin + pair["size"]).alias("stop"), pair["value"].alias("value"))
 
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["piece"])
-        end = begin + F.coalesce(F.length(pair["value"]), F.lit(0))
-        span = F.struct(begin.alias("start"), end.alias("stop"), pair["value"].alias("value"))
-        more = F.when(pair["value"].isNull(), state["spans"]).otherwise(F.concat(state["spans"], F.array(span)))
-        return F.struct(end.alias("at"), more.alias("spans"))
+    def placed(pairs: Column) -> Column:
+        widths = F.transform(pairs, lambda pair: pair["gap"] + pair["size"])
+        return F.zip_with(pairs, running(widths, lambda a, b: a + b, 0), place)
 
-    return F.aggregate(both, start, step, lambda state: state["spans"])
+    return F.filter(let(F.transform(both, sized), placed), lambda s: s["value"].isNotNull())
 
 
 def matches(text: Column, pattern: str, needs: str) -> Column:
@@ -106,12 +136,26 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return computed_once(found, __base=joined).drop(*[f"__m{k}" for k in range(len(KINDS))])
 
 
-def words_before(text: Column, start: Column) -> Column:
-    """The last two words of letters before a position on its line, lower case."""
-    begin = F.greatest(F.lit(0), start - CONTEXT_CHARS)
-    left = F.element_at(F.split(F.substr(text, begin + 1, start - begin), "\n", -1), -1)
-    words = F.filter(F.split(F.lower(left), r"[^\p{L}]+", -1), lambda w: w != "")
-    return F.slice(words, F.greatest(F.lit(1), F.size(words) - 1), 2)
+def cut(text: Column, size: int) -> Column:
+    """A text in stretches of ``size`` code points, so that what stands at a position is found without counting from its start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+
+
+def words_before(stretches: Column, start: Column, size: int) -> Column:
+    """The last two words of letters before a position on its line, lower case, from the ``size`` characters before it.
+
+    A word that these characters cut in two is left out. ``stretches`` is the text cut in steps of one character more.
+    """
+    step = size + 1
+    block = F.floor(start / step).cast("int")
+    earlier = F.coalesce(F.get(stretches, block - 1), F.lit(""))
+    here = F.substr(F.coalesce(F.get(stretches, block), F.lit("")), F.lit(1), start % step)
+    # One character more than the window tells whether its first word is whole.
+    left = F.right(F.concat(earlier, here), F.lit(step))
+    left = F.when(start > size, F.regexp_replace(left, r"^\p{L}+", "")).otherwise(left)
+    line = F.substring_index(left, "\n", -1)
+    words = F.split(F.lower(line), r"[^\p{L}]+", -1)
+    return let(F.filter(words, lambda w: w != ""), lambda w: F.slice(w, F.greatest(F.lit(1), F.size(w) - 1), 2))
 
 
 def patterns_of(words: Column) -> Column:
@@ -121,7 +165,31 @@ def patterns_of(words: Column) -> Column:
     return F.filter(F.array(one, two), lambda p: p.isNotNull())
 
 
-def scanned(docs: DataFrame) -> DataFrame:
+def clear_of(base: Column, placed: Column) -> Column:
+    """The places that overlap no base span, as spans of kind -1: all in order of start, each with the furthest stop of
+    the base spans before it and the least start of those behind it."""
+
+    def span(s: Column, kind: Column) -> Column:
+        return F.struct(s["start"].alias("start"), kind.alias("kind"), s["stop"].alias("stop"), s["value"].alias("value"))
+
+    every = F.concat(F.transform(base, lambda s: span(s, s["kind"])), F.transform(placed, lambda s: span(s, F.lit(-1))))
+
+    def clear(ordered: Column) -> Column:
+        far = 2**31 - 1
+        stops = F.transform(ordered, lambda s: F.when(s["kind"] < 0, F.lit(0)).otherwise(s["stop"]))
+        starts = F.transform(F.reverse(ordered), lambda s: F.when(s["kind"] < 0, F.lit(far)).otherwise(s["start"]))
+        before = running(stops, lambda a, b: F.greatest(a, b), 0)
+        behind = F.reverse(running(starts, lambda a, b: F.least(a, b), far))
+        checked = F.filter(
+            F.arrays_zip(ordered.alias("span"), before.alias("before"), behind.alias("behind")),
+            lambda c: (c["span"]["kind"] < 0) & (c["before"] <= c["span"]["start"]) & (c["span"]["stop"] <= c["behind"]),
+        )
+        return F.transform(checked, lambda c: F.struct(*[c["span"][n].alias(n) for n in ("kind", "start", "stop", "value")]))
+
+    return let(F.sort_array(every), clear)
+
+
+def scanned(docs: DataFrame, context_chars: int = CONTEXT_CHARS) -> DataFrame:
     """(doc_id, version, base, mentions): spans of each text, and what the bootstrap needs of it.
 
     A mention is a base span, or a stretch of an identifier's shape that overlaps none, with its contexts. kind is -1
@@ -133,14 +201,10 @@ def scanned(docs: DataFrame) -> DataFrame:
     own = computed_once(own, __shaped=shaped)
     placed = F.when(F.size("__shaped") > 0, located(F.col("__text"), SHAPES, F.col("__shaped")))
     own = computed_once(own, __placed=F.coalesce(placed, F.array().cast("array<struct<start:int,stop:int,value:string>>")))
-    clear = F.expr(
-        "filter(__placed, p -> NOT exists(__base, b -> b.start < p.stop AND p.start < b.stop))"
-    )
-    loose = F.transform(
-        clear,
-        lambda s: F.struct(F.lit(-1).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["value"].alias("value")),
-    )
-    own = computed_once(own, __all=F.concat("__base", loose.cast(f"array<{SPAN}>")))
+    loose = F.when(F.size("__placed") > 0, clear_of(F.col("__base"), F.col("__placed")))
+    every = F.concat("__base", F.coalesce(loose, F.array().cast(f"array<{SPAN}>")))
+    own = computed_once(own, __all=every)
+    own = computed_once(own, __stretches=F.when(F.size("__all") > 0, cut(F.col("__text"), context_chars + 1)))
     mentions = F.transform(
         "__all",
         lambda s: F.struct(
@@ -148,7 +212,7 @@ def scanned(docs: DataFrame) -> DataFrame:
             s["start"].alias("start"),
             s["stop"].alias("stop"),
             s["value"].alias("value"),
-            patterns_of(words_before(F.col("__text"), s["start"])).alias("contexts"),
+            let(words_before(F.col("__stretches"), s["start"], context_chars), patterns_of).alias("contexts"),
         ),
     )
     version = F.xxhash64("__text").alias("version")
@@ -213,16 +277,21 @@ def confident_patterns(
 
 
 def find(
-    docs: DataFrame, least_values: int = LEAST_VALUES, confident: float = CONFIDENT, rounds: int = ROUNDS
+    docs: DataFrame,
+    least_values: int = LEAST_VALUES,
+    confident: float = CONFIDENT,
+    rounds: int = ROUNDS,
+    context_chars: int = CONTEXT_CHARS,
 ) -> DataFrame:
     """Spans of personal data per document: (doc_id, base, found), arrays of (kind, start, stop, value).
 
     base has the matches of the base patterns, found those and what confident patterns add; positions are code points,
     ends exclusive. kind numbers email, ip, card, phone. An addition never overlaps a base span; of two kinds for one
-    stretch the more precise pattern's counts, then the first. Null text is empty and has no span. Repeated rows come
+    stretch the more precise pattern's counts, then the first. Contexts are whole words on the line of an identifier
+    within the ``context_chars`` characters before it; the work on a text grows with its length. Null text is empty and has no span. Repeated rows come
     back as often as they came, with the same spans. Other columns are not read; an empty table gives an empty result.
     """
-    spans = store(scanned(docs), "pii-spans")
+    spans = store(scanned(docs, context_chars), "pii-spans")
     mentions = spans.select("doc_id", "version", F.inline("mentions")).distinct()
     seed = F.col("kind") >= 0
     kinds = F.when(seed, F.array("kind")).otherwise(kinds_of_shape(F.col("value")))

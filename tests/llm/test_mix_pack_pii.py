@@ -223,6 +223,41 @@ def test_base_spans_are_those_of_the_stated_patterns(spark):
     assert pii.find(frame(spark, [])).count() == 0
 
 
+def brute_words(text, start, size):
+    """The last two whole words on the line among the characters before a position."""
+    first = max(0, start - size)
+    words = [(m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+", text[:start])]
+    line = text.rfind("\n", 0, start) + 1
+    return [text[a:b].lower() for a, b in words if a >= max(first, line)][-2:]
+
+
+def test_mentions_and_their_contexts_are_those_of_brute_force(spark):
+    rng = random.Random(11)
+    bits = ["a@b.c", "mail", "x (at) y (dot) z", "555-010-9999", "1.2.3.4", "+1 555 010 9999", "4111 1111 1111 1111", "call é me", "\n", "ab:cd:ef:01:2", "😀 7", "q" * 30]
+    shapes = pii.SHAPES.replace(r"(?:\G|(?<![A-Za-z0-9._%+-]))", "")  # the guard only saves time
+    texts = ["".join(rng.choice(bits) + rng.choice([" ", " ", "", ", "]) for _ in range(rng.choice([3, 20, 700]))) for _ in range(60)]
+    rows = [(n, t, "s") for n, t in enumerate([*texts, None, ""])]
+    for size in (7, 200):
+        for row in pii.scanned(frame(spark, rows), size).collect():
+            text = rows[row.doc_id][1] or ""
+            base = [(s.start, s.stop) for s in row.base]
+            shaped = [(m.start(), m.end()) for m in re.finditer(shapes, text)]
+            clear = [(a, b) for a, b in shaped if not any(c < b and a < d for c, d in base)]
+            assert sorted((m.start, m.stop) for m in row.mentions if m.kind < 0) == clear
+            assert [(m.start, m.stop) for m in row.mentions if m.kind >= 0] == base
+            for m in row.mentions:
+                assert text[m.start : m.stop] == m.value
+                words = brute_words(text, m.start, size)
+                assert m.contexts == [*words[-1:], *([" ".join(words)] if len(words) == 2 else [])]
+
+
+def test_one_long_line_of_identifiers(spark):
+    text = "".join(f"é mail ab{n}@cd.org or call +49 30 {1000000 + n} now, " for n in range(15_000))
+    found = pii.find(frame(spark, [(1, text, "s")]))
+    row = found.select(pii.listed(found["base"]).alias("spans"), pii.count_of(found["base"], 0).alias("mails")).collect()[0]
+    assert row.mails == 15_000 and row.spans == stated_spans(text)
+
+
 def test_patterns_discover_unseen_identifiers(spark):
     rows = [(n, f"note {n}\nplease call me +1 555 010 {1000 + n}\nthank you {n}", "s") for n in range(40)]
     rows += [(100, "please call me 555-010-9999 today", "s"), (101, "there were 555-010-9999 of them", "s"), (102, "please call me", "s")]
