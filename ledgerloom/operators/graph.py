@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import upsert as merge
@@ -193,6 +193,77 @@ def graph_profile(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return one(nodes, "node", "label").unionByName(one(edges, "relation", "type"))
 
 
+# Types of property values, and how a value's text shows them. A long is a double too; any other mixture is a string.
+VALUE_TYPES = {
+    "boolean": r"^(?i:true|false)$",
+    "long": r"^[+-]?[0-9]{1,18}$",
+    "double": r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$",
+    "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
+}
+
+
+def property_types(frame: DataFrame, name: str) -> DataFrame:
+    """The least type that holds every value of each property: ``name``, property, type, rows.
+
+    Expects properties MAP<STRING, STRING>. Rows counts values that are not null; a property without any has the type
+    ``null``. What is known of a property is one count for each type, so partial results of tasks, and of earlier
+    loads, merge by sums.
+    """
+    text = F.col("value")
+    kind = F.when(text.isNull(), "null")
+    for type_name, pattern in VALUE_TYPES.items():
+        kind = kind.when(text.rlike(pattern), type_name)
+    values = frame.select(name, F.explode("properties").alias("property", "value"))
+    values = values.select(name, "property", kind.otherwise("string").alias("kind"))
+
+    def times(*kinds: str) -> Column:
+        return F.count_if(F.col("kind").isin(*kinds))
+
+    counted = values.groupBy(name, "property").agg(
+        F.count_if(F.col("kind") != "null").alias("rows"),
+        *[times(k).alias(f"_{k}") for k in VALUE_TYPES],
+    )
+    least = F.when(F.col("rows") == 0, "null")
+    for type_name in VALUE_TYPES:
+        fits = F.col("_long") + F.col("_double") if type_name == "double" else F.col(f"_{type_name}")
+        least = least.when(fits == F.col("rows"), type_name)
+    return counted.select(name, "property", least.otherwise("string").alias("type"), "rows")
+
+
+def relation_patterns(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """How often each (label)-[type]->(label) occurs: source, type, target, rows; edges without both ends do not count.
+
+    Expects nodes (id, label), one row per id and label, and edges (src, dst, type). Edges are folded to (type, src, dst)
+    and, with the label of their end, to (type, src, label) before they are shuffled again, so a node with very many
+    edges is a few rows in the second join.
+    """
+    ends = nodes.select("id", "label")
+    folded = edges.groupBy("type", "src", "dst").agg(F.count(F.lit(1)).alias("rows"))
+    to = folded.join(ends.select(F.col("id").alias("dst"), F.col("label").alias("target")), "dst")
+    to = to.groupBy("type", "src", "target").agg(F.sum("rows").alias("rows"))
+    both = to.join(ends.select(F.col("id").alias("src"), F.col("label").alias("source")), "src")
+    return both.groupBy("source", "type", "target").agg(F.sum("rows").alias("rows"))
+
+
+def graph_schema(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Property types of labels and relations, and relation patterns, as (kind, source, name, target, rows).
+
+    ``node`` and ``relation`` rows have the label or relation type, the property and its type; ``pattern`` rows the label
+    of the start, the relation type and the label of the end. Expects nodes (id, label, properties MAP) and edges
+    (src, dst, type, properties MAP).
+    """
+
+    def shaped(frame: DataFrame, kind: str, *columns: str) -> DataFrame:
+        source, name, target = (F.col(c) for c in columns)
+        return frame.select(F.lit(kind).alias("kind"), source.alias("source"), name.alias("name"), target.alias("target"), "rows")
+
+    return union_all_by_name(
+        shaped(property_types(nodes, "label"), "node", "label", "property", "type"),
+        shaped(property_types(edges.withColumnRenamed("type", "of"), "of"), "relation", "of", "property", "type"),
+        shaped(relation_patterns(nodes, edges), "pattern", "source", "type", "target"),
+    )
+
+
 def union_all_by_name(*frames: DataFrame) -> DataFrame:
     result = frames[0]
     for frame in frames[1:]:

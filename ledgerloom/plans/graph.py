@@ -353,6 +353,53 @@ def graph_profile(t: Tables) -> DataFrame:
     return graph.graph_profile(nodes, edges)
 
 
+SCHEMA_VALUES_SQL = """
+    SELECT 'node' AS kind, c_mktsegment AS source, name, kind_of FROM (
+      SELECT c_mktsegment, 'nation' AS name, 'long' AS kind_of FROM customer
+      UNION ALL SELECT c_mktsegment, 'balance', CASE WHEN c_custkey % 3 = 0 THEN 'long' ELSE 'double' END FROM customer
+      UNION ALL SELECT c_mktsegment, 'mixed', CASE c_custkey % 3 WHEN 0 THEN 'boolean' WHEN 1 THEN 'long' ELSE 'string' END FROM customer
+      UNION ALL SELECT c_mktsegment, 'unset', NULL FROM customer)
+    UNION ALL SELECT 'node', 'ORDER_' || o_orderstatus, 'day', 'date' FROM orders
+    UNION ALL SELECT 'relation', 'PLACED', 'urgent', CASE WHEN o_orderkey % 2 = 0 THEN 'boolean' END FROM orders"""
+
+
+@query(
+    "graph_schema",
+    f"""WITH v AS ({SCHEMA_VALUES_SQL}),
+          k AS (SELECT kind, source, name, count(kind_of) AS rows, count(DISTINCT kind_of) AS kinds, min(kind_of) AS least, max(kind_of) AS most
+                FROM v GROUP BY ALL)
+        SELECT kind, source, name, CASE WHEN kinds = 0 THEN 'null' WHEN kinds = 1 THEN least
+               WHEN kinds = 2 AND least = 'double' AND most = 'long' THEN 'double' ELSE 'string' END AS target, rows FROM k
+        UNION ALL
+        SELECT 'pattern', c_mktsegment, 'PLACED', 'ORDER_' || o_orderstatus, count(*)
+        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL""",
+)
+def graph_schema(t: Tables) -> DataFrame:
+    key = F.col("c_custkey")
+    balance = F.when(key % 3 == 0, F.col("c_acctbal").cast("bigint").cast("string")).otherwise(F.col("c_acctbal").cast("string"))
+    mixed = F.when(key % 3 == 0, "true").when(key % 3 == 1, key.cast("string")).otherwise(F.col("c_name"))
+    people = t.customer.select(
+        F.concat(F.lit("c"), key).alias("id"),
+        F.col("c_mktsegment").alias("label"),
+        F.create_map(
+            F.lit("nation"), F.col("c_nationkey").cast("string"), F.lit("balance"), balance, F.lit("mixed"), mixed,
+            F.lit("unset"), F.lit(None).cast("string"),
+        ).alias("properties"),
+    )
+    placed = t.orders.select(
+        F.concat(F.lit("o"), "o_orderkey").alias("id"),
+        F.concat(F.lit("ORDER_"), "o_orderstatus").alias("label"),
+        F.create_map(F.lit("day"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("properties"),
+    )
+    edges = t.orders.select(
+        F.concat(F.lit("c"), "o_custkey").alias("src"),
+        F.concat(F.lit("o"), "o_orderkey").alias("dst"),
+        F.lit("PLACED").alias("type"),
+        F.create_map(F.lit("urgent"), F.when(F.col("o_orderkey") % 2 == 0, "false")).alias("properties"),
+    )
+    return graph.graph_schema(people.unionByName(placed), edges)
+
+
 @query(
     "vector_validation",
     """SELECT vec_id, CASE label WHEN 3 THEN 'wrong size' WHEN 4 THEN 'zero length' ELSE 'not a number' END AS reason

@@ -180,3 +180,31 @@ def test_a_hot_group_is_spread_over_tasks(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_graph_schema_of_mixed_and_missing_values(spark, rows):
+    nodes = spark.createDataFrame(
+        [
+            (1, "A", {"n": "1", "x": "-2", "b": "TRUE", "d": "2024-02-29", "m": "1"}),
+            (2, "A", {"n": "999999999999999999", "x": "2.5e3", "b": "false", "d": "2024-03-01", "m": "2024-03-01"}),
+            (3, "B", {"n": "1" * 19, "x": None, "e": ""}),
+            (4, "B", None),
+            (5, None, {"n": ".5"}),
+        ],
+        "id long, label string, properties map<string, string>",
+    )
+    edges = spark.createDataFrame(
+        [(1, 3, "T", {"w": "1"}), (1, 3, "T", {"w": "x"}), (2, 3, "T", None), (1, 2, "S", {}), (1, 9, "T", None), (None, 3, "T", None)],
+        "src long, dst long, type string, properties map<string, string>",
+    )
+    assert rows(graph.property_types(nodes, "label")) == sorted(
+        [
+            ("A", "b", "boolean", 2), ("A", "d", "date", 2), ("A", "m", "string", 2), ("A", "n", "long", 2), ("A", "x", "double", 2),
+            ("B", "e", "string", 1), ("B", "n", "double", 1), ("B", "x", "null", 0), (None, "n", "double", 1),
+        ],
+        key=repr,
+    )
+    assert rows(graph.relation_patterns(nodes, edges)) == [("A", "S", "A", 1), ("A", "T", "B", 3)]
+    found = rows(graph.graph_schema(nodes, edges))
+    assert ("relation", "T", "w", "string", 2) in found and ("pattern", "A", "T", "B", 3) in found and len(found) == 12
+    assert rows(graph.graph_schema(nodes.limit(0), edges.limit(0))) == []
