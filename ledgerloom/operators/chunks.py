@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,12 +38,22 @@ def fixed_pieces(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVER
 
 
 def recursive_pieces(size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, separators: tuple[str, ...] = SEPARATORS):
-    """Arrow-batched function: cut at the coarsest separator that works, then pack up to ``size``."""
-    from ledgerloom.operators.recursive_split import split_text
+    """Arrow-batched function: cut at the coarsest separator that works, then pack up to ``size``.
 
-    @F.pandas_udf("array<string>")
-    def pieces(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [] if t is None else split_text(t, size, overlap, separators))
+    Gives (start, text) for each piece; ``start`` counts characters from 0. A null text has no pieces.
+    """
+    from ledgerloom.operators.recursive_split import split_spans
+
+    @F.arrow_udf("array<struct<start: int, text: string>>")
+    def pieces(texts: pa.Array) -> pa.Array:
+        offsets, starts, cut = [0], [], []
+        for text in texts.to_pylist():
+            spans = split_spans(text, size, overlap, separators) if text else []
+            starts.extend(begin for begin, _ in spans)
+            cut.extend(text[begin:end] for begin, end in spans)
+            offsets.append(len(cut))
+        made = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(cut, pa.string())], ["start", "text"])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), made)
 
     return pieces
 
@@ -65,5 +75,9 @@ def chunk_recursive(
     size: int = CHUNK_SIZE,
     overlap: int = CHUNK_OVERLAP,
     separators: tuple[str, ...] = SEPARATORS,
+    start: str | None = None,
 ) -> DataFrame:
-    return chunk_sections(sections, recursive_pieces(size, overlap, separators)(F.col("text")))
+    """Chunks cut at natural breaks; ``start`` names a column for the place of each in its section's text."""
+    found = chunk_sections(sections, recursive_pieces(size, overlap, separators)(F.col("text")))
+    place = {start: F.col("text.start")} if start else {}
+    return found.withColumns({**place, "text": F.col("text.text")})

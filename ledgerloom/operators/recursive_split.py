@@ -1,55 +1,68 @@
-"""Cutting one text at natural breaks; the per-row helper of ``chunks.recursive_pieces``."""
+"""Cutting one text at natural breaks, by offsets; the per-row helper of ``chunks.recursive_pieces``."""
 
 from __future__ import annotations
 
-from collections import deque
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 
+Span = tuple[int, int]
+
 
 def split_text(text: str, size: int, overlap: int, separators: Sequence[str]) -> list[str]:
-    return list(_chunks(text, size, overlap, list(separators)))
+    return [text[begin:end] for begin, end in split_spans(text, size, overlap, separators)]
+
 
+def split_spans(text: str, size: int, overlap: int, separators: Sequence[str]) -> list[Span]:
+    """Where the chunks of a text begin and end. No part of the text is copied but a chunk at a time."""
+    return list(_cut(text, 0, len(text), size, overlap, list(separators)))
 
-def _chunks(text: str, size: int, overlap: int, separators: list[str]) -> Iterator[str]:
-    level = next((i for i, s in enumerate(separators) if not s or s in text), len(separators) - 1)
+
+def _cut(text: str, low: int, high: int, size: int, overlap: int, separators: list[str]) -> Iterator[Span]:
+    level = next((i for i, s in enumerate(separators) if not s or text.find(s, low, high) >= 0), len(separators) - 1)
     separator, finer = separators[level], separators[level + 1 :]
-    run: list[str] = []
-    for part in _parts(text, separator):
-        if len(part) < size:
-            run.append(part)
+    bounds = _bounds(text, low, high, separator)
+    if not separator and size > 1:
+        yield from _packed(text, bounds, size, overlap)
+        return
+    begin = 0
+    for n in range(len(bounds) - 1):
+        if bounds[n + 1] - bounds[n] < size:
             continue
-        yield from _packed(run, size, overlap)
-        run = []
+        yield from _packed(text, bounds[begin : n + 1], size, overlap)
         if finer:
-            yield from _chunks(part, size, overlap, finer)
+            yield from _cut(text, bounds[n], bounds[n + 1], size, overlap, finer)
         else:
-            yield part
-    yield from _packed(run, size, overlap)
+            yield bounds[n], bounds[n + 1]
+        begin = n + 1
+    yield from _packed(text, bounds[begin:], size, overlap)
 
 
-def _parts(text: str, separator: str) -> list[str]:
-    """Parts keep the separator in front of them."""
+def _bounds(text: str, low: int, high: int, separator: str) -> Sequence[int]:
+    """Where parts begin, and the end of the last one. Parts keep the separator in front of them."""
     if not separator:
-        return list(text)
-    first, *others = text.split(separator)
-    return [p for p in [first, *(separator + o for o in others)] if p]
-
-
-def _packed(parts: list[str], size: int, overlap: int) -> Iterator[str]:
-    """Greedy packing; each chunk begins with the last parts of the one before, up to ``overlap``."""
-    held: deque[str] = deque()
-    length = 0
-    for part in parts:
-        if held and length + len(part) > size:
-            yield from _stripped(held)
-            while held and (length > overlap or length + len(part) > size):
-                length -= len(held.popleft())
-        held.append(part)
-        length += len(part)
-    yield from _stripped(held)
-
-
-def _stripped(parts: deque[str]) -> Iterator[str]:
-    chunk = "".join(parts).strip()
-    if chunk:
-        yield chunk
+        return range(low, high + 1)
+    bounds, at = [low], text.find(separator, low, high)
+    while at >= 0:
+        if at > low:
+            bounds.append(at)
+        at = text.find(separator, at + len(separator), high)
+    return [*bounds, high] if high > low else bounds
+
+
+def _packed(text: str, bounds: Sequence[int], size: int, overlap: int) -> Iterator[Span]:
+    """Greedy packing of parts below ``size``; each chunk begins with the last parts of the one before, up to ``overlap``."""
+    first, last = 0, len(bounds) - 1
+    while first < last:
+        end = bisect_right(bounds, bounds[first] + size) - 1
+        yield from _stripped(text, bounds[first], bounds[end])
+        if end >= last:
+            return
+        first = bisect_left(bounds, max(bounds[end] - overlap, bounds[end + 1] - size), first)
+
+
+def _stripped(text: str, begin: int, end: int) -> Iterator[Span]:
+    chunk = text[begin:end]
+    begin += len(chunk) - len(chunk.lstrip())
+    end -= len(chunk) - len(chunk.rstrip())
+    if begin < end:
+        yield begin, end

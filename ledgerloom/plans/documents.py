@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from html.entities import name2codepoint
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas, session
@@ -195,21 +195,34 @@ def embed_chunks(t: Tables) -> DataFrame:
     return made.select("chunkId", F.array_join(whole, " ").alias("vector"))
 
 
+CHUNK_FAULTS = ("too_long", "not_in_text", "not_rising", "lost_text", "long_overlap")
+
+
 @query(
     "chunk_recursive_properties",
-    """SELECT doc_id, CAST(0 AS BIGINT) AS too_long, CAST(0 AS BIGINT) AS not_in_text, CAST(0 AS BIGINT) AS lost_letters
-       FROM documents WHERE trim(text, chr(32) || chr(10)) <> ''""",
+    f"""SELECT doc_id, {", ".join(f"CAST(0 AS BIGINT) AS {name}" for name in CHUNK_FAULTS)}
+        FROM documents WHERE trim(text, chr(32) || chr(10)) <> ''""",
 )
 def chunk_recursive_properties(t: Tables) -> DataFrame:
-    """Per document: pieces above the size, pieces that are no stretch of the text, letters that only the text has."""
-    pieces = chunks.chunk_recursive(S.document_sections(t))
-    joined = pieces.select(F.col("formId").cast("bigint").alias("doc_id"), F.col("text").alias("piece")).join(
-        t.documents.select("doc_id", "text"), "doc_id"
+    """Faults of each document's chunks: above the size, other than the text at their place, not after the chunk before,
+    text but white space that no chunk holds, overlaps above the limit."""
+    pieces = chunks.chunk_recursive(S.document_sections(t), start="start").select(
+        F.col("formId").cast("bigint").alias("doc_id"), "chunkSeqId", "start", (F.col("start") + F.length("text")).alias("end"), F.col("text").alias("piece")
     )
-    letters = F.array_distinct(F.split(F.regexp_replace("piece", r"\s", ""), ""))
-    of_text = F.array_distinct(F.split(F.regexp_replace(F.first("text"), r"\s", ""), ""))
-    return joined.groupBy("doc_id").agg(
-        F.count_if(F.length("piece") > chunks.CHUNK_SIZE).alias("too_long"),
-        F.count_if(~F.contains("text", "piece")).alias("not_in_text"),
-        F.size(F.array_except(of_text, F.array_distinct(F.flatten(F.collect_set(letters))))).cast("bigint").alias("lost_letters"),
+    in_order = Window.partitionBy("doc_id").orderBy("chunkSeqId")
+    placed = pieces.withColumns({"before": F.lag("start").over(in_order), "held": F.lag("end").over(in_order), "next": F.lead("start").over(in_order)})
+    joined = placed.join(t.documents.select("doc_id", "text"), "doc_id")
+
+    def stretch(begin, end):
+        return F.substr("text", begin + 1, F.greatest(end - begin, F.lit(0)))
+
+    lost = F.regexp_like(stretch(F.coalesce("held", F.lit(0)), F.col("start")), F.lit(r"\S"))
+    tail = F.col("next").isNull() & F.regexp_like(stretch(F.col("end"), F.length("text")), F.lit(r"\S"))
+    faults = (
+        F.length("piece") > chunks.CHUNK_SIZE,
+        stretch(F.col("start"), F.col("end")) != F.col("piece"),
+        F.col("start") <= F.col("before"),
+        lost | tail,
+        F.col("held") - F.col("start") > chunks.CHUNK_OVERLAP,
     )
+    return joined.groupBy("doc_id").agg(*[F.count_if(f).alias(name) for name, f in zip(CHUNK_FAULTS, faults)])

@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import chunks, sections
-from ledgerloom.operators.recursive_split import split_text
+from ledgerloom.operators.recursive_split import split_spans, split_text
 from ledgerloom.sources import files
 
 BODY = (
@@ -160,3 +160,15 @@ def test_recursive_chunks_run_in_batches(spark):
     got = chunks.chunk_recursive(section_frame(spark, texts)).collect()
     want = [c for t in texts for c in split_text(t, 2000, 200, list(chunks.SEPARATORS))]
     assert sorted(r.text for r in got) == sorted(want) and max(len(r.text) for r in got) <= 2000
+
+
+def test_recursive_chunks_say_where_they_begin(spark):
+    text = "é one two\n\nthree  " + "x" * 30 + " four"
+    got = chunks.chunk_recursive(section_frame(spark, [text]), 10, 3, start="start").orderBy("chunkSeqId").collect()
+    assert [text[r.start : r.start + len(r.text)] for r in got] == [r.text for r in got]
+    assert [r.start for r in got] == sorted(r.start for r in got) and got[0].start == 0
+
+
+def test_a_word_of_millions_of_letters_is_cut_by_arithmetic():
+    spans = split_spans("x" * 5_000_000, 2000, 200, chunks.SEPARATORS)
+    assert spans[:2] == [(0, 2000), (1800, 3800)] and spans[-1][1] == 5_000_000
