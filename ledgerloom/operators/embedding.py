@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +50,48 @@ def batch_embedder(fn: Callable[..., Column]) -> Embedder:
     return embed
 
 
+def model_embedder(load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = 100, most_waiting: int = 64) -> Embedder:
+    """Texts go to a model ``batch`` at a time, whatever the size of Arrow batches; ``load`` is called once a task.
+
+    Null texts never reach the model and have no vector. Only the last call of a task may be smaller, and one after
+    ``most_waiting`` Arrow batches that did not fill it, so that rows in waiting are bounded.
+    """
+    if batch < 1:
+        raise ValueError("batch must be at least 1")
+
+    @F.pandas_udf("array<float>")
+    def vectors(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = load()
+        waiting: deque[list] = deque()  # vectors of Arrow batches that are not complete, oldest first
+        texts: list[tuple[list, int, str]] = []
+
+        def call(size: int) -> None:
+            chosen = texts[:size]
+            del texts[:size]
+            for (made, at, _), vector in zip(chosen, model([text for *_, text in chosen]), strict=True):
+                made[at] = np.asarray(vector, dtype=np.float32)
+
+        def complete() -> Iterator[pd.Series]:
+            first_open = texts[0][0] if texts else None
+            while waiting and waiting[0] is not first_open:
+                yield pd.Series(waiting.popleft(), dtype=object)
+
+        for given in series:
+            made: list = [None] * len(given)
+            waiting.append(made)
+            texts.extend((made, at, text) for at, text in enumerate(given) if text is not None)
+            while len(texts) >= batch:
+                call(batch)
+            if texts and len(waiting) > most_waiting:
+                call(batch)
+            yield from complete()
+        if texts:
+            call(batch)
+        yield from complete()
+
+    return batch_embedder(vectors)
+
+
 def embed(frame: DataFrame, embedder: Embedder, text: str = "text", vector: str = "textEmbedding") -> DataFrame:
     """One vector per row, computed in the row itself; nothing is joined back."""
     return embedder(frame, text, vector)

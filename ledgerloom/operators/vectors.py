@@ -26,6 +26,8 @@ QUERY_SLICE = 256
 # Grid path: vectors per block on either side, so a cell's two blocks fit one task.
 GRID_QUERY_BLOCK = 4096
 GRID_CORPUS_BLOCK = 65536
+# Groups of tasks whose lists of best vectors are merged first, before the last rank.
+MERGE_NODES = 32
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
@@ -88,7 +90,18 @@ def usable(vectors: DataFrame, vector: str, dims: int) -> DataFrame:
     return vectors.filter(v.isNotNull() & good)
 
 
-def _pick_k(candidates: DataFrame, k: int) -> DataFrame:
+def _merged(candidates: DataFrame, k: int, nodes: int) -> DataFrame:
+    """The best ``k`` of each query in each of ``nodes`` groups of tasks."""
+    grouped = candidates.withColumn("_node", F.pmod(F.spark_partition_id(), F.lit(nodes)))
+    best = Window.partitionBy("query_id", "_node").orderBy(F.desc("cosine"), "id")
+    return grouped.withColumn("_place", F.row_number().over(best)).filter(F.col("_place") <= k).drop("_node", "_place")
+
+
+def _pick_k(candidates: DataFrame, k: int, nodes: int | None = None) -> DataFrame:
+    """The best ``k`` of each query. The lists of tasks are merged in two levels, so at most ``nodes`` lists of ``k`` meet in
+    one task for a query; a session of fewer cores than that has the last level only, unless ``nodes`` is given."""
+    if nodes or candidates.sparkSession.sparkContext.defaultParallelism > MERGE_NODES:
+        candidates = _merged(candidates, k, nodes or MERGE_NODES)
     best = Window.partitionBy("query_id").orderBy(F.desc("cosine"), "id")
     return (
         candidates.withColumn("rank", F.row_number().over(best))

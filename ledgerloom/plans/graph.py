@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import graph, quality, upsert
+from ledgerloom.operators import graph, key_sketch, quality, relink, upsert
 from ledgerloom.operators.bucket_store import BucketStore
 from ledgerloom.plans import standins as S
 from ledgerloom.plans.catalog import Tables, query
@@ -22,6 +22,42 @@ def next_edges(t: Tables) -> DataFrame:
     return graph.next_edges(S.document_chunks(t))
 
 
+# Lists are linked, then some chunks come and others go. Blocks are small, since sections of the tables are.
+LATE, GONE, LIST_BLOCK = "chunkSeqId % 11 = 3", "chunkSeqId % 13 = 5", 4
+
+
+@query(
+    "relinked_edges",
+    f"""WITH {S.CHUNKS_SQL} SELECT "formId", "f10kItem", "chunkId" AS src, nxt AS dst FROM (
+          SELECT "formId", "f10kItem", "chunkId",
+                 lead("chunkId") OVER (PARTITION BY "formId", "f10kItem" ORDER BY "chunkSeqId") AS nxt
+          FROM c WHERE NOT ("chunkSeqId" % 13 = 5)) WHERE nxt IS NOT NULL""",
+)
+def relinked_edges(t: Tables) -> DataFrame:
+    """Lists as they are after a change, from the lists before it."""
+    chunks = S.document_chunks(t).select("formId", "f10kItem", "chunkSeqId", "chunkId")
+    before = relink.linked(chunks.filter(f"NOT ({LATE})"), block_rows=LIST_BLOCK)
+    changed = chunks.filter(f"({LATE}) OR ({GONE})")
+    after = relink.relink(before, chunks.filter(f"NOT ({GONE})"), changed, block_rows=LIST_BLOCK)
+    return after.drop(relink.BLOCK)
+
+
+@query(
+    "load_violations",
+    """WITH b AS (SELECT l_partkey * 7 + l_linenumber AS key FROM lineitem)
+       SELECT key, count(*) AS rows FROM (SELECT key FROM b UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey IN (SELECT key FROM b))
+       GROUP BY key HAVING count(*) > 1""",
+)
+def load_violations(t: Tables) -> DataFrame:
+    """Keys of a batch that are not unique in it and the stored table, found by a sketch of the stored keys."""
+    stored, keys = t.orders.select(F.col("o_orderkey").alias("key")), ["key"]
+    blocks = key_sketch.blocks_for(stored.count())
+    path = work_folder(t.spark, "key-sketch")
+    key_sketch.sketch(stored, keys, blocks).write.parquet(path)
+    batch = t.lineitem.select((F.col("l_partkey") * 7 + F.col("l_linenumber")).alias("key"))
+    return key_sketch.load_violations(batch, stored, t.spark.read.parquet(path), keys, blocks)
+
+
 @query(
     "next_turns",
     """SELECT src, dst FROM (SELECT conv_id || '-' || turn AS src,
