@@ -323,3 +323,27 @@ def url_listing(t: Tables) -> DataFrame:
     )
     parsed = wrapped.withColumns({c: text.parse_list(F.col(c)) for c in ("names", "cusip")})
     return filings.listing(parsed).withColumns({c: F.array_join(c, ";") for c in ("names", "cusip")})
+
+
+# Every document as a landed file: German ones have another ending, French ones of an odd size a byte that is no UTF-8.
+LANDED_FAULT_SQL = "CASE WHEN coalesce(text, '') = '' AND NOT bad THEN 'empty file' WHEN bad THEN 'not UTF-8' END"
+
+
+@query(
+    "raw_files_roundtrip",
+    f"""WITH d AS (SELECT *, coalesce(lang = 'fr' AND n_chars % 2 = 1, false) AS bad FROM documents WHERE lang IS DISTINCT FROM 'de')
+        SELECT '_docs_' || doc_id || '.txt' AS file_name, {LANDED_FAULT_SQL} AS reason,
+               CASE WHEN {LANDED_FAULT_SQL} IS NULL THEN md5(regexp_replace(text, '\r\n?', chr(10), 'g')) END AS md5 FROM d""",
+)
+def raw_files_roundtrip(t: Tables) -> DataFrame:
+    """Files whose names begin with ``_``, written and read by the tasks, with the reason of those that cannot be read."""
+    bad = F.coalesce((F.col("lang") == "fr") & (F.col("n_chars") % 2 == 1), F.lit(False))
+    ending = F.when(F.col("lang") == "de", ".csv").otherwise(".txt")
+    content = F.coalesce("text", F.lit("")).cast("binary")
+    landed = t.documents.select(
+        F.concat(F.lit("_docs_"), F.col("doc_id").cast("string"), ending).alias("file_name"),
+        F.when(bad, F.concat(content, F.unhex(F.lit("FF")))).otherwise(content).alias("content"),
+    )
+    path = session.work_folder(t.spark, "landed")
+    files.write_raw_files(landed, path)
+    return files.landed_files(t.spark, path).select("file_name", "reason", F.md5(F.col("raw").cast("binary")).alias("md5"))

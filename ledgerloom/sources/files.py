@@ -64,37 +64,99 @@ def read_raw_files(spark: SparkSession, path: str, glob: str = "*.txt") -> DataF
     )
 
 
-def _list_folder(path: str, suffix: str):
-    store, folder = pafs.FileSystem.from_uri(path if "://" in path else Path(path).absolute().as_uri())
-    listed = store.get_file_info(pafs.FileSelector(folder))
-    return store, folder, [f for f in listed if f.type == pafs.FileType.File and f.base_name.endswith(suffix)]
+EMPTY, NOT_UTF8 = "empty file", "not UTF-8"
+LISTED = "path STRING, file_name STRING, size BIGINT"
+LANDED = "file_name STRING, size BIGINT, raw STRING, reason STRING"
+NAMES_A_BATCH = 10_000
+BYTES_A_BATCH = 4 << 20
+
+
+def _store(path: str) -> tuple[pafs.FileSystem, str]:
+    path = path.removeprefix("file:") if path.startswith("file:/") else path
+    return pafs.FileSystem.from_uri(path if "://" in path else Path(path).absolute().as_uri())
+
+
+def _listed(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """Names and sizes of the files of a folder, listed by a task and spread over the tasks that follow."""
+    store, folder = _store(path)
+
+    def names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = store.get_file_info(pafs.FileSelector(folder)) if len(batch) else []
+            rows = [(f.path, f.base_name, f.size) for f in found if f.type == pafs.FileType.File and f.base_name.endswith(suffix)]
+            for at in range(0, len(rows), NAMES_A_BATCH):
+                yield pd.DataFrame(rows[at : at + NAMES_A_BATCH], columns=["path", "file_name", "size"])
+
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return spark.range(0, 1, 1, 1).mapInPandas(names, LISTED).repartition(tasks, "path")
+
+
+def landed_files(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
+    """Every file of a folder whose name ends with ``suffix``, also ``_`` names: file_name, size, raw, reason.
+
+    Names never reach the driver: one task lists them, the tasks behind a shuffle of names open their files one at a
+    time. ``reason`` says why ``raw`` is null: an empty file, or bytes that are no UTF-8. A file that cannot be opened
+    fails its task, which Spark runs again.
+    """
+    store, _ = _store(path)
+
+    def read(row) -> tuple:
+        if not row.size:
+            return row.file_name, row.size, None, EMPTY
+        with store.open_input_stream(row.path) as stream:
+            content = stream.read()
+        try:
+            return row.file_name, len(content), content.decode("utf-8"), None
+        except UnicodeDecodeError:
+            return row.file_name, len(content), None, NOT_UTF8
+
+    def contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                held.append(read(row))
+                size += held[-1][1]
+                if size >= BYTES_A_BATCH or len(held) >= NAMES_A_BATCH:
+                    yield pd.DataFrame(held, columns=["file_name", "size", "raw", "reason"])
+                    held, size = [], 0
+        if held:
+            yield pd.DataFrame(held, columns=["file_name", "size", "raw", "reason"])
+
+    found = _listed(spark, path, suffix).mapInPandas(contents, LANDED)
+    return found.withColumn("raw", text.unix_newlines(F.col("raw")))
 
 
 def empty_files(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
     """Quarantine rows for files without content, which no file scan returns: file, stage, reason."""
-    rows = [(f.base_name, "parse", "empty file") for f in _list_folder(path, suffix)[2] if f.size == 0]
-    return spark.createDataFrame(rows, "file STRING, stage STRING, reason STRING")
+    empty = _listed(spark, path, suffix).filter(F.col("size") == 0)
+    return empty.select(F.col("file_name").alias("file"), F.lit("parse").alias("stage"), F.lit(EMPTY).alias("reason"))
+
+
+def unreadable_files(landed: DataFrame) -> DataFrame:
+    """Quarantine rows of :func:`landed_files`: file, stage, reason."""
+    bad = landed.filter(F.col("reason").isNotNull())
+    return bad.select(F.col("file_name").alias("file"), F.lit("parse").alias("stage"), "reason")
 
 
 def read_underscored_files(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
-    """As :func:`read_raw_files`, for a folder of files named after paths, which begin with ``_``.
+    """As :func:`read_raw_files`, for a folder of files named after paths, which begin with ``_``."""
+    return landed_files(spark, path, suffix).filter(F.col("reason").isNull()).select("file_name", "raw")
 
-    The driver lists names only, as it does for any file scan; the tasks open the files one at a time.
-    """
-    store, folder, listed = _list_folder(path, suffix)
-    names = [(f.base_name,) for f in listed]
-    tasks = max(1, min(len(names), spark.sparkContext.defaultParallelism * 4))
 
-    def contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def write_raw_files(frame: DataFrame, path: str) -> int:
+    """Rows (file_name, content) as one file each, written by the tasks; the number of files. A task that runs again writes
+    the same files again."""
+    store, folder = _store(path)
+
+    def written(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store.create_dir(folder, recursive=True)
         for batch in batches:
-            for name in batch["file_name"]:
-                with store.open_input_stream(f"{folder}/{name}") as stream:
-                    raw = stream.read().decode("utf-8", "replace")
-                yield pd.DataFrame({"file_name": [name], "raw": [raw]})
+            for row in batch.itertuples(index=False):
+                with store.open_output_stream(f"{folder}/{row.file_name}") as stream:
+                    stream.write(bytes(row.content))
+            yield pd.DataFrame({"files": [len(batch)]})
 
-    spread = spark.createDataFrame(names, "file_name STRING").repartition(tasks)
-    found = spread.mapInPandas(contents, "file_name STRING, raw STRING")
-    return found.withColumn("raw", text.unix_newlines(F.col("raw")))
+    return frame.select("file_name", "content").mapInPandas(written, "files BIGINT").agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
 
 
 def read_filing_history(spark: SparkSession, path: str) -> DataFrame:

@@ -98,6 +98,20 @@ def test_files_named_after_paths(spark, tmp_path, rows):
     assert rows(files.read_underscored_files(spark, str(tmp_path))) == [("_Archives_a.txt", "x\ny"), ("_Archives_b.txt", "é")]
 
 
+def test_landed_files_come_with_a_reason_if_unreadable(spark, tmp_path, rows):
+    frame = spark.createDataFrame([("_a.txt", b"x\r\ny"), ("b.txt", b""), ("_c.txt", b"\xff"), ("d.csv", b"z")], "file_name string, content binary")
+    assert files.write_raw_files(frame, str(tmp_path)) == 4 == files.write_raw_files(frame, f"file:{tmp_path}")
+    landed = files.landed_files(spark, str(tmp_path))
+    assert rows(landed) == [("_a.txt", 4, "x\ny", None), ("_c.txt", 1, None, "not UTF-8"), ("b.txt", 0, None, "empty file")]
+    assert rows(files.unreadable_files(landed)) == [("_c.txt", "parse", "not UTF-8"), ("b.txt", "parse", "empty file")]
+    assert rows(files.read_underscored_files(spark, str(tmp_path))) == [("_a.txt", "x\ny")]
+
+
+def test_an_empty_folder_has_no_files(spark, tmp_path):
+    assert files.landed_files(spark, str(tmp_path)).count() == 0
+    assert files.write_raw_files(spark.createDataFrame([], "file_name string, content binary"), str(tmp_path / "new")) == 0
+
+
 def test_url_table_meets_on_the_number_of_the_cik(spark, rows):
     companies = spark.createDataFrame([("0000000007", "c1"), ("8", "c2"), ("x", "c3")], "cik string, cusip6 string")
     listed = [
