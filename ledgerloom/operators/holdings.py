@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions import ids, values
-from ledgerloom.functions.bind import computed_once
+from ledgerloom.functions.bind import computed_once, let
 
 # A holding is kept if its share type is this and its title holds one of these words.
 SHARE_TYPE = "SH"
@@ -90,12 +90,18 @@ def holding_lines(submissions: DataFrame, keep_failed: bool = False) -> DataFram
     )
 
 
-def is_common_stock(share_type: str = SHARE_TYPE, words: tuple[str, ...] = STOCK_WORDS) -> Column:
+def is_common_stock(
+    share_type: str = SHARE_TYPE,
+    words: tuple[str, ...] = STOCK_WORDS,
+    kind: Column | str = "shareType",
+    title: Column | str = "title",
+) -> Column:
     """Exact share type, and a title that holds any word (case matters)."""
+    kind, title = (F.col(c) if isinstance(c, str) else c for c in (kind, title))
     any_word = F.lit(False)
     for word in words:
-        any_word = any_word | F.contains(F.col("title"), F.lit(word))
-    return (F.col("shareType") == share_type) & any_word
+        any_word = any_word | F.contains(title, F.lit(word))
+    return (kind == share_type) & any_word
 
 
 def security_filter(
@@ -105,8 +111,9 @@ def security_filter(
     drop_zero_cusip: bool = False,
 ) -> DataFrame:
     """Common stock only; a line whose type or title is missing is not known to be any."""
-    kept = lines.filter(is_common_stock(share_type, words))
-    return kept.filter(F.col("cusip") != NO_SECURITY) if drop_zero_cusip else kept
+    # One filter: of two in a row the optimizer loses a column of parsed filings.
+    kept = is_common_stock(share_type, words)
+    return lines.filter(kept & (F.col("cusip") != NO_SECURITY) if drop_zero_cusip else kept)
 
 
 def missing_part(lines: DataFrame) -> Column:
@@ -200,6 +207,79 @@ def rollup(holdings: DataFrame, order_by: tuple[str, ...] = ("companyName",)) ->
     )
 
 
+def rollup_filings(
+    raw: DataFrame,
+    share_type: str = SHARE_TYPE,
+    words: tuple[str, ...] = STOCK_WORDS,
+    compat: bool = False,
+    drop_zero_cusip: bool = False,
+) -> DataFrame:
+    """``rollup(holdings_from_xml(raw), ("line",))`` without a shuffle, for raw files that each have their own source.
+
+    A filing is one row, so its lines are sorted by security, cut where the security changes and folded in the row,
+    in time that grows as a sort of them does.
+    """
+    page = "cover.formData.coverPage"
+
+    def typed(line: Column, at: Column) -> Column:
+        return F.struct(
+            F.upper(line["cusip"]).alias("cusip"),
+            at.alias("line"),
+            ids.cusip6(line["cusip"]).alias("cusip6"),
+            line["nameOfIssuer"].alias("companyName"),
+            values.scaled_value(line["value"], compat).alias("value"),
+            line["shrsOrPrnAmt"]["sshPrnamt"].try_cast("bigint").alias("shares"),
+        )
+
+    def wanted(line: Column) -> Column:
+        kept = is_common_stock(share_type, words, line["shrsOrPrnAmt"]["sshPrnamtType"], line["titleOfClass"])
+        return kept & (line["cusip"] != NO_SECURITY) if drop_zero_cusip else kept
+
+    def usable(line: Column) -> Column:
+        return line["cusip"].isNotNull() & line["value"].isNotNull() & line["shares"].isNotNull()
+
+    def total(lines: Column, name: str, kind: str) -> Column:
+        return F.aggregate(lines, F.lit(0).cast(kind), lambda sum_, line: (sum_ + line[name]).cast(kind)).alias(name)
+
+    def folded(lines: Column) -> Column:
+        names = F.filter(F.transform(lines, lambda line: line["companyName"]), lambda name: name.isNotNull())
+        return F.struct(
+            lines[0]["cusip6"].alias("cusip6"),
+            lines[0]["cusip"].alias("cusip"),
+            F.get(names, F.lit(0)).alias("companyName"),
+            total(lines, "value", "double" if compat else "decimal(38,6)"),
+            total(lines, "shares", "bigint"),
+        )
+
+    def securities(lines: Column) -> Column:
+        first = F.filter(
+            F.transform(lines, lambda line, at: F.when((at == 0) | (line["cusip"] != F.get(lines, at - 1)["cusip"]), at)),
+            lambda at: at.isNotNull(),
+        )
+
+        def cut(starts: Column) -> Column:
+            end = lambda n: F.coalesce(F.get(starts, n + 1), F.size(lines))
+            return F.transform(starts, lambda at, n: let(F.slice(lines, at + 1, end(n) - at), folded))
+
+        return let(first, cut)
+
+    lines = F.filter(F.transform(F.filter("holdings.infoTable", wanted), typed), usable)
+    filings = (
+        parse_submissions(raw)
+        .filter(F.col("reason").isNull())
+        .select(
+            ids.source_from_file_name(F.col("file_name")).alias("source"),
+            F.col("cover.headerData.filerInfo.filer.credentials.cik").alias("managerCik"),
+            F.array_join(F.map_values(f"{page}.filingManager.address"), ", ").alias("managerAddress"),
+            F.col(f"{page}.filingManager.name").alias("managerName"),
+            values.parse_period(F.col(f"{page}.reportCalendarOrQuarter")).alias("reportCalendarOrQuarter"),
+            let(F.array_sort(lines), securities).alias("securities"),
+        )
+    )
+    of_filing = [c for c in ROLLUP_KEYS if c in filings.columns]
+    return filings.dropna(subset=of_filing).select(*of_filing, F.inline("securities")).select(*ROLLUP_KEYS, "companyName", "value", "shares")
+
+
 def period_counts(holdings: DataFrame) -> DataFrame:
     return (
         holdings.groupBy("reportCalendarOrQuarter")

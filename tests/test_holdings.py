@@ -200,3 +200,31 @@ def test_files_that_arrive_later_add_up(spark, tmp_path, rows):
     columns = [c for c in whole.columns if c != "value"] + [F.col("value").cast("double")]
     assert rows(incremental.read_rollup(spark, store), *columns) == rows(whole, *columns)
     assert whole.count() == 2
+
+
+def test_roll_up_in_the_row_equals_the_one_over_lines(spark, raw, rows, tmp_path_factory):
+    import random
+
+    choose = random.Random(3)
+    lines = [
+        line(
+            cusip=choose.choice(["037833100", "g1234567x", "G1234567X", "000378331", "000000000"]), value=choose.choice(["1", "2 500", "0.125", "n/a"]),
+            shares=choose.choice(["1", "7", "1.5"]), kind=choose.choice(["SH", "SH", "PRN"]), name=choose.choice(["B", "A", "C"]),
+        )
+        for _ in range(300)
+    ]
+    folder = tmp_path_factory.mktemp("many")
+    (folder / "many_1.txt").write_text(submission(*lines))
+    (folder / "many_2.txt").write_text(submission(line(title="NOTE")))
+    many = files.read_raw_files(spark, str(folder))
+    for settings in ({}, {"compat": True}, {"drop_zero_cusip": True}):
+        for frame in (raw, many):
+            want = holdings.rollup(holdings.holdings_from_xml(frame, **settings), ("line",))
+            got = holdings.rollup_filings(frame, **settings)
+            assert got.schema.simpleString() == want.schema.simpleString()
+            assert rows(got) == rows(want) != []
+    assert holdings.rollup_filings(many.limit(0)).count() == 0
+
+
+def test_nothing_is_shuffled_between_parse_and_roll_up(raw):
+    assert "Exchange" not in holdings.rollup_filings(raw)._jdf.queryExecution().executedPlan().toString()
