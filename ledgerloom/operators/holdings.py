@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.functions import ids, values
 from ledgerloom.functions.bind import computed_once, let
+from ledgerloom.functions.plain_xml import read_plain
 
 # A holding is kept if its share type is this and its title holds one of these words.
 SHARE_TYPE = "SH"
@@ -33,16 +34,22 @@ def parse_submissions(raw: DataFrame) -> DataFrame:
 
     ``reason`` is null for a file that parsed; see :func:`parse_failures`.
     """
-    blocks = F.split("raw", "<XML>")
 
     def block(n: int) -> Column:
-        return F.btrim(F.substring_index(F.get(blocks, F.lit(n)), "</XML>", 1), F.lit(" \t\r\n"))
+        return F.get(F.split(F.get("_blocks", F.lit(n)), "</XML>", 2), F.lit(0))
 
+    def parsed_by_spark(document: str, schema: str) -> Column:
+        return F.from_xml(F.btrim(document, F.lit(" \t\r\n")), schema, XML_OPTIONS)
+
+    # Each step is a generator, so the next one reads its values and does not compute them again.
+    blocks = computed_once(raw.select("file_name", "raw"), _blocks=F.split("raw", "<XML>")).drop("raw")
+    blocks = computed_once(blocks, _cover=block(1), _table=block(2)).drop("_blocks")
+    plain = read_plain(blocks, "_cover", "_table", "_plain_cover", "_plain_table")
     parsed = computed_once(
-        raw.select("file_name", "raw"),
-        cover=F.from_xml(block(1), schemas.COVER_XML, XML_OPTIONS),
-        holdings=F.from_xml(block(2), schemas.TABLE_XML, XML_OPTIONS),
-    ).drop("raw")
+        plain,
+        cover=F.coalesce("_plain_cover", parsed_by_spark("_cover", schemas.COVER_XML)),
+        holdings=F.coalesce("_plain_table", parsed_by_spark("_table", schemas.TABLE_XML)),
+    ).select("file_name", "cover", "holdings")
     reason = (
         F.when(F.col("cover").isNull(), "no cover page")
         .when(F.col("cover._corrupt_record").isNotNull(), "broken cover page")
@@ -264,16 +271,17 @@ def rollup_filings(
         return let(first, cut)
 
     lines = F.filter(F.transform(F.filter("holdings.infoTable", wanted), typed), usable)
+    parsed = parse_submissions(raw).filter(F.col("reason").isNull())
+    # Made by a generator: of a plain column, the filter that Spark puts before ``inline`` computes all of it again.
     filings = (
-        parse_submissions(raw)
-        .filter(F.col("reason").isNull())
+        computed_once(parsed, securities=let(F.array_sort(lines), securities))
         .select(
             ids.source_from_file_name(F.col("file_name")).alias("source"),
             F.col("cover.headerData.filerInfo.filer.credentials.cik").alias("managerCik"),
             F.array_join(F.map_values(f"{page}.filingManager.address"), ", ").alias("managerAddress"),
             F.col(f"{page}.filingManager.name").alias("managerName"),
             values.parse_period(F.col(f"{page}.reportCalendarOrQuarter")).alias("reportCalendarOrQuarter"),
-            let(F.array_sort(lines), securities).alias("securities"),
+            "securities",
         )
     )
     of_filing = [c for c in ROLLUP_KEYS if c in filings.columns]
