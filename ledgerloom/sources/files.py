@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from itertools import islice
 from pathlib import Path
 
 import pandas as pd
@@ -76,16 +78,28 @@ def _store(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path if "://" in path else Path(path).absolute().as_uri())
 
 
+def _entries(store: pafs.FileSystem, folder: str, suffix: str) -> Iterator[tuple[str, str, int]]:
+    """Path, name and size of each file of a folder. A mounted folder is read entry by entry; other stores give one list."""
+    if isinstance(store, pafs.LocalFileSystem):
+        with os.scandir(folder) as entries:
+            for e in entries:
+                if e.name.endswith(suffix) and e.is_file():
+                    yield e.path, e.name, e.stat().st_size
+        return
+    for f in store.get_file_info(pafs.FileSelector(folder)):
+        if f.type == pafs.FileType.File and f.base_name.endswith(suffix):
+            yield f.path, f.base_name, f.size
+
+
 def _listed(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     """Names and sizes of the files of a folder, listed by a task and spread over the tasks that follow."""
     store, folder = _store(path)
 
     def names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = store.get_file_info(pafs.FileSelector(folder)) if len(batch) else []
-            rows = [(f.path, f.base_name, f.size) for f in found if f.type == pafs.FileType.File and f.base_name.endswith(suffix)]
-            for at in range(0, len(rows), NAMES_A_BATCH):
-                yield pd.DataFrame(rows[at : at + NAMES_A_BATCH], columns=["path", "file_name", "size"])
+            rows = _entries(store, folder, suffix) if len(batch) else iter(())
+            while some := list(islice(rows, NAMES_A_BATCH)):
+                yield pd.DataFrame(some, columns=["path", "file_name", "size"])
 
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     return spark.range(0, 1, 1, 1).mapInPandas(names, LISTED).repartition(tasks, "path")

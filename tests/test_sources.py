@@ -157,3 +157,17 @@ def test_stream_reads_a_table_of_many_files(spark, tmp_path):
     got = incremental.incremental_holdings(Tables(spark, str(tmp_path)))
     want = holdings.holdings_rollup(Tables(spark, folder))
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) != []
+
+
+def test_a_mounted_folder_is_listed_entry_by_entry(tmp_path, monkeypatch):
+    for n in range(3):
+        (tmp_path / f"_{n}.txt").write_text("x" * n)
+    (tmp_path / "sub.txt").mkdir()
+    store, folder = files._store(str(tmp_path))
+
+    class Whole:
+        def __init__(self, *_):
+            raise AssertionError("the whole folder is listed at once")
+
+    monkeypatch.setattr(files.pafs, "FileSelector", Whole)
+    assert sorted((name, size) for _, name, size in files._entries(store, folder, ".txt")) == [("_0.txt", 0), ("_1.txt", 1), ("_2.txt", 2)]
