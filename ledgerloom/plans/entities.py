@@ -203,7 +203,10 @@ def mention_edges(t: Tables) -> DataFrame:
 def incremental_mentions(t: Tables) -> DataFrame:
     """Mentions from a stream of extracted nodes in four arrivals: places first, then all of them, some twice."""
     folder = session.work_folder(t.spark, "mentions")
-    nodes = entities.extracted_nodes(extractions(t), "documentId").select("documentId", "label", "entityId")
+    # Every arrival reads it, so the extraction is cleaned once and stored.
+    extracted = entities.extracted_nodes(extractions(t), "documentId").select("documentId", "label", "entityId")
+    extracted.write.parquet(f"{folder}/extracted")
+    nodes = t.spark.read.parquet(f"{folder}/extracted")
     arrivals = [("label = 'Tradeplace'", CREATED)] + [(f"documentId % 2 = {k}", UPDATED) for k in (0, 1, 0)]
     for rows, stamp in arrivals:
         nodes.where(rows).withColumn("at", F.lit(stamp)).write.mode("append").parquet(f"{folder}/arriving")
