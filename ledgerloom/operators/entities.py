@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ledgerloom import schemas
 from ledgerloom.functions import text
@@ -19,9 +20,8 @@ REL_KEYS = ["srcLabel", "src", "type", "dstLabel", "dst"]
 
 def read_extractions(stored: DataFrame, json_column: str = "extraction") -> DataFrame:
     """Stored model output as JSON text -> ``graph``; text that does not parse gives a null graph."""
-    return stored.withColumn(
-        "graph", F.from_json(json_column, schemas.EXTRACTED_GRAPH, {"mode": "PERMISSIVE"})
-    ).drop(json_column)
+    # Without options Spark reads only the fields of the graph that are asked for.
+    return stored.withColumn("graph", F.from_json(json_column, schemas.EXTRACTED_GRAPH)).drop(json_column)
 
 
 def extraction_failures(stored: DataFrame, doc: str, json_column: str = "extraction") -> DataFrame:
@@ -45,25 +45,49 @@ def _label(node: Column) -> Column:
     return cleaned_label(node["type"])
 
 
-def extracted_nodes(extractions: DataFrame, doc: str) -> DataFrame:
-    """One cleaned row per extracted node: doc, docOrder, nodeOrder, label, entityId, properties."""
-    nodes = extractions.select(doc, "docOrder", F.posexplode("graph.nodes").alias("nodeOrder", "n"))
+def _exploded(extractions: DataFrame, part: str, order: str, name: str) -> DataFrame:
+    """One row per element of a part of ``graph``, the last column of the frame.
+
+    Spark filters what it explodes by size first, which would read the text again for each filter.
+    """
+    listed = computed_once(extractions, _listed=F.col(f"graph.{part}")).drop("graph")
+    return listed.select(*listed.columns[:-1], F.posexplode("_listed").alias(order, name))
+
+
+def extracted_nodes(extractions: DataFrame, doc: str, listed: bool = False) -> DataFrame:
+    """One cleaned row per extracted node: doc, docOrder, nodeOrder, label, entityId, properties.
+
+    With ``listed``, properties stay the list they are in the extraction, for a merge that cleans those it keeps.
+    """
+    nodes = _exploded(extractions.select(doc, "docOrder", "graph"), "nodes", "nodeOrder", "n")
     # Keys are filtered on; properties are only carried, so they stay prunable.
     keyed = computed_once(nodes, label=_label(F.col("n")), entityId=text.title_case(F.col("n.entityId")))
-    return keyed.withColumn("properties", text.property_map(F.col("n.properties"))).drop("n")
+    return _with_properties(keyed, F.col("n.properties"), listed).drop("n")
 
 
-def extracted_rels(extractions: DataFrame) -> DataFrame:
-    """One cleaned row per extracted relation."""
+def extracted_rels(extractions: DataFrame, listed: bool = False) -> DataFrame:
+    """One cleaned row per extracted relation; ``listed`` as in :func:`extracted_nodes`."""
     keyed = computed_once(
-        extractions.select("docOrder", F.posexplode("graph.rels").alias("relOrder", "r")),
+        _exploded(extractions.select("docOrder", "graph"), "rels", "relOrder", "r"),
         srcLabel=_label(F.col("r.source")),
         src=text.title_case(F.col("r.source.entityId")),
         type=text.relation_type(F.col("r.type")),
         dstLabel=_label(F.col("r.target")),
         dst=text.title_case(F.col("r.target.entityId")),
     )
-    return keyed.withColumn("properties", text.property_map(F.col("r.properties"))).drop("r")
+    return _with_properties(keyed, F.col("r.properties"), listed).drop("r")
+
+
+def _with_properties(frame: DataFrame, properties: Column, listed: bool = False) -> DataFrame:
+    return frame.withColumn("properties", properties if listed else text.property_map(properties))
+
+
+def _merged_first(existing: DataFrame, batch: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+    """First wins. Listed properties are cleaned behind the fold, so once for each key and not for each record."""
+    folded = merge.fold_batch(batch, keys, order_by, merge.FIRST)
+    if isinstance(batch.schema["properties"].dataType, ArrayType):
+        folded = _with_properties(folded, F.col("properties"))
+    return merge.merge_folded(existing, folded, keys, merge.FIRST)
 
 
 def allowed(nodes: DataFrame, labels: list[str] | None = None) -> DataFrame:
@@ -98,24 +122,26 @@ def merge_entities(existing: DataFrame, nodes: DataFrame, rels: DataFrame | None
     """
     batch = nodes.select(*ENTITY_KEYS, "properties", "docOrder", "nodeOrder", F.lit(0).alias("bare"))
     if rels is not None:
+        kind = nodes.schema["properties"].dataType
+        none = F.lit(None).cast(kind) if isinstance(kind, ArrayType) else F.expr("CAST(map() AS MAP<STRING, STRING>)")
         both = [
             F.struct(F.col(label).alias("label"), F.col(end).alias("entityId"))
             for label, end in (("srcLabel", "src"), ("dstLabel", "dst"))
         ]
         ends = rels.select(
             F.inline(F.array(*both)),
-            F.expr("CAST(map() AS MAP<STRING, STRING>)").alias("properties"),
+            none.alias("properties"),
             "docOrder",
             F.lit(0).alias("nodeOrder"),
             F.lit(1).alias("bare"),
         )
         batch = batch.unionByName(ends)
-    return merge.upsert(existing, batch, ENTITY_KEYS, ["docOrder", "bare", "nodeOrder"], merge.FIRST)
+    return _merged_first(existing, batch, ENTITY_KEYS, ["docOrder", "bare", "nodeOrder"])
 
 
 def merge_relations(existing: DataFrame, rels: DataFrame) -> DataFrame:
     """Relations by (source, type, target): properties are written once, by the first extraction."""
-    return merge.upsert(existing, rels, REL_KEYS, ["docOrder", "relOrder"], merge.FIRST)
+    return _merged_first(existing, rels, REL_KEYS, ["docOrder", "relOrder"])
 
 
 def merge_mentions(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,3 +54,15 @@ def spread(frame: DataFrame) -> DataFrame:
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
     return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
+TASK_ROWS = 100_000
+
+
+def dealt(frame: DataFrame, rows: int) -> DataFrame:
+    """Rows dealt evenly to tasks of some ``TASK_ROWS``, but to every core, where ``rows`` is about their number.
+
+    For work that is heavy per row behind a join: joined rows are small, so they come in few partitions however many
+    they are, and one key may hold many of them.
+    """
+    return frame.repartition(max(frame.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / TASK_ROWS)))

@@ -13,7 +13,7 @@ from ledgerloom import session
 from ledgerloom.functions import text
 from ledgerloom.operators import entities
 from ledgerloom.operators.bucket_store import BucketStore
-from ledgerloom.plans.catalog import Tables, query, spread
+from ledgerloom.plans.catalog import Tables, dealt, query
 from ledgerloom.streaming import merges
 
 CREATED, UPDATED = "2023-01-01 00:00:00", "2024-06-01 12:00:00"
@@ -60,12 +60,15 @@ def stored(t: Tables) -> DataFrame:
         F.lit(None).cast("array<struct<key: string, value: string>>").alias("properties"),
     )
     graph = F.struct(F.array(customer, nation).alias("nodes"), F.array(located, within).alias("rels"))
+    orders = t.orders
     joined = (
-        spread(t.orders)
-        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(
+            "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "c_name", "c_mktsegment", "n_name", "n_regionkey"
+        )
     )
-    return joined.select(
+    return dealt(joined, orders.count()).select(
         F.col("o_orderkey").alias("documentId"), F.col("o_orderkey").alias("docOrder"), F.to_json(graph).alias("extraction")
     )
 
@@ -151,7 +154,7 @@ def entity_nodes(t: Tables) -> DataFrame:
 def entity_nodes_with_ends(t: Tables) -> DataFrame:
     found = extractions(t)
     merged = entities.merge_entities(
-        existing_entities(t), entities.extracted_nodes(found, "documentId"), entities.extracted_rels(found)
+        existing_entities(t), entities.extracted_nodes(found, "documentId", listed=True), entities.extracted_rels(found)
     )
     return merged.withColumn("properties", as_text())
 
