@@ -77,6 +77,13 @@ def extractions(t: Tables) -> DataFrame:
     return entities.read_extractions(stored(t))
 
 
+def stored_mentions(t: Tables, folder: str) -> DataFrame:
+    """Documents and the entities they name, cleaned once and stored, for queries that read them more than once."""
+    extracted = entities.extracted_nodes(extractions(t), "documentId").select("documentId", "label", "entityId")
+    extracted.write.parquet(f"{folder}/extracted")
+    return t.spark.read.parquet(f"{folder}/extracted")
+
+
 _TITLE_SQL = (
     "array_to_string(list_transform(string_split({x}, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
 )
@@ -180,7 +187,7 @@ def entity_rels(t: Tables) -> DataFrame:
                AS "creationTime", '{UPDATED}' AS "lastUpdateDate" FROM m""",
 )
 def mention_edges(t: Tables) -> DataFrame:
-    nodes = entities.extracted_nodes(extractions(t), "documentId")
+    nodes = stored_mentions(t, session.work_folder(t.spark, "mention-edges"))
     created = F.lit(CREATED).cast("timestamp")
     # Mentions of places exist from an earlier run.
     old = nodes.filter(F.col("label") == "Tradeplace").select(
@@ -206,10 +213,7 @@ def mention_edges(t: Tables) -> DataFrame:
 def incremental_mentions(t: Tables) -> DataFrame:
     """Mentions from a stream of extracted nodes in four arrivals: places first, then all of them, some twice."""
     folder = session.work_folder(t.spark, "mentions")
-    # Every arrival reads it, so the extraction is cleaned once and stored.
-    extracted = entities.extracted_nodes(extractions(t), "documentId").select("documentId", "label", "entityId")
-    extracted.write.parquet(f"{folder}/extracted")
-    nodes = t.spark.read.parquet(f"{folder}/extracted")
+    nodes = stored_mentions(t, folder)  # every arrival reads it
     arrivals = [("label = 'Tradeplace'", CREATED)] + [(f"documentId % 2 = {k}", UPDATED) for k in (0, 1, 0)]
     for rows, stamp in arrivals:
         nodes.where(rows).withColumn("at", F.lit(stamp)).write.mode("append").parquet(f"{folder}/arriving")

@@ -101,3 +101,22 @@ def test_properties_are_cleaned_behind_the_fold(spark, stored):
 @pytest.mark.parametrize("name", ["entity_nodes_with_ends"])
 def test_registered_merges_clean_properties_behind_the_fold(spark, tmp_path, name):
     assert cleaned_behind_the_fold(getattr(plan, name)(tables(spark, tmp_path)))
+
+
+def test_mention_edges_read_the_extraction_once(spark, tmp_path, monkeypatch):
+    spark.range(4).select(F.col("id").alias("o_orderkey")).write.parquet(f"{tmp_path}/orders.parquet")
+    seen = spark.sparkContext.accumulator(0)
+
+    def label(k):
+        seen.add(1)
+        return "Tradeplace" if k % 2 else "Building"
+
+    made = F.udf(label).asNondeterministic()
+    named = spark.range(4).select(F.col("id").alias("documentId"), made("id").alias("label"), F.lit("x").alias("entityId"))
+    monkeypatch.setattr(plan, "extractions", lambda t: None)
+    monkeypatch.setattr(plan.entities, "extracted_nodes", lambda frame, doc: named)
+    got = plan.mention_edges(Tables(spark, str(tmp_path))).collect()
+    assert sorted((r.src, r.label, r.creationTime[:4]) for r in got) == [
+        (0, "Building", "2024"), (1, "Tradeplace", "2023"), (2, "Building", "2024"), (3, "Tradeplace", "2023")
+    ]
+    assert seen.value == 4
