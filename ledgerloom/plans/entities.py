@@ -146,7 +146,7 @@ def property_keys(t: Tables) -> DataFrame:
         FROM e FULL JOIN n ON e.label = n.label AND e."entityId" = n."entityId" """,
 )
 def entity_nodes(t: Tables) -> DataFrame:
-    nodes = entities.extracted_nodes(extractions(t), "documentId")
+    nodes = entities.extracted_nodes(extractions(t), "documentId", listed=True)
     merged = entities.merge_entities(existing_entities(t), nodes)
     return merged.withColumn("properties", as_text())
 
@@ -174,8 +174,9 @@ def entity_nodes_with_ends(t: Tables) -> DataFrame:
         UNION ALL SELECT DISTINCT 'Tradeplace', nation, 'PART_OF', 'Region', region, '' FROM o""",
 )
 def entity_rels(t: Tables) -> DataFrame:
-    rels = entities.extracted_rels(extractions(t))
-    none = t.spark.createDataFrame([], rels.drop("docOrder", "relOrder").schema)
+    rels = entities.extracted_rels(extractions(t), listed=True)
+    keys = ", ".join(f"{key} string" for key in entities.REL_KEYS)
+    none = t.spark.createDataFrame([], f"{keys}, properties map<string, string>")
     return entities.merge_relations(none, rels).withColumn("properties", as_text())
 
 

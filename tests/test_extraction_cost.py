@@ -98,7 +98,7 @@ def test_properties_are_cleaned_behind_the_fold(spark, stored):
     assert cleaned_behind_the_fold(entities.merge_entities(spark.createDataFrame([], NONE), nodes))
 
 
-@pytest.mark.parametrize("name", ["entity_nodes_with_ends"])
+@pytest.mark.parametrize("name", ["entity_nodes", "entity_nodes_with_ends", "entity_rels"])
 def test_registered_merges_clean_properties_behind_the_fold(spark, tmp_path, name):
     assert cleaned_behind_the_fold(getattr(plan, name)(tables(spark, tmp_path)))
 
