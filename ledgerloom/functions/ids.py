@@ -48,7 +48,7 @@ def source_from_file_name(file_name: Column) -> Column:
 
     Paths that held ``_`` do not come back; keep a mapping column then.
     """
-    return F.concat(F.lit(f"{ARCHIVE_ROOT}/"), F.ltrim(F.translate(file_name, "_", "/"), F.lit("/")))
+    return F.concat(F.lit(f"{ARCHIVE_ROOT}/"), F.ltrim(F.replace(file_name, F.lit("_"), F.lit("/")), F.lit("/")))
 
 
 def cusip6(cusip: Column) -> Column:

@@ -13,10 +13,10 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.bind import computed_once, let
+from ledgerloom.functions.bind import computed_once
 
-# XML has no control characters, so they tell the parts of a result apart.
-PART, BEGIN, END = "\x01", "\x02", "\x03"
+# Texts that fit have no control characters, so one of them ends every part of a result.
+PART = "\x01"
 
 
 def _chars(chars: str) -> str:
@@ -29,8 +29,10 @@ _LETTERS = "".join(c for c in _PRINTED if c.isalpha())
 _TEXT = "".join(c for c in _PRINTED if c not in "<>&")
 WS = r"[ \t\r\n]*+"
 NAME = f"{_chars(_LETTERS + '_')}{_chars(_LETTERS + '0123456789_.-')}*+"
-# A value without white space at its ends, which the parser would trim.
-VALUE = f"{_chars(_TEXT)}{_chars(_TEXT + ' ')}*+(?<! )"
+# A value without white space at its ends, which the parser would trim. The long pattern is compared for every row, so values
+# that nobody reads have the short one.
+VALUE = f"(?! ){_chars(_TEXT + ' ')}++(?<! )"
+PASSED = "(?! )[ -%'-;=?-~]++(?<! )"
 QUOTED = '(?:"' + _chars(_TEXT.replace('"', "")) + "++\"|'" + _chars(_TEXT.replace("'", "")) + "++')"
 DECLARATION = r'(?:<\?xml version="1\.0"(?: encoding="(?:UTF-8|utf-8)")?(?: standalone="(?:yes|no)")?\?>[ \t\r\n]*+)?+'
 ADDRESS = ("street1", "street2", "city", "stateOrCountry", "zipCode")
@@ -41,20 +43,21 @@ def _opening() -> str:
     """Start of a document. The root may declare name spaces, each once; ``p`` is its own prefix with the colon, or empty."""
     attribute = rf"(?:[ \t\r\n]++(?<attribute>xmlns(?::{NAME})?+)={QUOTED}(?![^<>]*[ \t\r\n]\k<attribute>=))*+"
     prefix = rf"(?<p>(?:(?<prefix>{NAME}):(?=[^<>]*[ \t\r\n]xmlns:\k<prefix>=))?+)"
-    return rf"\A{WS}{DECLARATION}<{prefix}(?<root>{NAME}){attribute}{WS}>{WS}"
+    return rf"{WS}{DECLARATION}<(?!XML>){prefix}(?<root>{NAME}){attribute}{WS}>{WS}"
 
 
 CLOSING = rf"</\k<p>\k<root>>{WS}\z"
 
 
 def _leaf(name: str, group: str = "", prefix: str = r"\k<p>") -> str:
-    """An element with a value, or none. A group holds the value behind its ``>``, so none is told from an empty one."""
-    value = f"(?<{group}>>{VALUE})" if group else f">{VALUE}"
-    return rf"(?:<{prefix}{name}{value}</{prefix}{name}>{WS})?+"
+    """An element with a value of at least one character, or none."""
+    value = f"(?<{group}>{VALUE})" if group else PASSED
+    return rf"(?:<{prefix}{name}>{value}</{prefix}{name}>{WS})?+"
 
 
 def _leaves(*names: str, prefix: str = r"\k<p>") -> str:
-    return "".join(_leaf(name, prefix=prefix) for name in names)
+    leaves = "".join(_leaf(name, prefix=prefix) for name in names)
+    return f"(?:(?!</){leaves})?+"
 
 
 def _nest(name: str, body: str, prefix: str = r"\k<p>") -> str:
@@ -86,26 +89,31 @@ def _line() -> str:
     return rf"<(?<own>(?:{NAME}:)?+)infoTable>{WS}{parts}</{own}infoTable>{WS}"
 
 
-COVER, COVER_GROUPS = _cover(), ("cik", "period", "manager", *ADDRESS)
-LINES = _line()
-# What stands before and behind the lines of a table, with a mark between.
-AROUND = _opening() + BEGIN + CLOSING
+# Text up to the first mark, which is no root, and any text. The patterns have ``@`` where a mark may be asked for.
+MARK, OTHER = "(?:[^<]++|<(?!XML>))*+<XML>", "(?s:.++)"
+# Each pattern leaves nothing of a text but the groups of its matches, so no part of a result is the text's own.
+COVER, COVER_GROUPS = rf"\A(?:@{_cover()}|{OTHER})", ("root", "cik", "period", "manager", *ADDRESS)
+# One match for the start of a table, each line and the end, every one from where the one before ended.
+CLOSE = rf"</(?<end>(?:{NAME}:)?+)(?<closed>{NAME})>{WS}\z"
+TABLE = rf"\A(?:@{_opening()}|{OTHER})|\G(?!\A)(?:{_line()}|{CLOSE}|{OTHER})"
+TABLE_GROUPS = ("p own end", "root closed", *LINE)
+# The name of a root without an end tag behind its start: a parser meets the end of the text, or something worse before.
+UNCLOSED = rf"\A{_opening()}(?:[^<]++|<(?!/\k<p>\k<root>[ \t\r\n>]))*+\z"
 
 
 def _value(parts: Column, n: int) -> Column:
     """The value of a group, null if its element was not there."""
-    part = F.get(parts, F.lit(n))
-    return F.when(part != "", F.substr(part, F.lit(2)))
+    return F.nullif(F.get(parts, F.lit(n)), F.lit(""))
 
 
 def _cover_of(parts: Column) -> Column:
+    none = F.array().cast("array<string>")
     at = {name: _value(parts, n) for n, name in enumerate(COVER_GROUPS)}
-    address = F.filter(
-        F.array(*[F.struct(F.lit(a).alias("key"), at[a].alias("value")) for a in ADDRESS]),
-        lambda e: e["value"].isNotNull(),
-    )
+    # Without a lambda, so that code is generated for it.
+    present = lambda values: F.flatten(F.array(*[F.when(at[a].isNotNull(), F.array(values(a))).otherwise(none) for a in ADDRESS]))
+    address = F.map_from_arrays(present(F.lit), present(at.get))
     filer = F.struct(F.struct(at["cik"].alias("cik")).alias("credentials")).alias("filer")
-    manager = F.struct(at["manager"].alias("name"), F.map_from_entries(address).alias("address"))
+    manager = F.struct(at["manager"].alias("name"), address.alias("address"))
     page = F.struct(at["period"].alias("reportCalendarOrQuarter"), manager.alias("filingManager"))
     return F.struct(
         F.struct(F.struct(filer).alias("filerInfo")).alias("headerData"),
@@ -114,51 +122,54 @@ def _cover_of(parts: Column) -> Column:
     )
 
 
-def _line_of(parts: Column) -> Column:
-    at = {name: _value(parts, n + 1) for n, name in enumerate(LINE)}
+def _line_of(parts: Column, first: Column) -> Column:
+    at = {name: F.nullif(F.get(parts, first + (n + 2)), F.lit("")) for n, name in enumerate(LINE)}
     shares = F.struct(*[at[name].alias(name) for name in LINE[4:]])
     return F.struct(*[at[name].alias(name) for name in LINE[:4]], shares.alias("shrsOrPrnAmt"))
 
 
-def _groups(pattern: str, names: tuple[str, ...]) -> str:
-    """A replacement of groups by number; all groups have names."""
+def _groups(pattern: str, fields: tuple[str, ...]) -> str:
+    """A replacement of groups by number; all groups have names. A field is one group, or several of which one is there."""
     order = re.findall(r"\(\?<(\w+)>", pattern)
-    return PART.join(f"${order.index(name) + 1}" for name in names)
+    return "".join("".join(f"${order.index(name) + 1}" for name in field.split()) + PART for field in fields)
+
+
+def never_closed(document: Column) -> Column:
+    """True for a text that begins as a plain document whose root is not closed, which no parser takes for XML."""
+    return F.rlike(document, F.lit(UNCLOSED))
 
 
-def read_plain(documents: DataFrame, cover: str, table: str, plain_cover: str, plain_table: str) -> DataFrame:
+def read_plain(
+    documents: DataFrame, cover: str, table: str, plain_cover: str, plain_table: str, marked: bool = False
+) -> DataFrame:
     """Adds a plain cover page as ``schemas.COVER_XML`` and a plain table of at least one line as ``schemas.TABLE_XML``.
 
-    Null for any other text. Each step is a generator, so the next one reads its values and does not compute them again.
+    Null for any other text. With ``marked``, both must begin behind the first ``<XML>`` of their text.
+    Each step is a generator, so the next one reads its values and does not compute them again.
     Long texts are searched by patterns, which is much faster than by Spark's functions of strings.
     """
-    # A text with a mark of its own is no XML.
-    unmarked = F.size(F.split(F.col(table), BEGIN)) == 1
+    first, lines = (p.replace("@", MARK if marked else "", 1) for p in (COVER, TABLE))
+    width = len(TABLE_GROUPS)
     found = computed_once(
         documents,
-        _found=F.when(~F.startswith(cover, F.lit(BEGIN)), F.regexp_replace(cover, COVER, BEGIN + _groups(COVER, COVER_GROUPS))),
-        _pieces=F.when(unmarked, F.split(F.regexp_replace(table, LINES, BEGIN + _groups(LINES, ("own", *LINE)) + END), END)),
+        _cover_parts=F.split(F.regexp_replace(cover, first, _groups(first, COVER_GROUPS)), PART),
+        _parts=F.split(F.regexp_replace(table, lines, _groups(lines, TABLE_GROUPS)), PART),
     )
-    head = computed_once(
-        found,
-        _parts=F.when(F.startswith("_found", F.lit(BEGIN)), F.split(F.substr(F.col("_found"), F.lit(2)), PART)),
-        _head=F.when(F.size("_pieces") > 1, F.split(F.get("_pieces", F.lit(0)), BEGIN)),
-    ).drop("_found")
-    # What stands around the lines must be a whole document by itself. Every line begins where the one before ended, with
-    # the prefix of the root, so that nothing else is left.
-    around = F.concat(F.get("_head", F.lit(0)), F.lit(BEGIN), F.element_at("_pieces", -1))
-    first = F.array(F.concat(F.lit(BEGIN), F.get("_head", F.lit(1))))
+    # Parts of the last match, behind which one empty part is left. A table is plain if that is the end of the root that the
+    # first match began.
+    last = F.size("_parts") - (width + 1)
+    part = lambda at: F.get("_parts", at)
+    begun = (last > width) & (part(F.lit(1)) != "")
+    closed = begun & (part(F.lit(0)) == part(last)) & (part(F.lit(1)) == part(last + 1))
     cut = computed_once(
-        head,
-        _mark=F.when(F.size("_head") == 2, F.regexp_replace(around, AROUND, BEGIN + _groups(AROUND, ("p",)) + PART)),
-        _lines=F.when(F.size("_head") == 2, F.concat(first, F.slice("_pieces", F.lit(2), F.size("_pieces") - 2))),
-    ).drop("_pieces", "_head")
+        found,
+        _lines=F.when(closed, F.sequence(F.lit(width), last - width, F.lit(width))),
+        **{plain_cover: F.when(F.get("_cover_parts", F.lit(0)) != "", _cover_of(F.col("_cover_parts")))},
+    ).drop("_cover_parts")
     read = F.struct(
-        F.transform("_lines", lambda line: let(F.split(line, PART), _line_of)).alias("infoTable"),
+        F.transform("_lines", lambda at: _line_of(F.col("_parts"), at)).alias("infoTable"),
         F.lit(None).cast("string").alias("_corrupt_record"),
     )
-    marked = F.startswith("_mark", F.lit(BEGIN)) & F.forall("_lines", lambda line: F.startswith(line, F.col("_mark")))
-    return computed_once(
-        cut,
-        **{plain_cover: F.when(F.col("_parts").isNotNull(), _cover_of(F.col("_parts"))), plain_table: F.when(marked, read)},
-    ).drop("_parts", "_mark", "_lines")
+    # Every line has the prefix of the root.
+    own = F.forall("_lines", lambda at: part(at) == part(F.lit(0)))
+    return computed_once(cut, **{plain_table: F.when(own, read)}).drop("_parts", "_lines")

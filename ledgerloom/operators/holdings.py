@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas
 from ledgerloom.functions import ids, values
 from ledgerloom.functions.bind import computed_once, let
-from ledgerloom.functions.plain_xml import read_plain
+from ledgerloom.functions.plain_xml import never_closed, read_plain
 
 # A holding is kept if its share type is this and its title holds one of these words.
 SHARE_TYPE = "SH"
@@ -36,19 +36,31 @@ def parse_submissions(raw: DataFrame) -> DataFrame:
     """
 
     def block(n: int) -> Column:
-        return F.get(F.split(F.get("_blocks", F.lit(n)), "</XML>", 2), F.lit(0))
+        return F.get(F.split(F.get(F.split("_text", "<XML>"), F.lit(n)), "</XML>", 2), F.lit(0))
 
     def parsed_by_spark(document: str, schema: str) -> Column:
-        return F.from_xml(F.btrim(document, F.lit(" \t\r\n")), schema, XML_OPTIONS)
+        trimmed = F.btrim(document, F.lit(" \t\r\n"))
+        # What the parser gives for a broken text, without setting it up for one that is known to be cut off.
+        broken = F.from_json(F.lit("{}"), schema).withField("_corrupt_record", trimmed)
+        return F.when(never_closed(F.col(document)), broken).otherwise(F.from_xml(trimmed, schema, XML_OPTIONS))
 
     # Each step is a generator, so the next one reads its values and does not compute them again.
-    blocks = computed_once(raw.select("file_name", "raw"), _blocks=F.split("raw", "<XML>")).drop("raw")
-    blocks = computed_once(blocks, _cover=block(1), _table=block(2)).drop("_blocks")
-    plain = read_plain(blocks, "_cover", "_table", "_plain_cover", "_plain_table")
+    text = computed_once(raw.select("file_name", "raw"), _text=F.col("raw")).drop("raw")
+    ends = computed_once(text, _ends=F.split("_text", "</XML>", 3))
+    halves = computed_once(ends, _first=F.get("_ends", F.lit(0)), _second=F.get("_ends", F.lit(1))).drop("_ends")
+    plain = read_plain(halves, "_first", "_second", "_plain_cover", "_plain_table", marked=True)
+    # What the second half begins is the second block if the first half begins just one, as it does with a plain cover page.
+    one = F.col("_plain_cover").isNotNull() | (F.size(F.split("_first", "<XML>")) == 2)
+    kept = computed_once(plain, _kept=F.when(one, F.col("_plain_table"))).drop("_plain_table")
+    left = computed_once(
+        kept,
+        _cover=F.when(F.col("_plain_cover").isNull(), block(1)),
+        _table=F.when(F.col("_kept").isNull(), block(2)),
+    )
     parsed = computed_once(
-        plain,
+        left,
         cover=F.coalesce("_plain_cover", parsed_by_spark("_cover", schemas.COVER_XML)),
-        holdings=F.coalesce("_plain_table", parsed_by_spark("_table", schemas.TABLE_XML)),
+        holdings=F.coalesce("_kept", parsed_by_spark("_table", schemas.TABLE_XML)),
     ).select("file_name", "cover", "holdings")
     reason = (
         F.when(F.col("cover").isNull(), "no cover page")
@@ -232,7 +244,6 @@ def rollup_filings(
         return F.struct(
             F.upper(line["cusip"]).alias("cusip"),
             at.alias("line"),
-            ids.cusip6(line["cusip"]).alias("cusip6"),
             line["nameOfIssuer"].alias("companyName"),
             values.scaled_value(line["value"], compat).alias("value"),
             line["shrsOrPrnAmt"]["sshPrnamt"].try_cast("bigint").alias("shares"),
@@ -251,7 +262,6 @@ def rollup_filings(
     def folded(lines: Column) -> Column:
         names = F.filter(F.transform(lines, lambda line: line["companyName"]), lambda name: name.isNotNull())
         return F.struct(
-            lines[0]["cusip6"].alias("cusip6"),
             lines[0]["cusip"].alias("cusip"),
             F.get(names, F.lit(0)).alias("companyName"),
             total(lines, "value", "double" if compat else "decimal(38,6)"),
@@ -272,20 +282,20 @@ def rollup_filings(
 
     lines = F.filter(F.transform(F.filter("holdings.infoTable", wanted), typed), usable)
     parsed = parse_submissions(raw).filter(F.col("reason").isNull())
-    # Made by a generator: of a plain column, the filter that Spark puts before ``inline`` computes all of it again.
-    filings = (
-        computed_once(parsed, securities=let(F.array_sort(lines), securities))
-        .select(
-            ids.source_from_file_name(F.col("file_name")).alias("source"),
-            F.col("cover.headerData.filerInfo.filer.credentials.cik").alias("managerCik"),
-            F.array_join(F.map_values(f"{page}.filingManager.address"), ", ").alias("managerAddress"),
-            F.col(f"{page}.filingManager.name").alias("managerName"),
-            values.parse_period(F.col(f"{page}.reportCalendarOrQuarter")).alias("reportCalendarOrQuarter"),
-            "securities",
-        )
+    # Made by a generator: of plain columns, the filters that Spark puts before ``inline`` compute all of them again.
+    filings = computed_once(
+        parsed,
+        source=ids.source_from_file_name(F.col("file_name")),
+        managerCik=F.col("cover.headerData.filerInfo.filer.credentials.cik"),
+        managerAddress=F.array_join(F.map_values(f"{page}.filingManager.address"), ", "),
+        managerName=F.col(f"{page}.filingManager.name"),
+        reportCalendarOrQuarter=values.parse_period(F.col(f"{page}.reportCalendarOrQuarter")),
     )
     of_filing = [c for c in ROLLUP_KEYS if c in filings.columns]
-    return filings.dropna(subset=of_filing).select(*of_filing, F.inline("securities")).select(*ROLLUP_KEYS, "companyName", "value", "shares")
+    # By itself, since Spark generates no code for what has a lambda.
+    folded_once = computed_once(filings.dropna(subset=of_filing).select(*of_filing, "holdings"), securities=let(F.array_sort(lines), securities))
+    rolled = folded_once.select(*of_filing, F.inline("securities")).withColumn("cusip6", ids.cusip6(F.col("cusip")))
+    return rolled.select(*ROLLUP_KEYS, "companyName", "value", "shares")
 
 
 def period_counts(holdings: DataFrame) -> DataFrame:

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import session
+from ledgerloom.functions.bind import computed_once
 from ledgerloom.operators import holdings, link
 from ledgerloom.plans import standins as S
-from ledgerloom.plans.catalog import Tables, plain, query, spread
+from ledgerloom.plans.catalog import Tables, dealt, plain, query
 from ledgerloom.sources import files
 
 PERIODS = 4
@@ -105,21 +106,21 @@ LACKING_SQL = "CASE l_partkey % 3 WHEN 0 THEN 'no title' WHEN 1 THEN 'no share t
 
 
 def submissions(t: Tables) -> DataFrame:
-    cusip = S.cusip_of(F.col("l_partkey"))
-    suppkey = F.col("l_suppkey").cast("string")
-
     def text(*parts):
         return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
-    def line(name, title, value, shares, share_type):
+    def line(name, title, value, shares, share_type, lacking=None):
+        def part(tag, value):
+            whole = text(f"<n1:{tag}>", value, f"</n1:{tag}>")
+            return whole if lacking is None or tag not in LACKING else F.when(lacking == tag, "").otherwise(whole)
+
         return text(
-            "<n1:infoTable><n1:nameOfIssuer>", name, "</n1:nameOfIssuer><n1:titleOfClass>", title,
-            "</n1:titleOfClass><n1:cusip>", cusip, "</n1:cusip><n1:value>", value,
-            "</n1:value><n1:shrsOrPrnAmt><n1:sshPrnamt>", shares, "</n1:sshPrnamt><n1:sshPrnamtType>", share_type,
-            "</n1:sshPrnamtType></n1:shrsOrPrnAmt></n1:infoTable>",
+            "<n1:infoTable>", part("nameOfIssuer", name), part("titleOfClass", title), part("cusip", F.col("_cusip")),
+            part("value", value), "<n1:shrsOrPrnAmt>", part("sshPrnamt", shares), part("sshPrnamtType", share_type),
+            "</n1:shrsOrPrnAmt></n1:infoTable>",
         )
 
-    quantity = F.col("l_quantity").cast("bigint").cast("string")
+    suppkey, quantity = F.col("_suppkey"), F.col("_quantity")
     cover = text(
         '<XML>\n<?xml version="1.0"?><edgarSubmission xmlns="http://example.org/f"><headerData><filerInfo><filer>'
         "<credentials><cik>", suppkey, "</cik></credentials></filer></filerInfo></headerData><formData><coverPage>"
@@ -127,6 +128,8 @@ def submissions(t: Tables) -> DataFrame:
         "</reportCalendarOrQuarter><filingManager><name>Manager ", suppkey, "</name><address><street1>Suite ", suppkey,
         "</street1><city>Springfield</city></address></filingManager></coverPage></formData></edgarSubmission>\n</XML>\n",
     )
+    # Which part the third line lacks depends on the row.
+    lacking = F.element_at(F.array(*map(F.lit, LACKING)), (F.col("l_partkey") % len(LACKING)).cast("int") + 1)
     table = text(
         '<XML>\n<n1:informationTable xmlns:n1="http://example.org/t">',
         line(
@@ -143,19 +146,24 @@ def submissions(t: Tables) -> DataFrame:
             F.col("l_linenumber").cast("string"),
             F.when(F.col("l_linestatus") == "F", "SH").otherwise("PRN"),
         ),
+        F.when(F.col("l_linenumber") == LACKING_LINE, line(F.col("p_name"), "COM", "1", "1", "SH", lacking)).otherwise(""),
         "</n1:informationTable>\n</XML>\n",
     )
-    # Which part the third line lacks depends on the row.
-    lacking = F.element_at(F.array(*map(F.lit, LACKING)), (F.col("l_partkey") % len(LACKING)).cast("int") + 1)
-    third = line(F.col("p_name"), "COM", "1", "1", "SH")
-    third = F.regexp_replace(third, F.concat(F.lit("<n1:"), lacking, F.lit(">[^<]*</n1:"), lacking, F.lit(">")), F.lit(""))
-    closing = F.lit("</n1:informationTable>")
-    longer = F.replace(table, closing, F.concat(third, closing))
-    table = F.when(F.col("l_linenumber") == LACKING_LINE, longer).otherwise(table)
-    whole = F.concat(F.lit("<SEC-DOCUMENT>\n"), cover, table)
-    raw = F.when(F.col("l_linenumber") == BROKEN_LINE, F.substr(whole, F.lit(1), F.length(whole) - 60)).otherwise(whole)
-    lines = spread(t.lineitem).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    return lines.select(F.format_string("_edgar_%d_%d.txt", "l_orderkey", "l_linenumber").alias("file_name"), raw.alias("raw"))
+    lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
+        "l_shipdate", "p_name",
+    )
+    # Values that stand in the text more than once, and the text itself, are made once.
+    named = computed_once(
+        dealt(lines, t.lineitem.count()),
+        _cusip=S.cusip_of(F.col("l_partkey")),
+        _suppkey=F.col("l_suppkey").cast("string"),
+        _quantity=F.col("l_quantity").cast("bigint").cast("string"),
+    )
+    whole = computed_once(named, _whole=text("<SEC-DOCUMENT>\n", cover, table))
+    cut = F.substr("_whole", F.lit(1), F.length("_whole") - 60)
+    raw = F.when(F.col("l_linenumber") == BROKEN_LINE, cut).otherwise(F.col("_whole"))
+    return whole.select(F.format_string("_edgar_%d_%d.txt", "l_orderkey", "l_linenumber").alias("file_name"), raw.alias("raw"))
 
 
 _XML_LINES_SQL = f"""x AS (
