@@ -256,29 +256,27 @@ def rollup_filings(
     def usable(line: Column) -> Column:
         return line["cusip"].isNotNull() & line["value"].isNotNull() & line["shares"].isNotNull()
 
-    def total(lines: Column, name: str, kind: str) -> Column:
-        return F.aggregate(lines, F.lit(0).cast(kind), lambda sum_, line: (sum_ + line[name]).cast(kind)).alias(name)
+    value_kind = "double" if compat else "decimal(38,6)"
+    nothing = F.struct(
+        F.lit(None).cast("string").alias("companyName"), F.lit(0).cast(value_kind).alias("value"), F.lit(0).cast("bigint").alias("shares")
+    )
 
-    def folded(lines: Column) -> Column:
-        names = F.filter(F.transform(lines, lambda line: line["companyName"]), lambda name: name.isNotNull())
+    def added(total: Column, line: Column) -> Column:
         return F.struct(
-            lines[0]["cusip"].alias("cusip"),
-            F.get(names, F.lit(0)).alias("companyName"),
-            total(lines, "value", "double" if compat else "decimal(38,6)"),
-            total(lines, "shares", "bigint"),
+            F.coalesce(total["companyName"], line["companyName"]).alias("companyName"),
+            (total["value"] + line["value"]).cast(value_kind).alias("value"),
+            (total["shares"] + line["shares"]).alias("shares"),
         )
 
-    def securities(lines: Column) -> Column:
-        first = F.filter(
-            F.transform(lines, lambda line, at: F.when((at == 0) | (line["cusip"] != F.get(lines, at - 1)["cusip"]), at)),
-            lambda at: at.isNotNull(),
-        )
+    def cusip(at: Column) -> Column:
+        return F.get("_lines", at)["cusip"]
 
-        def cut(starts: Column) -> Column:
-            end = lambda n: F.coalesce(F.get(starts, n + 1), F.size(lines))
-            return F.transform(starts, lambda at, n: let(F.slice(lines, at + 1, end(n) - at), folded))
+    def cut(starts: Column) -> Column:
+        def folded(at: Column, n: Column) -> Column:
+            end = F.coalesce(F.get(starts, n + 1), F.size("_lines"))
+            return F.struct(cusip(at).alias("cusip"), F.aggregate(F.slice("_lines", at + 1, end - at), nothing, added).alias("total"))
 
-        return let(first, cut)
+        return F.transform(starts, folded)
 
     lines = F.filter(F.transform(F.filter("holdings.infoTable", wanted), typed), usable)
     parsed = parse_submissions(raw).filter(F.col("reason").isNull())
@@ -292,10 +290,12 @@ def rollup_filings(
         reportCalendarOrQuarter=values.parse_period(F.col(f"{page}.reportCalendarOrQuarter")),
     )
     of_filing = [c for c in ROLLUP_KEYS if c in filings.columns]
-    # By itself, since Spark generates no code for what has a lambda.
-    folded_once = computed_once(filings.dropna(subset=of_filing).select(*of_filing, "holdings"), securities=let(F.array_sort(lines), securities))
-    rolled = folded_once.select(*of_filing, F.inline("securities")).withColumn("cusip6", ids.cusip6(F.col("cusip")))
-    return rolled.select(*ROLLUP_KEYS, "companyName", "value", "shares")
+    # By themselves, since Spark generates no code for what has a lambda.
+    sorted_ = computed_once(filings.dropna(subset=of_filing).select(*of_filing, "holdings"), _lines=F.array_sort(lines)).drop("holdings")
+    some = sorted_.filter(F.size("_lines") > 0)
+    starts = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda at: (at == 0) | (cusip(at) != cusip(at - 1)))
+    rolled = computed_once(some, securities=let(starts, cut)).select(*of_filing, F.inline("securities"))
+    return rolled.withColumn("cusip6", ids.cusip6(F.col("cusip"))).select(*ROLLUP_KEYS, "total.*")
 
 
 def period_counts(holdings: DataFrame) -> DataFrame:
